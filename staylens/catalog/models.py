@@ -7,6 +7,9 @@ from pyspark.ml.clustering import KMeans
 from pyspark.sql import functions as F
 
 from staylens.catalog.base import query
+from staylens.catalog.relational import dated_sql
+from staylens.catalog.statistics import LABELLED_CTE
+from staylens.functions.keys import arithmetic_bucket, arithmetic_bucket_sql
 from staylens.operators.aggregates import entity_stats
 from staylens.operators.features import scaled_vector_stages
 from staylens.plans import room_experience, scoring, segmentation, sentiment
@@ -47,7 +50,8 @@ def cluster_gmm(spark, sf_dir):
 
 
 def rooms(spark, sf_dir, model_name):
-    job = room_experience.classify_rooms(reviews_from_orders(spark, sf_dir, with_text=False))
+    reviews = reviews_from_orders(spark, sf_dir, with_text=False)
+    job = room_experience.classify_rooms(reviews, bucket=arithmetic_bucket)
     return job.predictions(model_name).select("review_id", "rooms_label", "label", "prediction")
 
 
@@ -56,8 +60,43 @@ def classify_tree(spark, sf_dir):
     return rooms(spark, sf_dir, "DecisionTree")
 
 
-@query("classify_bayes")
+BAYES_COLUMNS = [r for r in RATINGS if r != "rooms"] + ["month", "year"]
+
+
+@query(
+    "classify_bayes",
+    f"""WITH {LABELLED_CTE},
+    featured AS (
+      SELECT * FROM ({dated_sql("labelled")}) WHERE {" AND ".join(f"{c} IS NOT NULL" for c in BAYES_COLUMNS)}
+    ),
+    label_index AS (
+      SELECT rooms_label, CAST(row_number() OVER (ORDER BY count(*) DESC, rooms_label) - 1 AS DOUBLE) AS label
+      FROM featured GROUP BY rooms_label
+    ),
+    parts AS (
+      SELECT *, {arithmetic_bucket_sql("id", 100)} < 80 AS is_train FROM featured JOIN label_index USING (rooms_label)
+    ),
+    sized AS (SELECT *, count(*) OVER (PARTITION BY label) AS n FROM parts WHERE is_train),
+    weighted AS (
+      SELECT *, target // n + CASE WHEN {arithmetic_bucket_sql("id", 1_000_000)}
+             < (target % n) / CAST(n AS DOUBLE) * 1000000 THEN 1 ELSE 0 END AS w
+      FROM sized, (SELECT max(n) AS target FROM sized)
+    ),
+    sums AS (
+      SELECT label, sum(w) AS n, {", ".join(f"sum(w * {c}) AS {c}" for c in BAYES_COLUMNS)} FROM weighted GROUP BY label
+    ),
+    totals AS (SELECT *, {" + ".join(BAYES_COLUMNS)} + {len(BAYES_COLUMNS)} AS total FROM sums),
+    scored AS (
+      SELECT t.id, t.rooms_label, t.label, s.label AS candidate,
+             ln((s.n + 1) / CAST((SELECT sum(n) + count(*) FROM sums) AS DOUBLE))
+             + {" + ".join(f"t.{c} * ln((s.{c} + 1) / s.total)" for c in BAYES_COLUMNS)} AS score
+      FROM (SELECT * FROM parts WHERE NOT is_train) t, totals s
+    )
+    SELECT id AS review_id, rooms_label, label, arg_max(candidate, score) AS prediction
+    FROM scored GROUP BY id, rooms_label, label""",
+)
 def classify_bayes(spark, sf_dir):
+    """Balanced training and prediction of naive Bayes, which has a closed form."""
     return rooms(spark, sf_dir, "NaiveBayes")
 
 
@@ -104,9 +143,18 @@ def model_roundtrip(spark, sf_dir):
     )
 
 
+_registries: dict[tuple[str, str], RunRegistry] = {}
+
+
 def trained_registry(spark, sf_dir):
-    """A registry holding sentiment runs over the labelled documents."""
-    registry = RunRegistry(spark, new_dir(spark, "registry"))
+    """A registry holding sentiment runs over the labelled documents.
+
+    Trained once per session and data folder; batch and stream scoring both read it.
+    """
+    trained = (spark.sparkContext.applicationId, sf_dir)
+    if trained in _registries:
+        return _registries[trained]
+    registry = _registries[trained] = RunRegistry(spark, new_dir(spark, "registry"))
     sentiment.compare_sentiment_models(
         rated_documents(spark, sf_dir), model_dir=new_dir(spark, "models"), registry=registry
     )

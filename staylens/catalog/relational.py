@@ -90,14 +90,18 @@ def filter_not_null(spark, sf_dir):
 # First word of the stay date and its place in the year, as SQL.
 MONTH_SQL = """CAST(list_position(['January', 'February', 'March', 'April', 'May', 'June', 'July', 'August',
   'September', 'October', 'November', 'December'], split_part(date_stayed, ' ', 1)) AS INT)"""
-DATED_CTE = f"""{REVIEWS_CTE},
-dated AS (
+
+
+def dated_sql(table):
+    return f"""
   SELECT * FROM (
     SELECT *, nullif({MONTH_SQL}, 0) AS month,
            TRY_CAST(regexp_extract(date_stayed, '([0-9]{{4}})', 1) AS INT) AS year
-    FROM reviews
-  ) WHERE month IS NOT NULL AND year IS NOT NULL
-)"""
+    FROM {table}
+  ) WHERE month IS NOT NULL AND year IS NOT NULL"""
+
+
+DATED_CTE = f"{REVIEWS_CTE}, dated AS ({dated_sql('reviews')})"
 
 
 @query("date_features", f"WITH {DATED_CTE} SELECT id, month, year FROM dated")

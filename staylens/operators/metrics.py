@@ -99,7 +99,7 @@ def silhouette_rows(df: DataFrame, columns: Sequence[str], cluster: str, max_clu
         return norm() + c["s"] / c["n"] - 2 * dot / c["n"]
 
     distances = F.transform(
-        clusters, lambda c: F.struct(c["cluster"].alias("cluster"), c["n"].alias("n"), mean_distance(c).alias("d"))
+        "_clusters", lambda c: F.struct(c["cluster"].alias("cluster"), c["n"].alias("n"), mean_distance(c).alias("d"))
     )
     own = F.filter("_distances", lambda c: c["cluster"] == F.col(cluster))[0]
     others = F.filter("_distances", lambda c: c["cluster"] != F.col(cluster))
@@ -107,7 +107,8 @@ def silhouette_rows(df: DataFrame, columns: Sequence[str], cluster: str, max_clu
     b = F.array_min(F.transform(others, lambda c: c["d"]))
     ratio = F.when(a < b, 1 - a / b).when(a > b, b / a - 1).otherwise(0.0)
     value = F.when(own["n"] > 1, ratio).otherwise(0.0)
-    return df.withColumn("_distances", distances).withColumn("silhouette", value).drop("_distances")
+    compared = df.withColumn("_clusters", clusters).withColumn("_distances", distances)
+    return compared.withColumn("silhouette", value).drop("_clusters", "_distances")
 
 
 def silhouette(df: DataFrame, columns: Sequence[str], cluster: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from staylens.functions.keys import hash_bucket
 from staylens.functions.ratings import quantile_label
 from staylens.operators import nulls, projection, sampling
 from staylens.operators.features import fit_label_index
@@ -29,6 +30,7 @@ def rated_rooms(reviews: DataFrame) -> DataFrame:
 def classify_rooms(
     reviews: DataFrame,
     balance_before_split: bool = False,
+    bucket: sampling.Bucket = hash_bucket,
     model_dir: str | None = None,
     registry: RunRegistry | None = None,
 ) -> JobResult:
@@ -36,7 +38,7 @@ def classify_rooms(
 
     Classes are balanced in the training part only, so no copy of a review is in both
     parts; ``balance_before_split`` balances everything first. Reviews are split by a
-    hash of their id.
+    hash of their id, which ``bucket`` computes.
     """
     rooms = stage(rated_rooms(reviews), "rated-rooms")
     # A sketch with the rank error of 1 % that the thirds are asked for.
@@ -45,7 +47,7 @@ def classify_rooms(
     labelled = rooms.withColumn("rooms_label", label)
 
     def balanced(df: DataFrame) -> DataFrame:
-        return sampling.oversample_near(df, "rooms_label", "review_id").drop("copy")
+        return sampling.oversample_near(df, "rooms_label", "review_id", bucket).drop("copy")
 
     if balance_before_split:
         labelled = balanced(labelled)
@@ -53,7 +55,7 @@ def classify_rooms(
     index = fit_label_index(featured, "rooms_label")
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="skip")
     prepared = Pipeline(stages=[index, assembler]).fit(featured)
-    train, test = sampling.hash_split(prepared.transform(featured), "review_id")
+    train, test = sampling.hash_split(prepared.transform(featured), "review_id", bucket=bucket)
     if not balance_before_split:
         train = balanced(train)
     columns = ["label", "features"]
