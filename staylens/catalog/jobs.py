@@ -5,19 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from staylens.catalog.base import query
-from staylens.catalog.models import entity_ratings, rated_documents
-from staylens.plans import anomalies, room_experience, segmentation, sentiment
+from staylens.catalog.models import entity_ratings, train_sentiment
+from staylens.plans import anomalies, room_experience, segmentation
 from staylens.sources.registry import RunRegistry
 from staylens.sources.reviews import RATINGS, reviews_from_orders
 from staylens.workspace import new_dir
 
 
-def recorded(spark, job, *args, **settings):
-    """Run a job with a fresh registry and model folder; what the registry then holds."""
-    registry = RunRegistry(spark, new_dir(spark, "registry"))
-    job(*args, model_dir=new_dir(spark, "models"), registry=registry, **settings)
-    runs = registry.leaderboard()
-    return runs.select(
+def recorded_runs(registry):
+    """What the registry holds after a job."""
+    return registry.leaderboard().select(
         "task_name",
         "model_name",
         "score_type",
@@ -28,21 +25,28 @@ def recorded(spark, job, *args, **settings):
     )
 
 
+def run_recorded(spark, job, *args):
+    """Run a job with a registry and a model folder of its own."""
+    registry = RunRegistry(spark, new_dir(spark, "registry"))
+    job(*args, model_dir=new_dir(spark, "models"), registry=registry)
+    return recorded_runs(registry)
+
+
 @query("job_segment")
 def job_segment(spark, sf_dir):
-    return recorded(spark, segmentation.segment_entities, entity_ratings(spark, sf_dir), "offering_id", RATINGS)
+    return run_recorded(spark, segmentation.segment_entities, entity_ratings(spark, sf_dir), "offering_id", RATINGS)
 
 
 @query("job_classify")
 def job_classify(spark, sf_dir):
-    return recorded(spark, room_experience.classify_rooms, reviews_from_orders(spark, sf_dir, with_text=False))
+    return run_recorded(spark, room_experience.classify_rooms, reviews_from_orders(spark, sf_dir, with_text=False))
 
 
 @query("job_sentiment")
 def job_sentiment(spark, sf_dir):
-    return recorded(spark, sentiment.compare_sentiment_models, rated_documents(spark, sf_dir))
+    return recorded_runs(train_sentiment(spark, sf_dir))
 
 
 @query("job_anomaly")
 def job_anomaly(spark, sf_dir):
-    return recorded(spark, anomalies.find_anomalies, reviews_from_orders(spark, sf_dir))
+    return run_recorded(spark, anomalies.find_anomalies, reviews_from_orders(spark, sf_dir))

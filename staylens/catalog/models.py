@@ -146,21 +146,21 @@ def model_roundtrip(spark, sf_dir):
 _registries: dict[tuple[str, str], RunRegistry] = {}
 
 
-def trained_registry(spark, sf_dir):
-    """A registry holding sentiment runs over the labelled documents.
-
-    Trained once per session and data folder; batch and stream scoring both read it.
-    """
-    trained = (spark.sparkContext.applicationId, sf_dir)
-    if trained in _registries:
-        return _registries[trained]
-    registry = _registries[trained] = RunRegistry(spark, new_dir(spark, "registry"))
+def train_sentiment(spark, sf_dir):
+    """Train and record the sentiment models; the session's scoring queries use them."""
+    registry = RunRegistry(spark, new_dir(spark, "registry"))
     sentiment.compare_sentiment_models(
         rated_documents(spark, sf_dir), model_dir=new_dir(spark, "models"), registry=registry
     )
+    _registries[spark.sparkContext.applicationId, sf_dir] = registry
     return registry
 
 
+def trained_registry(spark, sf_dir):
+    """The session's registry with sentiment runs over the folder, trained if missing."""
+    return _registries.get((spark.sparkContext.applicationId, sf_dir)) or train_sentiment(spark, sf_dir)
+
+
 @query("score_batch")
 def score_batch(spark, sf_dir):
     """Every document scored by the best model recorded for the task."""

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 def squared_distance(columns: Sequence[str], point: Sequence[float]) -> Column:
     """Squared Euclidean distance of numeric columns to a fixed point."""
-    parts = [(F.col(c) - F.lit(float(p))) * (F.col(c) - F.lit(float(p))) for c, p in zip(columns, point, strict=True)]
+    # ``pow`` names each column once, so a computed column is not evaluated twice.
+    parts = [F.pow(F.col(c) - F.lit(float(p)), 2) for c, p in zip(columns, point, strict=True)]
     return reduce(add, parts)
 
 
@@ -26,7 +27,7 @@ def vector_distance(vector: str, index: str, centres: Sequence[Sequence[float]])
     """Distance of a vector column to the centre its index column names."""
     table = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centres])
     centre = F.element_at(table, F.col(index) + 1)
-    gaps = F.zip_with(vector_to_array(vector), centre, lambda a, b: (a - b) * (a - b))
+    gaps = F.zip_with(vector_to_array(vector), centre, lambda a, b: F.pow(a - b, 2))
     return F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap))
 
 

@@ -34,16 +34,18 @@ def flag_anomalies(
     """Add ``threshold`` (mean plus ``deviations`` standard deviations of the cluster's
     distances) and ``is_anomaly``.
 
-    ``clusters`` is the number of centres: the thresholds are that many rows at most,
-    which is why they may be broadcast. A window per cluster would sort a whole cluster
+    ``clusters`` is the number of centres: every row sees that many thresholds at most,
+    as one map from a scalar subquery. A window per cluster would sort a whole cluster
     in one task.
     """
-    if clusters > 10_000:
-        raise ValueError("thresholds are broadcast, for at most 10,000 clusters")
+    if clusters > 1_000:
+        raise ValueError("thresholds are looked up in a map, for at most 1,000 clusters")
     spread = F.coalesce(F.stddev_samp(distance), F.lit(0.0))
-    thresholds = df.groupBy(cluster).agg((F.avg(distance) + deviations * spread).alias("threshold"))
-    joined = df.join(F.broadcast(thresholds), cluster)
-    return joined.withColumn("is_anomaly", F.col(distance) > F.col("threshold"))
+    limits = df.groupBy(cluster).agg((F.avg(distance) + deviations * spread).alias("threshold"))
+    entries = F.collect_list(F.struct(cluster, "threshold"))
+    thresholds = limits.agg(F.map_from_entries(entries)).scalar()
+    with_threshold = df.withColumn("threshold", F.element_at(thresholds, F.col(cluster)))
+    return with_threshold.withColumn("is_anomaly", F.col(distance) > F.col("threshold"))
 
 
 def naive_bayes_parameters(df: DataFrame, label: str, columns: Sequence[str], smoothing: float = 1.0) -> DataFrame:

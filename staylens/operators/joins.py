@@ -5,11 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylens.functions.keys import hash_bucket
-
 
 def left_join_features(base: DataFrame, features: DataFrame | None, on: str) -> DataFrame:
     """Add feature columns to ``base``; without a match they are null.
@@ -25,31 +23,24 @@ def fold_features(base: DataFrame, frames: Sequence[DataFrame | None], on: str)
     return reduce(lambda left, right: left_join_features(left, right, on), frames, base)
 
 
-def salted_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], row_key: Column, how: str = "left", salts: int = 16
-) -> DataFrame:
-    """Equi-join that spreads each key of ``left`` over ``salts`` tasks.
-
-    For a ``left`` with hot keys and a smaller ``right``, which is repeated once per
-    salt. ``row_key`` picks the salt, so retries see the same placement.
-    """
-    salted = left.withColumn("_salt", hash_bucket(row_key, salts))
-    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
-
-
-def size_checked_join(
-    left: DataFrame,
-    staged: DataFrame,
-    on: Sequence[str],
-    row_key: Column,
-    how: str = "left",
-    max_rows: int = 100_000,
+def keyed_join(
+    left: DataFrame, staged: DataFrame, on: Sequence[str], frequency: str, max_rows: int = 100_000
 ) -> DataFrame:
-    """Broadcast ``staged`` when its row count allows it, else join salted.
+    """Inner join to a table with one row per key, whose column ``frequency`` says how
+    many rows of ``left`` have that key. ``staged`` must be a written table, so that
+    counting it is cheap.
 
-    ``staged`` must be a written table, so that counting it reads file footers only.
+    Up to ``max_rows`` keys are broadcast. Beyond that, the keys holding more than one
+    ``max_rows``-th of all rows are: there are fewer than ``max_rows`` of them, whatever
+    the data. The rest is shuffled, with no key above that share left in it.
     """
+    keys = list(on)
     if staged.count() <= max_rows:
-        return left.join(F.broadcast(staged), list(on), how)
-    return salted_join(left, staged, on, row_key, how)
+        return left.join(F.broadcast(staged), keys)
+    share = staged.agg(F.sum(frequency)).first()[0] / max_rows
+    hot = staged.where(F.col(frequency) > share)
+    if hot.isEmpty():
+        return left.join(staged, keys)
+    cold = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    common = cold.join(staged.where(F.col(frequency) <= share), keys)
+    return common.unionByName(left.join(F.broadcast(hot), keys))

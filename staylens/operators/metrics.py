@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.operators.ranking import running_totals
+from staylens.workspace import stage
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -62,7 +63,7 @@ def auc(df: DataFrame, score: str, label: str = "label") -> DataFrame:
         F.sum(F.when(F.col(label) > 0.5, 1).otherwise(0)).alias("pos"),
         F.sum(F.when(F.col(label) > 0.5, 0).otherwise(1)).alias("neg"),
     )
-    ordered = running_totals(ties, "score", ["neg"])
+    ordered = running_totals(stage(ties, "score-ties"), "score", ["neg"])
     wins = F.sum(F.col("pos") * (F.col("before_neg") + F.col("neg") / 2))
     pairs = F.sum("pos").cast("double") * F.sum("neg")
     return ordered.agg(F.when(pairs > 0, wins / pairs).alias("auc"))

@@ -13,7 +13,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from staylens.operators.joins import size_checked_join
+from staylens.operators.joins import keyed_join
 from staylens.workspace import stage
 
 
@@ -28,14 +28,13 @@ def running_totals(
 ) -> DataFrame:
     """Add ``before_<c>``: the sum of ``c`` over earlier rows of the same group.
 
-    ``df`` holds one row per group and value of ``order_by``, so ties are summed
-    beforehand and cannot overload a range. Ranges default to the number of shuffle
-    partitions, which a cluster sizes by its data.
+    ``df`` is a staged table, as it is read more than once. It holds one row per group
+    and value of ``order_by``, so ties are summed beforehand and cannot overload a range.
+    Ranges default to the number of shuffle partitions, which a cluster sizes by its data.
     """
     spark = df.sparkSession
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = df.withColumn("_order", F.col(order_by).cast("double")).where(F.col("_order").isNotNull())
-    ordered = stage(ordered, "running-totals")
     splits = _range_splits(ordered, "_order", ranges)
     ranged = Bucketizer(splits=splits, inputCol="_order", outputCol="_range", handleInvalid="keep").transform(ordered)
 
@@ -53,14 +52,14 @@ def running_totals(
     return joined.withColumns(before).select(*df.columns, *before)
 
 
-def ranked(df: DataFrame, group: Sequence[str], score: str, row_key: str, descending: bool = True) -> DataFrame:
+def ranked(df: DataFrame, group: Sequence[str], score: str, descending: bool = True) -> DataFrame:
     """Add ``rank`` within the group, ties sharing a rank, rows without score left out."""
     signed = (-F.col(score) if descending else F.col(score)).cast("double")
     scored = df.where(F.col(score).isNotNull()).withColumn("_signed", signed)
-    ties = scored.groupBy(*group, "_signed").agg(F.count("*").alias("n"))
-    ranks = running_totals(ties, "_signed", ["n"], group)
-    ranks = stage(ranks.select(*group, "_signed", (F.col("before_n") + 1).alias("rank")), "ranks")
-    return size_checked_join(scored, ranks, [*group, "_signed"], F.col(row_key), "inner").select(*df.columns, "rank")
+    ties = stage(scored.groupBy(*group, "_signed").agg(F.count("*").alias("_n")), "ties")
+    totals = running_totals(ties, "_signed", ["_n"], group)
+    ranks = stage(totals.select(*group, "_signed", "_n", (F.col("before__n") + 1).alias("rank")), "ranks")
+    return keyed_join(scored, ranks, [*group, "_signed"], "_n").select(*df.columns, "rank")
 
 
 def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> DataFrame:
@@ -69,10 +68,12 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float])
     Exact for any number of rows and distinct values; see ``quantiles.py`` for the
     sketch, which is one pass and enough for class boundaries.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-    cumulated = running_totals(counts, "value", ["n"])
-    total = cumulated.agg(F.sum("n")).scalar()
+    values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value"))
+    counts = stage(values.agg(F.count("*").alias("n")), "value-counts")
+    total = counts.agg(F.sum("n")).scalar()
     reached = F.col("before_n") + F.col("n")
-    picks = [F.min(F.when(reached >= F.lit(p) * total, F.col("value"))).alias(f"q{i}") for i, p in enumerate(probabilities)]
-    rows = F.array(*[F.struct(F.lit(float(p)).alias("p"), F.col(f"q{i}").alias("value")) for i, p in enumerate(probabilities)])
-    return cumulated.agg(*picks).select(F.inline(rows))
+    picks, rows = [], []
+    for i, p in enumerate(probabilities):
+        picks.append(F.min(F.when(reached >= F.lit(float(p)) * total, F.col("value"))).alias(f"q{i}"))
+        rows.append(F.struct(F.lit(float(p)).alias("p"), F.col(f"q{i}").alias("value")))
+    return running_totals(counts, "value", ["n"]).agg(*picks).select(F.inline(F.array(*rows)))

@@ -68,7 +68,7 @@ def leaderboard(registry: DataFrame) -> DataFrame:
     Scores of different types do not compare. Runs without a score are not ranked.
     """
     rated = registry.withColumn("_better", signed_score())
-    return ranked(rated, ["score_type"], "_better", KEY).drop("_better")
+    return ranked(rated, ["score_type"], "_better").drop("_better")
 
 
 def best_runs(registry: DataFrame, per: str = "task_name") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylens.functions.keys import hash_bucket
-from staylens.operators.joins import size_checked_join
+from staylens.operators.joins import keyed_join
 from staylens.workspace import stage
 
 Bucket = Callable[..., Column]  # (key, buckets, draw) -> bucket number
@@ -43,51 +43,58 @@ def sample_with_replacement(df: DataFrame, ratio: float, seed: int = 42) -> Data
 
 
 def repeat_rows(df: DataFrame, copies: Column) -> DataFrame:
-    """Each row ``copies`` times, numbered 1, 2, ... in ``copy``; zero drops the row."""
-    counted = df.withColumn("_copies", copies.cast("int")).where(F.col("_copies") > 0)
-    return counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies")
+    """Each row ``copies`` times, numbered 1, 2, ... in ``copy``; zero drops the row.
 
+    The filter follows the explosion: before it, it would be pushed down and compute
+    ``copies`` a second time.
+    """
+    counted = df.withColumn("_copies", copies.cast("int"))
+    numbers = F.when(F.col("_copies") > 0, F.sequence(F.lit(1), F.col("_copies")))
+    return counted.withColumn("copy", F.explode_outer(numbers)).where(F.col("copy").isNotNull()).drop("_copies")
 
-def poisson_draw(rate: Column, uniform: Column) -> Column:
-    """Poisson count for a uniform number in [0, 1): how often the summed
-    probabilities of 0, 1, 2, ... stay at or below it. Meant for rates up to 16."""
-    first = F.exp(-rate)
-    start = F.struct(first.alias("p"), first.alias("cdf"), (uniform >= first).cast("int").alias("n"))
-
-    def step(state, k):
-        p = state["p"] * rate / k
-        cdf = state["cdf"] + p
-        hit = (uniform >= cdf).cast("int")
-        return F.struct(p.alias("p"), cdf.alias("cdf"), (state["n"] + hit).alias("n"))
 
-    # Past 80 the remaining probability at rate 16 is below the resolution of a double.
-    return F.aggregate(F.sequence(F.lit(1), F.lit(80)), start, step, lambda state: state["n"])
+# A Poisson rate above this is drawn as a sum of equal smaller ones.
+_LARGEST_RATE = 16
 
 
-def poisson_copies(key: Column, rate: Column, bucket: Bucket = hash_bucket, resolution: int = 1_000_000) -> Column:
-    """Poisson copies of a row from its key.
+def poisson_table(rate: Column) -> Column:
+    """Struct of ``draws`` and the cumulative probabilities ``cdf`` of one draw.
 
-    A rate above 16 is the sum of independent draws at an equal share of the rate.
+    Entries within 1e-12 of one are left out; draws have a resolution of 1e-6.
     """
-    draws = F.greatest(F.lit(1), F.ceil(rate / 16)).cast("int")
+    draws = F.greatest(F.lit(1), F.ceil(rate / _LARGEST_RATE)).cast("int")
     share = rate / draws
+    first = F.exp(-share)
+    start = F.struct(first.alias("p"), F.array(first).alias("cdf"))
+
+    def step(state, k):
+        p = state["p"] * share / k
+        return F.struct(p.alias("p"), F.array_append(state["cdf"], F.element_at(state["cdf"], -1) + p).alias("cdf"))
+
+    cdf = F.aggregate(F.sequence(F.lit(1), F.lit(5 * _LARGEST_RATE)), start, step, lambda state: state["cdf"])
+    return F.struct(draws.alias("draws"), F.filter(cdf, lambda c: c < 1 - 1e-12).alias("cdf"))
+
+
+def poisson_copies(key: Column, table: Column, bucket: Bucket = hash_bucket, resolution: int = 1_000_000) -> Column:
+    """Poisson copies of a row from its key: per draw, the entries of the cumulative
+    probabilities that do not exceed the key's hash."""
 
     def draw(total, j):
         uniform = bucket(key, resolution, j) / F.lit(float(resolution))
-        return total + poisson_draw(share, uniform)
+        return total + F.size(F.filter(table["cdf"], lambda c: c <= uniform))
 
-    return F.aggregate(F.sequence(F.lit(0), draws - 1), F.lit(0), draw)
+    return F.aggregate(F.sequence(F.lit(0), table["draws"] - 1), F.lit(0), draw)
 
 
 def bootstrap_sample(df: DataFrame, ratio: float, key: str, bucket: Bucket = hash_bucket) -> DataFrame:
     """Sample with replacement: each row gets Poisson(``ratio``) copies."""
-    return repeat_rows(df, poisson_copies(F.col(key), F.lit(float(ratio)), bucket))
+    return repeat_rows(df, poisson_copies(F.col(key), poisson_table(F.lit(float(ratio))), bucket))
 
 
 def _class_plan(df: DataFrame, label: str) -> DataFrame:
-    """Per class: its rows ``n`` and the rows of the largest class ``target``."""
-    sizes = stage(df.groupBy(label).agg(F.count("*").alias("n")), "class-sizes")
-    return sizes.withColumn("target", sizes.agg(F.max("n")).scalar())
+    """Per class: its rows ``_n`` and the rows of the largest class ``_target``."""
+    sizes = stage(df.groupBy(label).agg(F.count("*").alias("_n")), "class-sizes")
+    return sizes.withColumn("_target", sizes.agg(F.max("_n")).scalar())
 
 
 def oversample_poisson(df: DataFrame, label: str, key: str, bucket: Bucket = hash_bucket) -> DataFrame:
@@ -95,9 +102,9 @@ def oversample_poisson(df: DataFrame, label: str, key: str, bucket: Bucket = has
 
     One pass over the rows for all classes, against one scan per class.
     """
-    plan = stage(_class_plan(df, label).select(label, (F.col("target") / F.col("n")).alias("_rate")), "class-rates")
-    rated = size_checked_join(df, plan, [label], F.col(key), "inner")
-    return repeat_rows(rated, poisson_copies(F.col(key), F.col("_rate"), bucket)).drop("_rate")
+    plan = _class_plan(df, label).withColumn("_table", poisson_table(F.col("_target") / F.col("_n")))
+    rated = keyed_join(df, stage(plan, "class-rates"), [label], "_n")
+    return repeat_rows(rated, poisson_copies(F.col(key), F.col("_table"), bucket)).drop("_n", "_target", "_table")
 
 
 def oversample_near(df: DataFrame, label: str, key: str, bucket: Bucket = hash_bucket) -> DataFrame:
@@ -105,11 +112,11 @@ def oversample_near(df: DataFrame, label: str, key: str, bucket: Bucket = hash_b
 
     Near the target size, without any sort or window.
     """
-    extra = (F.col("target") % F.col("n")) / F.col("n")
-    plan = _class_plan(df, label).select(label, F.expr("target div n").alias("_whole"), extra.alias("_extra"))
-    planned = size_checked_join(df, stage(plan, "class-copies"), [label], F.col(key), "inner")
-    one_more = bucket(F.col(key), 1_000_000) < F.col("_extra") * 1_000_000
-    return repeat_rows(planned, F.col("_whole") + one_more.cast("int")).drop("_whole", "_extra")
+    missing = F.expr("_target % _n") / F.col("_n")
+    plan = _class_plan(df, label).select(label, "_n", F.expr("_target div _n").alias("_whole"), missing.alias("_missing"))
+    planned = keyed_join(df, stage(plan, "class-copies"), [label], "_n")
+    one_more = bucket(F.col(key), 1_000_000) < F.col("_missing") * 1_000_000
+    return repeat_rows(planned, F.col("_whole") + one_more.cast("int")).drop("_n", "_whole", "_missing")
 
 
 def oversample(
@@ -135,11 +142,12 @@ def oversample(
     started = filled.withColumn("_start", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(plan, label)
     holds_cut = (F.col("_start") < F.col("_missing")) & (F.col("_start") + F.col("n") >= F.col("_missing"))
     cuts = started.groupBy(label).agg(
+        F.sum("n").alias("_n"),
         F.first("_whole").alias("_whole"),
         F.max(F.when(holds_cut, F.col("_bucket"))).alias("_cut"),
         F.max(F.when(holds_cut, F.col("_missing") - F.col("_start"))).alias("_take"),
     )
-    planned = size_checked_join(hashed, stage(cuts, "class-cuts"), [label], F.col(key), "inner")
+    planned = keyed_join(hashed, stage(cuts, "class-cuts"), [label], "_n")
 
     in_cut = F.coalesce(F.col("_bucket") == F.col("_cut"), F.lit(False))
     one_more = F.coalesce(F.col("_bucket") < F.col("_cut"), F.lit(False))
@@ -147,6 +155,6 @@ def oversample(
     place = F.row_number().over(Window.partitionBy(label).orderBy(key))
     close = planned.where(in_cut).withColumn("_extra", (place <= F.col("_take")).cast("int"))
     both = clear.unionByName(close)
-    return repeat_rows(both, F.col("_whole") + F.col("_extra")).drop("_bucket", "_whole", "_cut", "_take", "_extra")
+    return repeat_rows(both, F.col("_whole") + F.col("_extra")).drop("_bucket", "_n", "_whole", "_cut", "_take", "_extra")
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from staylens.functions.stopwords import ENGLISH_STOP_WORDS
 from staylens.functions.text import term_bucket
-from staylens.operators.joins import salted_join
+from staylens.operators.joins import keyed_join
+from staylens.workspace import stage
 
 # Fixed value: feature buckets of the sentiment job.
 TERM_BUCKETS = 20_000
@@ -28,17 +29,19 @@ def tfidf(counts: DataFrame, texts: DataFrame, key: str, term: str, bounded_term
     """Weight counts by ``ln((texts + 1) / (texts with the term + 1))``.
 
     With ``bounded_terms`` the terms are buckets of a fixed number (20,000 rows of two
-    numbers), so their weights are broadcast. A vocabulary has no such bound and some
-    terms are in most texts: it is joined salted by text.
+    numbers), so their weights are broadcast. A vocabulary has no such bound, and some
+    terms are in most texts: it is joined by ``keyed_join``.
     """
     total = texts.agg(F.count("*")).scalar()
+    if not bounded_terms:
+        counts = stage(counts, "term-counts")
     # Counting on ``tf`` lets both branches share the shuffle of the counts.
     frequency = counts.groupBy(term).agg(F.count_if(F.col("tf") > 0).alias("df"))
-    weights = frequency.select(term, F.log((total + 1) / (F.col("df") + 1)).alias("idf"))
+    weights = frequency.select(term, "df", F.log((total + 1) / (F.col("df") + 1)).alias("idf"))
     if bounded_terms:
         weighted = counts.join(F.broadcast(weights), term)
     else:
-        weighted = salted_join(counts, weights, [term], F.col(key), "inner")
+        weighted = keyed_join(counts, stage(weights, "term-weights"), [term], "df")
     return weighted.select(key, term, "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
 from staylens.functions import dates, ratings
@@ -119,21 +119,33 @@ def test_duplicate_review_ids_do_not_fan_out(spark):
     assert rows(aggregates.review_features(df)) == [(1, 1, 1), (1, 3, 2), (None, 1, 1)]
 
 
-@pytest.mark.parametrize("how", ["left", "inner"])
-def test_salted_and_broadcast_joins_agree(spark, how):
-    """One key holds a third of the rows."""
-    left = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"))
-    right = stage(spark.range(0, 60, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("y")), "right")
-    plain = rows(left.join(right, "k", how))
-    assert rows(joins.size_checked_join(left, right, ["k"], F.col("id"), how)) == plain
-    salted = joins.size_checked_join(left, right, ["k"], F.col("id"), how, max_rows=5)
-    assert rows(salted) == plain
-    assert rows(left.join(right, "k", how)) == plain
+@pytest.mark.parametrize("max_rows", [1, 4, 20, 1_000])
+def test_keyed_join_is_the_plain_join(spark, max_rows):
+    """One key holds a third of the rows; some rows have no key or no match."""
+    key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 50)
+    left = spark.range(3000).select("id", key.alias("k"))
+    counts = left.groupBy("k").agg(F.count("*").alias("n")).where("k IS NOT NULL AND k <> 11")
+    staged = stage(counts.withColumn("y", F.col("k") * 10), "keys")
+    joined = joins.keyed_join(left, staged, ["k"], "n", max_rows)
+    assert rows(joined) == rows(left.join(staged, "k"))
+
+
+def test_keyed_join_strategies(spark):
+    left = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
+    staged = stage(left.groupBy("k").agg(F.count("*").alias("n")), "keys")
+    plain = plan_of(joins.keyed_join(left, staged, ["k"], "n"))
+    assert plain.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in plain
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        split = plan_of(joins.keyed_join(left, staged, ["k"], "n", max_rows=500))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert split.count("BroadcastHashJoin") == 2 and split.count("SortMergeJoin") == 1
 
 
 def test_running_totals_match_window_for_any_number_of_ranges(spark):
     df = spark.range(400).select((F.col("id") % 3).alias("g"), (F.col("id") * 7919 % 401).alias("o"), F.col("id").alias("n"))
-    df = df.groupBy("g", "o").agg(F.sum("n").alias("n"))
+    df = stage(df.groupBy("g", "o").agg(F.sum("n").alias("n")), "totals")
     df.createOrReplaceTempView("totals")
     expected = rows(
         spark.sql("SELECT g, o, n, coalesce(sum(n) OVER (PARTITION BY g ORDER BY o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_n FROM totals")
@@ -151,7 +163,7 @@ def test_rank_with_ties(spark):
     )
     df.createOrReplaceTempView("scores")
     expected = spark.sql("SELECT *, CAST(rank() OVER (PARTITION BY g ORDER BY s DESC) AS LONG) AS rank FROM scores WHERE s IS NOT NULL")
-    assert rows(ranking.ranked(df, ["g"], "s", "key")) == rows(expected)
+    assert rows(ranking.ranked(df, ["g"], "s")) == rows(expected)
 
 
 def test_projection_helpers(spark):
