@@ -14,7 +14,7 @@ from staylens.functions.text import word_count
 from staylens.operators import clusters, nulls, projection
 from staylens.operators import metrics as m
 from staylens.sources.reviews import RATINGS, REVIEWS_CTE, reviews_from_orders
-from staylens.sources.tables import read_table
+from staylens.sources.tables import read_table, spread_small
 
 
 def rating_pairs(spark, sf_dir):
@@ -112,7 +112,7 @@ assigned AS (
 
 
 def assigned_documents(spark, sf_dir):
-    sized = read_table(spark, sf_dir, "documents").select(
+    sized = spread_small(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id",
         F.length("text").cast("double").alias("text_length"),
         word_count(F.col("text")).cast("double").alias("word_count"),

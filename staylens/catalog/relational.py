@@ -11,7 +11,7 @@ from staylens.operators.aggregates import row_counts as count_rows
 from staylens.sources.keylists import read_key_list
 from staylens.sources.reviews import RATINGS, REVIEWS_CTE, read_reviews_json, register_reviews, reviews_from_orders
 from staylens.sources.tables import read_table
-from staylens.workspace import new_dir
+from staylens.workspace import new_dir, stage
 
 WITH_REVIEWS = f"WITH {REVIEWS_CTE}"
 
@@ -146,7 +146,8 @@ def assemble_skip(spark, sf_dir):
 )
 def mean_impute(spark, sf_dir):
     columns = ["avg_text_length", "avg_helpful_votes"]
-    filled = nulls.impute_means(aggregates.user_features(reviews_from_orders(spark, sf_dir)), columns)
+    users = stage(aggregates.user_features(reviews_from_orders(spark, sf_dir)), "users")
+    filled = nulls.impute_means(users, columns)
     return filled.withColumns({c: F.round(c, 6) for c in columns})
 
 

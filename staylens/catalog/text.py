@@ -9,7 +9,7 @@ from staylens.functions import text as tx
 from staylens.functions.stopwords import ENGLISH_STOP_WORDS
 from staylens.operators import text_features
 from staylens.operators.text_features import TERM_BUCKETS
-from staylens.sources.tables import read_table
+from staylens.sources.tables import read_table, spread_small
 
 BLANK = "[\\t\\n\\v\\f\\r ]"
 STOP_SQL = ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH_STOP_WORDS)
@@ -30,7 +30,7 @@ counts AS (SELECT doc_id, term, CAST(count(*) AS BIGINT) AS tf FROM terms GROUP
 
 
 def documents(spark, sf_dir):
-    return read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread_small(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def filtered_words():
@@ -78,7 +78,7 @@ def rounded_weights(weights):
 def tfidf(spark, sf_dir):
     docs = documents(spark, sf_dir)
     counts = text_features.term_counts(docs, "doc_id", filtered_words())
-    return rounded_weights(text_features.tfidf(counts, docs, "doc_id", "term", bounded_terms=False))
+    return rounded_weights(text_features.tfidf(counts, docs, "doc_id", "term"))
 
 
 # MurmurHash3 (32 bit, seed 42) of each distinct term in SQL: whole words of four bytes,
@@ -121,4 +121,4 @@ def hashing_tf(spark, sf_dir):
 def hashing_tfidf(spark, sf_dir):
     docs = documents(spark, sf_dir)
     counts = text_features.hashed_term_counts(docs, "doc_id", filtered_words())
-    return rounded_weights(text_features.tfidf(counts, docs, "doc_id", "bucket", bounded_terms=True))
+    return rounded_weights(text_features.tfidf(counts, docs, "doc_id", "bucket", TERM_BUCKETS))

@@ -38,12 +38,12 @@ def flag_anomalies(
     as one map from a scalar subquery. A window per cluster would sort a whole cluster
     in one task.
     """
-    if clusters > 1_000:
-        raise ValueError("thresholds are looked up in a map, for at most 1,000 clusters")
     spread = F.coalesce(F.stddev_samp(distance), F.lit(0.0))
     limits = df.groupBy(cluster).agg((F.avg(distance) + deviations * spread).alias("threshold"))
-    entries = F.collect_list(F.struct(cluster, "threshold"))
-    thresholds = limits.agg(F.map_from_entries(entries)).scalar()
+    listed = limits.limit(clusters + 1).agg(F.collect_list(F.struct(cluster, "threshold")).alias("all"))
+    too_many = F.raise_error(F.lit(f"more than {clusters} clusters"))
+    checked = F.when(F.size("all") <= clusters, F.map_from_entries("all")).otherwise(too_many)
+    thresholds = listed.select(checked).scalar()
     with_threshold = df.withColumn("threshold", F.element_at(thresholds, F.col(cluster)))
     return with_threshold.withColumn("is_anomaly", F.col(distance) > F.col("threshold"))
 

@@ -13,6 +13,10 @@ from staylens.operators.ranking import running_totals
 from staylens.workspace import stage
 
 
+# Pairs of label and prediction that one record may hold; more are refused.
+_MOST_CELLS = 10_000
+
+
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Rows per label and prediction; combinations that never occur are absent."""
     pair = [F.col(label).alias("label"), F.col(prediction).alias("prediction")]
@@ -69,47 +73,39 @@ def auc(df: DataFrame, score: str, label: str = "label") -> DataFrame:
     return ordered.agg(F.when(pairs > 0, wins / pairs).alias("auc"))
 
 
-def silhouette_rows(df: DataFrame, columns: Sequence[str], cluster: str, max_clusters: int = 1_000) -> DataFrame:
+def silhouette_rows(df: DataFrame, columns: Sequence[str], cluster: str, max_clusters: int = 100) -> DataFrame:
     """Add ``silhouette`` per row, squared Euclidean, from per-cluster sums.
 
     The mean squared distance of x to a cluster of n rows with sum Y and squared
-    norms S is |x|^2 + S/n - 2 x.Y/n, so no pair of rows is formed. What every row
-    sees is one array entry per cluster; above ``max_clusters`` the query fails, and
-    it also fails for a single cluster, which has no silhouette.
+    norms S is |x|^2 + S/n - 2 x.Y/n, so no pair of rows is formed. The sums, one row
+    per cluster, are fetched first; more than ``max_clusters`` of them are refused, and
+    so is a single cluster, which has no silhouette.
     """
-
-    def norm():
-        return reduce(add, [F.col(c) * F.col(c) for c in columns])
-
+    norm = reduce(add, [F.col(c) * F.col(c) for c in columns])
     sums = df.groupBy(F.col(cluster).alias("cluster")).agg(
-        F.count("*").alias("n"),
-        F.sum(norm()).alias("s"),
-        *[F.sum(c).alias(f"y{i}") for i, c in enumerate(columns)],
-    )
-    entry = F.struct("cluster", "n", "s", *[f"y{i}" for i in range(len(columns))])
-    listed = sums.limit(max_clusters + 1).agg(F.collect_list(entry).alias("all"))
-    checked = (
-        F.when(F.size("all") < 2, F.raise_error(F.lit("silhouette needs at least two clusters")))
-        .when(F.size("all") > max_clusters, F.raise_error(F.lit(f"more than {max_clusters} clusters")))
-        .otherwise(F.col("all"))
-    )
-    clusters = listed.select(checked).scalar()
-
-    def mean_distance(c):
-        dot = reduce(add, [F.col(name) * c[f"y{i}"] for i, name in enumerate(columns)])
-        return norm() + c["s"] / c["n"] - 2 * dot / c["n"]
-
-    distances = F.transform(
-        "_clusters", lambda c: F.struct(c["cluster"].alias("cluster"), c["n"].alias("n"), mean_distance(c).alias("d"))
+        F.count("*").alias("n"), F.avg(norm).alias("norm"), *[F.avg(c).alias(f"y{i}") for i, c in enumerate(columns)]
     )
-    own = F.filter("_distances", lambda c: c["cluster"] == F.col(cluster))[0]
-    others = F.filter("_distances", lambda c: c["cluster"] != F.col(cluster))
-    a = own["d"] * own["n"] / (own["n"] - 1)
-    b = F.array_min(F.transform(others, lambda c: c["d"]))
-    ratio = F.when(a < b, 1 - a / b).when(a > b, b / a - 1).otherwise(0.0)
-    value = F.when(own["n"] > 1, ratio).otherwise(0.0)
-    compared = df.withColumn("_clusters", clusters).withColumn("_distances", distances)
-    return compared.withColumn("silhouette", value).drop("_clusters", "_distances")
+    clusters = sums.limit(max_clusters + 1).collect()
+    if len(clusters) < 2:
+        raise ValueError("silhouette needs at least two clusters")
+    if len(clusters) > max_clusters:
+        raise ValueError(f"more than {max_clusters} clusters")
+
+    distances = {}
+    for k, c in enumerate(clusters):
+        dot = reduce(add, [F.col(name) * F.lit(c[f"y{i}"]) for i, name in enumerate(columns)])
+        distances[f"_d{k}"] = norm + F.lit(c["norm"]) - 2 * dot
+    own, others = F.lit(None).cast("double"), []
+    for k, c in enumerate(clusters):
+        is_own = F.col(cluster) == F.lit(c["cluster"])
+        # A row is not compared with itself; alone in its cluster it has no distance.
+        scale = F.lit(c["n"] / (c["n"] - 1) if c["n"] > 1 else None).cast("double")
+        own = F.when(is_own, F.col(f"_d{k}") * scale).otherwise(own)
+        others.append(F.when(~is_own, F.col(f"_d{k}")))
+    compared = df.withColumns(distances).withColumns({"_a": own, "_b": F.least(*others)})
+    a, b = F.col("_a"), F.col("_b")
+    value = F.when(a < b, 1 - a / b).when(a > b, b / a - 1).otherwise(0.0)
+    return compared.withColumn("silhouette", value).drop(*distances, "_a", "_b")
 
 
 def silhouette(df: DataFrame, columns: Sequence[str], cluster: str) -> DataFrame:
@@ -122,7 +118,9 @@ def metrics_record(df: DataFrame, label: str = "label", prediction: str = "predi
     scores = f1_scores(df, label, prediction)
     cells = confusion_matrix(df, label, prediction)
     cell = F.struct("label", "prediction", F.col("n").alias("count"))
-    matrix = cells.agg(F.sort_array(F.collect_list(cell))).scalar()
+    listed = cells.limit(_MOST_CELLS + 1).agg(F.sort_array(F.collect_list(cell)).alias("cells"))
+    too_many = F.raise_error(F.lit(f"more than {_MOST_CELLS} label and prediction pairs"))
+    matrix = listed.select(F.when(F.size("cells") <= _MOST_CELLS, F.col("cells")).otherwise(too_many)).scalar()
     return scores.select(
         F.struct(
             F.round("weighted_f1", 4).alias("f1_score"),

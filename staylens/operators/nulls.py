@@ -13,13 +13,21 @@ def impute_means(df: DataFrame, columns: Sequence[str], default: float = 0.0) ->
     """Replace nulls by the column mean, or by ``default`` when all are null.
 
     The means arrive as one scalar subquery: a partial aggregate per task and one
-    row for the plan. No join and no unpartitioned window is involved.
+    row for the plan. No join and no unpartitioned window is involved. ``df`` is read
+    twice; stage it when that is costly.
     """
     means = df.agg(F.struct(*[F.avg(c).alias(c) for c in columns]).alias("means")).scalar()
     filled = {c: F.coalesce(F.col(c).cast("double"), means[c], F.lit(float(default))) for c in columns}
     return df.withColumns(filled)
 
 
+def fill_means(df: DataFrame, columns: Sequence[str], default: float = 0.0) -> DataFrame:
+    """``impute_means`` with means computed now, for a staged frame that fits iterate over."""
+    means = df.agg(*[F.avg(c).alias(c) for c in columns]).first()
+    constants = {c: default if means[c] is None else float(means[c]) for c in columns}
+    return df.withColumns({c: F.col(c).cast("double") for c in columns}).na.fill(constants)
+
+
 def drop_incomplete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows in which none of the columns is null."""
     return df.na.drop(subset=list(columns))

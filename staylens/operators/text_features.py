@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer
+from pyspark.ml.feature import HashingTF, StopWordsRemover, Tokenizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,31 +25,31 @@ def hashed_term_counts(df: DataFrame, key: str, words: Column, buckets: int = TE
     return term_counts(df, key, F.transform(words, lambda w: term_bucket(w, buckets)), "bucket")
 
 
-def tfidf(counts: DataFrame, texts: DataFrame, key: str, term: str, bounded_terms: bool) -> DataFrame:
+def tfidf(counts: DataFrame, texts: DataFrame, key: str, term: str, buckets: int | None = None) -> DataFrame:
     """Weight counts by ``ln((texts + 1) / (texts with the term + 1))``.
 
-    With ``bounded_terms`` the terms are buckets of a fixed number (20,000 rows of two
-    numbers), so their weights are broadcast. A vocabulary has no such bound, and some
-    terms are in most texts: it is joined by ``keyed_join``.
+    Hashed counts name their number of ``buckets``: that is how many weights there are
+    at most, and up to a million of them are broadcast. A vocabulary has no such bound,
+    and some terms are in most texts: it is joined by ``keyed_join``.
     """
     total = texts.agg(F.count("*")).scalar()
-    if not bounded_terms:
+    hashed = buckets is not None and buckets <= 1_000_000
+    if not hashed:
         counts = stage(counts, "term-counts")
     # Counting on ``tf`` lets both branches share the shuffle of the counts.
     frequency = counts.groupBy(term).agg(F.count_if(F.col("tf") > 0).alias("df"))
     weights = frequency.select(term, "df", F.log((total + 1) / (F.col("df") + 1)).alias("idf"))
-    if bounded_terms:
+    if hashed:
         weighted = counts.join(F.broadcast(weights), term)
     else:
         weighted = keyed_join(counts, stage(weights, "term-weights"), [term], "df")
     return weighted.select(key, term, "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
-def text_vector_stages(text: str, output: str = "features", buckets: int = TERM_BUCKETS) -> list:
-    """Pipeline stages from text to a TF-IDF vector."""
+def term_vector_stages(text: str, output: str = "raw_features", buckets: int = TERM_BUCKETS) -> list:
+    """Stages from text to a hashed term count vector; they need no fitting."""
     return [
         Tokenizer(inputCol=text, outputCol="words"),
         StopWordsRemover(inputCol="words", outputCol="filtered_words", stopWords=ENGLISH_STOP_WORDS),
-        HashingTF(inputCol="filtered_words", outputCol="raw_features", numFeatures=buckets),
-        IDF(inputCol="raw_features", outputCol=output),
+        HashingTF(inputCol="filtered_words", outputCol=output, numFeatures=buckets),
     ]

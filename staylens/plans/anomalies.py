@@ -35,11 +35,12 @@ def cluster_distances(
     Predictions carry each row's ``distance`` to its own centre, the cluster's
     ``threshold`` and ``is_anomaly``; the run's score is the mean distance.
     """
-    features = stage(nulls.impute_means(features, columns), "anomaly-features")
+    features = stage(features, "anomaly-features")
     if features.isEmpty():
         return JobResult(features.sparkSession)
+    features = nulls.fill_means(features, columns)
     scaler = Pipeline(stages=scaled_vector_stages(columns)).fit(features)
-    scaled = stage(scaler.transform(features), "anomaly-scaled")
+    scaled = scaler.transform(features)
 
     def with_distance(model, predictions: DataFrame) -> DataFrame:
         centres = model.clusterCenters()

@@ -32,7 +32,7 @@ def segment_entities(
     """
     stats = stage(entity_stats(df, key, measures), "entity-stats")
     features = Pipeline(stages=scaled_vector_stages([c for c in stats.columns if c != key])).fit(stats)
-    scaled = stage(features.transform(stats), "entity-features")
+    scaled = features.transform(stats)
 
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="cluster_id")
     settings = dict(k=k, seed=seed, featuresCol="features", predictionCol="cluster_id")

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
+from pyspark.ml.feature import IDF
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions.ratings import sentiment_label
 from staylens.operators.sampling import hash_split
-from staylens.operators.text_features import TERM_BUCKETS, text_vector_stages
+from staylens.operators.text_features import TERM_BUCKETS, term_vector_stages
 from staylens.plans.experiments import JobResult, run_experiments, sentiment_score
 from staylens.sources.registry import RunRegistry
 from staylens.workspace import stage
@@ -35,25 +36,26 @@ def compare_sentiment_models(
 ) -> JobResult:
     """Logistic regression and linear SVM over TF-IDF vectors, scored by AUC.
 
-    Feature stages are fitted on the training part and staged once for both models.
-    A saved model holds them too, so it takes plain text.
+    Texts are read and split once, into staged term vectors. The IDF weights come from
+    the training part only. A saved model holds all stages, so it takes plain text.
     """
     labelled = reviews.select(
         F.col(key).alias("id"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
         sentiment_label(F.col(overall), null_is_negative=null_is_negative).alias("label"),
     ).where(F.col("label").isNotNull())
-    train, test = hash_split(labelled, "id")
-    features = Pipeline(stages=text_vector_stages("text", buckets=buckets)).fit(train)
-    columns = ["id", "label", "features"]
+    terms = term_vector_stages("text", buckets=buckets)
+    vectors = PipelineModel(terms).transform(labelled).select("id", "label", "raw_features")
+    train, test = hash_split(stage(vectors, "term-vectors"), "id")
+    idf = IDF(inputCol="raw_features", outputCol="features").fit(train)
     return run_experiments(
         "task_c",
         TASK_NAME,
         models or estimators(),
-        train=stage(features.transform(train).select(*columns), "text-train"),
-        test=stage(features.transform(test).select(*columns), "text-test"),
+        train=idf.transform(train),
+        test=idf.transform(test),
         evaluate=sentiment_score,
-        shared_stages=features.stages,
+        shared_stages=[*terms, idf],
         model_dir=model_dir,
         registry=registry,
     )

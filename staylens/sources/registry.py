@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from staylens.operators import registry_views as views
+from staylens.workspace import stage
 
 DETAILS_SCHEMA = T.StructType(
     [
@@ -116,7 +117,7 @@ class RunRegistry:
         return views.get(self.puts(), row_keys)
 
     def leaderboard(self) -> DataFrame:
-        return views.leaderboard(self.read())
+        return views.leaderboard(stage(self.read(), "registry"))
 
     def best_run(self, task_name: str):
         """The best run of a task as one row."""

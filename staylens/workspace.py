@@ -26,9 +26,20 @@ def shared_base(spark: SparkSession) -> str:
     return _local_base[0]
 
 
+def session_dir(spark: SparkSession) -> str:
+    """The folder below the shared base that holds everything this application staged."""
+    return f"{shared_base(spark)}/staylens/{spark.sparkContext.applicationId}"
+
+
 def new_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared base; nothing is created yet."""
-    return f"{shared_base(spark)}/staylens/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the session's folder; nothing is created yet."""
+    return f"{session_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application staged. Frames and models that read it end here."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(session_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

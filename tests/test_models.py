@@ -117,6 +117,8 @@ def test_distances(spark):
 
 
 def test_anomaly_flags(spark):
+    with pytest.raises(Exception, match="more than 1 clusters"):
+        clusters.flag_anomalies(spark.createDataFrame([(0, 1.0), (1, 2.0)], "cluster int, distance double"), 1).collect()
     df = spark.range(201).select((F.col("id") % 2).cast("int").alias("cluster"), F.when(F.col("id") == 200, 50.0).otherwise(1.0).alias("distance"))
     flagged = clusters.flag_anomalies(df, 2)
     assert flagged.count() == 201 and flagged.where("is_anomaly").count() == 1
@@ -188,3 +190,19 @@ def test_anomaly_job_without_rows(spark, sf_dir):
     none = reviews_from_orders(spark, sf_dir).where("id < 0")
     job = anomalies.find_anomalies(none)
     assert job.runs == [] and job.records().count() == 0
+
+
+def test_jobs_from_the_command_line(spark, sf_dir, tmp_path, capsys):
+    from staylens.__main__ import main
+
+    reviews, models, registry = (str(tmp_path / n) for n in ("reviews", "models", "registry"))
+    reviews_from_orders(spark, sf_dir).write.json(reviews)
+    kept = new_dir(spark, "kept")
+    main(["segment", "anomalies", "--reviews", reviews, "--format", "json", "--models", models, "--registry", registry])
+    assert "KMeans_User" in capsys.readouterr().out
+    assert RunRegistry(spark, registry).read().count() == 4
+    path = RunRegistry(spark, registry).best_run("Task A - Clustering")["model_path"]
+    assert path.startswith(models) and load_pipeline(path).stages
+    # What the jobs staged is gone, and nothing else.
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(kept)
