@@ -161,6 +161,15 @@ def trained_registry(spark, sf_dir):
     return _registries.get((spark.sparkContext.applicationId, sf_dir)) or train_sentiment(spark, sf_dir)
 
 
+@query("model_comparison")
+def model_comparison(spark, sf_dir):
+    """The recorded sentiment runs side by side, every metric of each."""
+    details = [F.col(f"details.{c}").alias(c) for c in ("f1_score", "precision", "recall")]
+    cells = F.to_json("details.confusion_matrix").alias("confusion_matrix")
+    board = trained_registry(spark, sf_dir).leaderboard()
+    return board.select("rank", "model_name", "score_type", "evaluation_score", *details, cells)
+
+
 @query("score_batch")
 def score_batch(spark, sf_dir):
     """Every document scored by the best model recorded for the task."""

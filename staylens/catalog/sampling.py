@@ -40,10 +40,24 @@ def random_split(spark, sf_dir):
     )
 
 
-@query("sample_with_replacement")
+@query(
+    "sample_with_replacement",
+    """SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_foreign, true AS has_repeats, true AS near_size
+    FROM orders""",
+)
 def sample_with_replacement(spark, sf_dir):
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    return sampling.sample_with_replacement(orders, 1.0)
+    """What holds for any layout: rows of the table only, some repeated, about as many."""
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey")
+    sampled = sampling.sample_with_replacement(orders, 1.0)
+    drawn = sampled.groupBy("o_orderkey").agg(F.count("*").alias("drawn"))
+    compared = orders.withColumn("known", F.lit(1)).join(drawn, "o_orderkey", "full")
+    rows, size = F.sum("known"), F.sum("drawn")
+    return compared.agg(
+        rows.alias("n_rows"),
+        F.count_if(F.col("known").isNull()).alias("n_foreign"),
+        (F.max("drawn") > 1).alias("has_repeats"),
+        (F.abs(size / rows - 1) < 0.1).alias("near_size"),
+    )
 
 
 def draw_sql(rates: str, rows: str, key: str, columns: str) -> str:

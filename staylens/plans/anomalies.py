@@ -14,7 +14,7 @@ from staylens.operators.clusters import flag_anomalies, mean_distance
 from staylens.operators.features import scaled_vector_stages
 from staylens.plans.experiments import JobResult, Score, run_experiments
 from staylens.sources.registry import RunRegistry
-from staylens.workspace import stage
+from staylens.workspace import stage_for_fit
 
 USER_COLUMNS = ["review_count", "avg_text_length", "avg_helpful_votes"]
 REVIEW_COLUMNS = ["text_length", "word_count"]
@@ -35,7 +35,7 @@ def cluster_distances(
     Predictions carry each row's ``distance`` to its own centre, the cluster's
     ``threshold`` and ``is_anomaly``; the run's score is the mean distance.
     """
-    features = stage(features, "anomaly-features")
+    features = stage_for_fit(features, "anomaly-features")
     if features.isEmpty():
         return JobResult(features.sparkSession)
     features = nulls.fill_means(features, columns)

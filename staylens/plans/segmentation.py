@@ -13,7 +13,7 @@ from staylens.operators.aggregates import entity_stats
 from staylens.operators.features import scaled_vector_stages
 from staylens.plans.experiments import JobResult, Score, run_experiments
 from staylens.sources.registry import RunRegistry
-from staylens.workspace import stage
+from staylens.workspace import stage_for_fit
 
 
 def segment_entities(
@@ -30,7 +30,7 @@ def segment_entities(
     The fits iterate over the staged aggregate, one row per entity; the rows below it
     are read once.
     """
-    stats = stage(entity_stats(df, key, measures), "entity-stats")
+    stats = stage_for_fit(entity_stats(df, key, measures), "entity-stats")
     features = Pipeline(stages=scaled_vector_stages([c for c in stats.columns if c != key])).fit(stats)
     scaled = features.transform(stats)
 

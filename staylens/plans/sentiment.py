@@ -13,7 +13,7 @@ from staylens.operators.sampling import hash_split
 from staylens.operators.text_features import TERM_BUCKETS, term_vector_stages
 from staylens.plans.experiments import JobResult, run_experiments, sentiment_score
 from staylens.sources.registry import RunRegistry
-from staylens.workspace import stage
+from staylens.workspace import stage_for_fit
 
 TASK_NAME = "Task C - Sentiment Analysis"
 
@@ -46,7 +46,7 @@ def compare_sentiment_models(
     ).where(F.col("label").isNotNull())
     terms = term_vector_stages("text", buckets=buckets)
     vectors = PipelineModel(terms).transform(labelled).select("id", "label", "raw_features")
-    train, test = hash_split(stage(vectors, "term-vectors"), "id")
+    train, test = hash_split(stage_for_fit(vectors, "term-vectors"), "id")
     idf = IDF(inputCol="raw_features", outputCol="features").fit(train)
     return run_experiments(
         "task_c",

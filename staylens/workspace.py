@@ -53,3 +53,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_for_fit(df: DataFrame, name: str, rows_per_task: int = 50_000) -> DataFrame:
+    """``stage`` for a frame that a fit reads many times.
+
+    Each iteration merges one gradient or histogram per task, so many tasks with few
+    rows each cost more than they save: small tables are read by fewer tasks, without a
+    shuffle. Large ones keep the partitions their files give them.
+    """
+    staged = stage(df, name)
+    tasks = max(1, -(-staged.count() // rows_per_task))
+    return staged.coalesce(tasks) if tasks < staged.rdd.getNumPartitions() else staged

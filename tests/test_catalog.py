@@ -9,7 +9,7 @@ import __spark_entry__
 from staylens.catalog import ORACLES, QUERIES
 
 # Queries that fit models before they return a plan.
-FITTED = {"score_batch", "score_stream", "model_roundtrip"} | {
+FITTED = {"score_batch", "score_stream", "model_roundtrip", "model_comparison"} | {
     name for name in QUERIES if name.startswith(("job_", "cluster_", "classify_", "sentiment_lr", "sentiment_svm"))
 }
 
