@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions.vectors import squared_distances
+from staylens.workspace import stage
 
 Centres = Sequence[Sequence[float]]
 
@@ -53,9 +54,10 @@ def naive_bayes_parameters(df: DataFrame, label: str, columns: Sequence[str], sm
 
     One aggregate over the rows; everything after it is one row per class.
     """
-    sums = df.groupBy(F.col(label).alias("label")).agg(
+    per_label = df.groupBy(F.col(label).alias("label")).agg(
         F.count("*").alias("n"), *[F.sum(c).alias(c) for c in columns]
     )
+    sums = stage(per_label, "class-sums")
     overall = sums.agg(F.struct(F.sum("n").alias("n"), F.count("*").alias("classes")).alias("t")).scalar()
     pi = F.log((F.col("n") + smoothing) / (overall["n"] + smoothing * overall["classes"]))
     per_class = sum((F.col(c) for c in columns[1:]), F.col(columns[0])) + smoothing * len(columns)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from staylens.operators import registry_views as views
 from staylens.sources.registry import PUT_SCHEMA, RunRecord, RunRegistry
 from staylens.streaming.scoring import read_stream, score_stream
-from staylens.workspace import new_dir, shared_base, stage
+from staylens.workspace import new_dir, shared_base, stage, stage_for_fit
 
 STAMP = datetime(2025, 6, 11, 10, 46, 6, tzinfo=timezone.utc)
 
@@ -89,6 +89,14 @@ def test_stage_uses_the_shared_folder(spark):
     assert all(shared_base(spark) in f for f in staged.inputFiles())
 
 
+def test_small_fit_inputs_are_read_by_few_tasks(spark):
+    df = spark.range(0, 1000, 1, 8)
+    assert stage_for_fit(df, "small").rdd.getNumPartitions() == 1
+    assert stage_for_fit(df, "small", rows_per_task=400).rdd.getNumPartitions() == 3
+    assert stage_for_fit(df, "large", rows_per_task=1).rdd.getNumPartitions() > 3
+    assert rows(stage_for_fit(df, "small")) == rows(df)
+
+
 def test_stream_continues_where_it_stopped(spark, tmp_path):
     from pyspark.ml import PipelineModel
     from pyspark.ml.feature import Tokenizer
