@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from staylens.catalog.base import query
-from staylens.catalog.relational import DATED_CTE, WITH_REVIEWS
+from staylens.catalog.relational import DATED_CTE
 from staylens.functions.text import word_count
 from staylens.operators import clusters, nulls, projection
 from staylens.operators import metrics as m

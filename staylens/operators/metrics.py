@@ -31,10 +31,12 @@ def f1_scores(df: DataFrame, label: str = "label", prediction: str = "prediction
     """
     cells = confusion_matrix(df, label, prediction)
     hits = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
-    sides = F.array(
-        F.struct(F.col("label").alias("c"), F.col("n").alias("actual"), F.lit(0).cast("long").alias("predicted"), hits.alias("hit")),
-        F.struct(F.col("prediction").alias("c"), F.lit(0).cast("long").alias("actual"), F.col("n").alias("predicted"), F.lit(0).cast("long").alias("hit")),
-    )
+    none = F.lit(0).cast("long")
+
+    def side(c: str, actual, predicted, hit):
+        return F.struct(F.col(c).alias("c"), actual.alias("actual"), predicted.alias("predicted"), hit.alias("hit"))
+
+    sides = F.array(side("label", F.col("n"), none, hits), side("prediction", none, F.col("n"), none))
     classes = (
         cells.select(F.inline(sides))
         .groupBy("c")

@@ -31,9 +31,15 @@ def pairs(spark):
 
 def test_f1_equals_mllib(spark, pairs):
     ours = metrics.f1_scores(pairs).first()
-    names = {"weighted_f1": "f1", "weighted_precision": "weightedPrecision", "weighted_recall": "weightedRecall", "accuracy": "accuracy"}
+    names = {
+        "weighted_f1": "f1",
+        "weighted_precision": "weightedPrecision",
+        "weighted_recall": "weightedRecall",
+        "accuracy": "accuracy",
+    }
     for mine, theirs in names.items():
-        assert ours[mine] == pytest.approx(MulticlassClassificationEvaluator(metricName=theirs).evaluate(pairs), abs=1e-12)
+        expected = MulticlassClassificationEvaluator(metricName=theirs).evaluate(pairs)
+        assert ours[mine] == pytest.approx(expected, abs=1e-12)
 
 
 def test_confusion_matrix_omits_absent_cells(spark, pairs):
@@ -63,7 +69,9 @@ def test_auc_brute_force(spark):
 
 def test_silhouette_equals_mllib(spark):
     df = spark.range(90).select(
-        (F.col("id") % 9).cast("double").alias("a"), (F.col("id") * 7 % 13).cast("double").alias("b"), (F.col("id") % 3).cast("int").alias("prediction")
+        (F.col("id") % 9).cast("double").alias("a"),
+        (F.col("id") * 7 % 13).cast("double").alias("b"),
+        (F.col("id") % 3).cast("int").alias("prediction"),
     )
     vectors = nulls.assemble(df, ["a", "b"], "features")
     assert metrics.silhouette(df, ["a", "b"], "prediction").first()[0] == pytest.approx(ClusteringEvaluator().evaluate(vectors), abs=1e-12)
@@ -98,7 +106,9 @@ def test_label_index_order(spark):
 
 def test_naive_bayes_equals_mllib(spark):
     df = spark.range(60).select(
-        (F.col("id") % 3).cast("double").alias("label"), (F.col("id") % 5).cast("double").alias("a"), (F.col("id") * 3 % 7).cast("double").alias("b")
+        (F.col("id") % 3).cast("double").alias("label"),
+        (F.col("id") % 5).cast("double").alias("a"),
+        (F.col("id") * 3 % 7).cast("double").alias("b"),
     )
     model = NaiveBayes(smoothing=1.0).fit(nulls.assemble(df, ["a", "b"], "features"))
     for row in clusters.naive_bayes_parameters(df, "label", ["a", "b"]).collect():
@@ -119,7 +129,8 @@ def test_distances(spark):
 def test_anomaly_flags(spark):
     with pytest.raises(Exception, match="more than 1 clusters"):
         clusters.flag_anomalies(spark.createDataFrame([(0, 1.0), (1, 2.0)], "cluster int, distance double"), 1).collect()
-    df = spark.range(201).select((F.col("id") % 2).cast("int").alias("cluster"), F.when(F.col("id") == 200, 50.0).otherwise(1.0).alias("distance"))
+    distance = F.when(F.col("id") == 200, 50.0).otherwise(1.0).alias("distance")
+    df = spark.range(201).select((F.col("id") % 2).cast("int").alias("cluster"), distance)
     flagged = clusters.flag_anomalies(df, 2)
     assert flagged.count() == 201 and flagged.where("is_anomaly").count() == 1
     assert flagged.where("is_anomaly").first().distance == 50.0

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from staylens.operators import aggregates, nulls, projection, registry_views, sampling
 from staylens.sources.registry import RunRegistry
-from staylens.sources.reviews import RATINGS, read_reviews_parquet, reviews_from_orders
+from staylens.sources.reviews import read_reviews_parquet, reviews_from_orders
 from staylens.sources.tables import read_table
 
 

@@ -148,7 +148,10 @@ def test_running_totals_match_window_for_any_number_of_ranges(spark):
     df = stage(df.groupBy("g", "o").agg(F.sum("n").alias("n")), "totals")
     df.createOrReplaceTempView("totals")
     expected = rows(
-        spark.sql("SELECT g, o, n, coalesce(sum(n) OVER (PARTITION BY g ORDER BY o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_n FROM totals")
+        spark.sql(
+            """SELECT g, o, n, coalesce(sum(n) OVER (PARTITION BY g ORDER BY o
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_n FROM totals"""
+        )
     )
     for ranges in (1, 2, 7, 64):
         assert rows(ranking.running_totals(df, "o", ["n"], ["g"], ranges)) == expected
