@@ -12,6 +12,7 @@ from staylens.catalog.statistics import LABELLED_CTE, labelled_rooms
 from staylens.functions.keys import arithmetic_bucket, arithmetic_bucket_sql
 from staylens.operators import sampling
 from staylens.sources.tables import read_table
+from staylens.workspace import stage
 
 
 @query(
@@ -103,10 +104,15 @@ def bootstrap_sample(spark, sf_dir):
     ),
 )
 def oversample_poisson(spark, sf_dir):
-    rooms = labelled_rooms(spark, sf_dir).select("id", "rooms_label")
+    rooms = staged_rooms(spark, sf_dir)
     return sampling.oversample_poisson(rooms, "rooms_label", "id", arithmetic_bucket)
 
 
+def staged_rooms(spark, sf_dir):
+    """Labelled reviews, staged because balancing reads them more than once."""
+    return stage(labelled_rooms(spark, sf_dir).select("id", "rooms_label"), "labelled-rooms")
+
+
 COPIES = "SELECT id, rooms_label, unnest(range(CAST(1 AS INT), CAST(copies AS INT) + 1))::INT AS copy FROM copies"
 
 
@@ -125,7 +131,7 @@ COPIES = "SELECT id, rooms_label, unnest(range(CAST(1 AS INT), CAST(copies AS IN
     {COPIES}""",
 )
 def oversample(spark, sf_dir):
-    rooms = labelled_rooms(spark, sf_dir).select("id", "rooms_label")
+    rooms = staged_rooms(spark, sf_dir)
     return sampling.oversample(rooms, "rooms_label", "id", arithmetic_bucket)
 
 
@@ -141,5 +147,5 @@ def oversample(spark, sf_dir):
     {COPIES}""",
 )
 def oversample_near(spark, sf_dir):
-    rooms = labelled_rooms(spark, sf_dir).select("id", "rooms_label")
+    rooms = staged_rooms(spark, sf_dir)
     return sampling.oversample_near(rooms, "rooms_label", "id", arithmetic_bucket)

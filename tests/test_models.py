@@ -147,6 +147,9 @@ def test_segmentation(spark, sf_dir):
         assert -1 <= run.record.evaluation_score <= 1
     assert registry.read().count() == 2 == job.records().count()
     kmeans = job.runs[0]
+    centres = kmeans.model.stages[-1].clusterCenters()
+    for row in kmeans.predictions.select(vector_to_array("features").alias("f"), "cluster_id").collect():
+        assert row.cluster_id == min(range(3), key=lambda k: math.dist(row.f, centres[k]))
     loaded = load_pipeline(kmeans.record.model_path)
     stats = kmeans.predictions.drop("raw_features", "features", "cluster_id")
     assert rows(loaded.transform(stats).select("offering_id", "cluster_id")) == rows(
