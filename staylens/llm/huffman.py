@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -16,21 +17,26 @@ from staylens.llm.texts import Texts, as_binary, flat_bytes, gather, pattern_pie
 
 LONGEST = 16
 STRIDE = 512
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 2 << 20
 END_ID = 2
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
 
 
 # --- tokenizing -----------------------------------------------------------------------
 
 _tokenizers: dict[str, tuple] = {}
 
+# The bytes that byte-level BPE files write as the character of the same number.
+# The others are written as U+0100 onward, in order.
+PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_CHARS = {b: 0x100 + i for i, b in enumerate(sorted({*range(0x100)} - {*PRINTABLE}))}
+
 
 def encode_texts(column: pa.Array, tokenizer: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all rows as the ``tokenizers`` library gives them (no special tokens), and where each row's begin.
 
-    The library encodes each different pre-token once; a process keeps up to ``CACHED_WORDS`` of them.
-    Only for byte-level BPE files, whose pre-tokens are encoded one by one.
+    The library's model encodes each different pre-token once; a process keeps up to ``CACHED_WORDS``
+    of them. Only for byte-level BPE files, whose pre-tokens are encoded one by one.
     """
     from tokenizers import Tokenizer
 
@@ -50,9 +56,10 @@ def encode_texts(column: pa.Array, tokenizer: str) -> tuple[np.ndarray, np.ndarr
     keys = keys.tolist()
     new = [i for i, k in enumerate(keys) if k not in known]
     raw = texts.data.tobytes()
-    pieces = [raw[a:b].decode() for a, b in zip(begin[first[new]].tolist(), end[first[new]].tolist(), strict=True)]
-    for i, found in zip(new, model.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
-        known[keys[i]] = np.array(found.ids, "<u4").tobytes()
+    encode = model.model.tokenize
+    for i, a, b in zip(new, begin[first[new]].tolist(), end[first[new]].tolist(), strict=True):
+        found = [t.id for t in encode(raw[a:b].decode("latin-1").translate(BYTE_CHARS))]
+        known[keys[i]] = struct.pack(f"<{len(found)}I", *found)
     coded = [known[k] for k in keys]
     size = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
     flat = np.frombuffer(b"".join(coded), "<u4")
@@ -63,7 +70,7 @@ def encode_texts(column: pa.Array, tokenizer: str) -> tuple[np.ndarray, np.ndarr
 
 
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int | None, id_col: str, text_col: str) -> DataFrame:
-    """(id, n_tokens, ids): ids as little-endian 16-bit integers if ``tokenizer`` has at most 65,536 of them, else 32-bit."""
+    """(doc_id, n_tokens, ids): ids as little-endian integers of 16 bits, which the code's longest words allow for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", TEXT_BYTES):
@@ -71,7 +78,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int | None, id_col: str, t
             if end_id is not None:
                 ids = np.insert(ids, at[1:], end_id)
                 at = at + np.arange(len(at))
-            flat = ids.astype("<u4")
+            flat = ids.astype("<u2")
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.diff(at)), as_binary(flat, at)], ["doc_id", "n_tokens", "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -137,30 +144,32 @@ def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pack(ids: np.ndarray, at: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Code rows of ids. Each row starts at a 32-bit word.
+    """Code rows of ids. Each row starts at a 64-bit word, filled from the high bit.
 
     Returns the words, the word at which each row starts, the bit offset in its row of each
     ``STRIDE``-th id (a checkpoint) and where each row's checkpoints begin.
     """
-    size = lengths[ids].astype(np.int64)
-    total = np.concatenate(([0], np.cumsum(size)))
-    row_bits = total[at[1:]] - total[at[:-1]]
-    row_words = (row_bits + 31) // 32
-    word_at = np.concatenate(([0], np.cumsum(row_words)))
+    wide = np.minimum(np.uint64(64) - lengths, np.uint64(63))
+    left = codes.astype(np.uint64) << wide
+    size = lengths[ids]
+    total = np.zeros(len(ids) + 1, np.int64)
+    np.cumsum(size, out=total[1:])
     count = np.diff(at)
-    within = np.repeat(word_at[:-1] * 32 - total[at[:-1]], count)
-    bit = total[:-1] + within
-    out = np.zeros(int(word_at[-1]) + 1, np.uint32)
+    row_words = (total[at[1:]] - total[at[:-1]] + 63) >> 6
+    word_at = np.concatenate(([0], np.cumsum(row_words)))
+    bit = total[:-1] + np.repeat((word_at[:-1] << 6) - total[at[:-1]], count)
+    out = np.zeros(int(word_at[-1]) + 1, np.uint64)
     if len(ids):
-        word, shift = bit >> 5, (bit & 31).astype(np.uint64)
-        value = codes[ids].astype(np.uint64) << (np.uint64(64) - shift - size.astype(np.uint64))
+        word, shift = bit >> 6, (bit & 63).astype(np.uint8)
+        value = left[ids]
         new = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
-        out[word[new]] += np.add.reduceat(value >> np.uint64(32), new).astype(np.uint32)
-        out[word[new] + 1] += np.add.reduceat(value & np.uint64(0xFFFFFFFF), new).astype(np.uint32)
+        out[word[new]] = np.add.reduceat(value >> shift, new)
+        over = np.flatnonzero(shift + size > 64)
+        out[word[over] + 1] += value[over] << (np.uint64(64) - shift[over])
     points = np.maximum(count - 1, 0) // STRIDE
     point_at = np.concatenate(([0], np.cumsum(points)))
     which = np.repeat(at[:-1], points) + STRIDE * (np.arange(point_at[-1]) - np.repeat(point_at[:-1], points) + 1)
-    checkpoints = bit[which] - np.repeat(word_at[:-1] * 32, points)
+    checkpoints = bit[which] - np.repeat(word_at[:-1] << 6, points)
     return out[:-1], word_at, checkpoints, point_at
 
 
@@ -173,21 +182,23 @@ def unpack(words: np.ndarray, word_at: np.ndarray, count: np.ndarray, checkpoint
     offset = np.zeros(len(row), np.int64)
     later = place > 0
     offset[later] = checkpoints[point_at[row[later]] + place[later] - 1]
-    bit = word_at[row] * 32 + offset
+    bit = (word_at[row] << 6) + offset
     todo = np.minimum(STRIDE, count[row] - place * STRIDE)
-    start = np.concatenate(([0], np.cumsum(todo)))[:-1]
+    start = np.cumsum(todo) - todo
     order = np.argsort(-todo, kind="stable")
-    bit, todo, start = bit[order], todo[order], start[order]
-    wide = np.concatenate((words, np.zeros(2, np.uint32))).astype(np.uint64)
+    bit, start = bit[order].astype(np.uint64), start[order]
+    live_at = np.searchsorted(-todo[order], -np.arange(STRIDE), "left")
+    wide = np.concatenate((words, np.zeros(2, np.uint64)))
     out = np.zeros(int(count.sum()), np.uint32)
-    for k in range(int(todo[0]) if len(todo) else 0):
-        live = int(np.searchsorted(-todo, -k, "left"))
+    six, one, top, low = np.uint64(6), np.uint64(1), np.uint64(64 - LONGEST), np.uint64(63)
+    for k, live in enumerate(live_at.tolist()):
+        if not live:
+            break
         b = bit[:live]
-        w = b >> 5
-        peek = ((wide[w] << np.uint64(32)) | wide[w + 1]) >> (np.uint64(48) - (b & 31).astype(np.uint64))
-        peek &= np.uint64(0xFFFF)
+        w, shift = b >> six, b & low
+        peek = ((wide[w] << shift) | ((wide[w + one] >> one) >> (low - shift))) >> top
         out[start[:live] + k] = symbol[peek]
-        bit[:live] += length[peek]
+        b += length[peek]
     return out
 
 
@@ -204,15 +215,15 @@ def write_coded(tokens: DataFrame, path: str, vocabulary: int) -> None:
     ids in each file of ``blocks/``.
 
     Ids are counted over all rows in one pass with a histogram a task; the codebook has one
-    number for each id of the vocabulary, whatever the input. Rows are coded before they are
-    sorted, so the shuffle moves codes and not ids.
+    number for each id of the vocabulary, whatever the input. One range shuffle puts the rows
+    in order; they are coded behind it.
     """
     spark = tokens.sparkSession
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            found += np.bincount(flat_bytes(batch.column(0))[0].view("<u4"), minlength=vocabulary)
+            found += np.bincount(flat_bytes(batch.column(0))[0].view("<u2"), minlength=vocabulary)
         used = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(found[used])], ["id", "n"])
 
@@ -225,29 +236,21 @@ def write_coded(tokens: DataFrame, path: str, vocabulary: int) -> None:
     book.coalesce(1).write.parquet(f"{path}/codebook")
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = canonical_codes(lengths)
+        codes, file, start = canonical_codes(lengths), TaskContext.get().partitionId(), 0
         for part in slices(batches, "ids", TEXT_BYTES):
             raw, at = flat_bytes(part.column("ids"))
-            words, word_at, points, point_at = pack(raw.view("<u4"), at // 4, lengths, codes)
-            arrays = [part.column("doc_id"), part.column("n_tokens"), as_binary(words, word_at), as_binary(points.astype("<i8"), point_at)]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_tokens", "words", "checkpoints"])
-
-    kind = tokens.schema["doc_id"].dataType.simpleString()
-    coded = tokens.mapInArrow(code, f"doc_id {kind}, n_tokens long, words binary, checkpoints binary")
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, start = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            n = batch.column("n_tokens").to_numpy()
+            words, word_at, points, point_at = pack(raw.view("<u2"), at // 2, lengths, codes)
+            n = part.column("n_tokens").to_numpy()
             first = start + np.cumsum(n) - n
             start += int(n.sum())
-            more = [pa.array(np.full(batch.num_rows, part, np.int32)), pa.array(first)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, "part", "start_in_part"])
+            arrays = [part.column("doc_id"), part.column("n_tokens"), as_binary(words, word_at), as_binary(points.astype("<i8"), point_at)]
+            arrays += [pa.array(np.full(part.num_rows, file, np.int32)), pa.array(first)]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_tokens", "words", "checkpoints", "part", "start_in_part"])
 
-    in_order = coded.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    in_order.mapInArrow(place, f"doc_id {kind}, n_tokens long, words binary, checkpoints binary, part int, start_in_part long").write.option(
-        "compression", "uncompressed"
-    ).parquet(f"{path}/blocks")
+    kind = tokens.schema["doc_id"].dataType.simpleString()
+    in_order = tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    coded = in_order.mapInArrow(code, f"doc_id {kind}, n_tokens long, words binary, checkpoints binary, part int, start_in_part long")
+    coded.write.option("compression", "uncompressed").parquet(f"{path}/blocks")
     parts = spark.read.parquet(f"{path}/blocks").groupBy("part").agg(F.sum("n_tokens").alias("part_tokens"))
     parts.coalesce(1).write.parquet(f"{path}/parts")
 
@@ -267,11 +270,11 @@ def read_coded(spark: SparkSession, path: str) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = decode_table(lengths)
-        for part in slices(batches, "words", TEXT_BYTES // 4):
+        for part in slices(batches, "words", TEXT_BYTES):
             words, at = flat_bytes(part.column("words"))
             points, point_at = flat_bytes(part.column("checkpoints"))
             count = part.column("n_tokens").to_numpy()
-            ids = unpack(words.view("<u4"), at // 4, count, points.view("<i8"), point_at // 8, decoder)
+            ids = unpack(words.view("<u8"), at // 8, count, points.view("<i8"), point_at // 8, decoder)
             start = part.column("start_in_part").to_numpy() + np.array([base_of[p] for p in part.column("part").to_pylist()], np.int64)
             rows = np.concatenate(([0], np.cumsum(count)))
             yield pa.RecordBatch.from_arrays(
