@@ -9,6 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 from staylens.llm.base import query, table
+from staylens.llm.texts import gather
 from staylens.llm.vectors import packed, search_blocks, unpacked
 
 CANDIDATES, QUERIES, LEAF = 8192, 512, 32
@@ -62,7 +63,7 @@ def build_index(vectors: DataFrame, *, seed: int = 5, id_col: str = "vec_id", ve
     return packed(vectors, CANDIDATES, id_col, vector_col, prepare)
 
 
-def nearest(queries: DataFrame, index: DataFrame, k: int, *, stop: float = 0.97, seed: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def nearest(queries: DataFrame, index: DataFrame, k: int, *, stop: float = 0.9, seed: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """Each query's ``k`` largest inner products found: (query_id, rank, vec_id, score in doubles).
 
     In every block the leaves are visited in order of their projected distance from the query and their
@@ -83,6 +84,7 @@ def nearest(queries: DataFrame, index: DataFrame, k: int, *, stop: float = 0.97,
         extra = np.frombuffer(c["extra"], "<f8")
         most, leaves = extra[0], int(extra[1])
         at = extra[2 : 3 + leaves].astype(np.int64)
+        size, every = np.diff(at), np.arange(len(c_ids))
         low, high = extra[3 + leaves :].reshape(2, leaves, PROJECTED)
         live, zero = (c_points != 0).any(1), ~(q_points != 0).any(1)
         placed = np.hstack((q_points, np.zeros((len(q_points), 1)))) @ projection(q_points.shape[1], seed)
@@ -91,15 +93,19 @@ def nearest(queries: DataFrame, index: DataFrame, k: int, *, stop: float = 0.97,
             far = (gap * gap).sum(1)
             visit = np.argsort(far, kind="stable")
             square = q_points[i] @ q_points[i]
-            best_ids, best, step, seen = np.zeros(0, np.int64), np.zeros(0), 8, 0
+            best_ids, best, step, seen = np.zeros(0, np.int64), np.zeros(0), 16, 0
             while seen < leaves:
                 if len(best) == k:
                     d = max(square + most - 2 * best[-1], 0)
                     if d == 0 and far[visit[seen]] > 0 or d > 0 and chi_square_cdf(far[visit[seen]] / d) >= stop:
                         break
-                rows = np.concatenate([np.arange(at[v], at[v + 1]) for v in visit[seen : seen + step]])
-                rows = rows[live[rows] & (c_ids[rows] != q_ids[i])]
-                ids, score = np.append(best_ids, c_ids[rows]), np.append(best, (c_points[rows] * q_points[i]).sum(1))
+                some = visit[seen : seen + step]
+                rows = gather(every, at[some], size[some])
+                score = c_points[rows] @ q_points[i]
+                good = live[rows] & (c_ids[rows] != q_ids[i])
+                if len(best) == k:
+                    good &= score >= best[-1]
+                ids, score = np.append(best_ids, c_ids[rows[good]]), np.append(best, score[good])
                 keep = np.lexsort((ids, -score))[:k]
                 best_ids, best, seen = ids[keep], score[keep], seen + step
             yield np.full(len(best_ids), q_ids[i]), best_ids, best
