@@ -1,6 +1,6 @@
 """Importing this module registers every query of this folder."""
 
-from staylens.llm import huffman, mixing, pivots, projections, warc  # noqa: F401
+from staylens.llm import bpe, huffman, mixing, pivots, projections, quality, warc  # noqa: F401
 from staylens.llm.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
