@@ -110,10 +110,11 @@ def fit(docs: DataFrame, labels: DataFrame, *, most: int = 4000, id_col: str = "
     return train([r["_text"] for r in rows], np.array([int(r["_label"] > 0) for r in rows]))
 
 
-def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``score`` (0 to 1, higher: good likelier): row by row, over whole texts, without a shuffle.
+def score(docs: DataFrame, model: Model, *, text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """``docs`` with ``score_col`` (0 to 1, higher: good likelier): row by row, over whole texts, without a shuffle.
 
-    Null text scores as empty. Nothing but the text is an input. A column named ``score`` is replaced.
+    Null text scores as empty; repeated rows score alike; an empty table gives an empty result.
+    Nothing but the text is an input. A column of the name ``score_col`` is replaced.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model.gain)  # 2 ** BITS floats
@@ -124,10 +125,10 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
             found, owner = features(Texts(batch.column(text_col)))
             total = np.bincount(owner, gain[found], batch.num_rows)
             value = 1 / (1 + np.exp(-total / np.bincount(owner, minlength=batch.num_rows)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value)], [*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value)], [*batch.schema.names, score_col])
 
-    plain = docs.drop("score")
-    return plain.mapInArrow(run, StructType([*plain.schema.fields, StructField("score", DoubleType())]))
+    plain = docs.drop(score_col)
+    return plain.mapInArrow(run, StructType([*plain.schema.fields, StructField(score_col, DoubleType())]))
 
 
 @query("op9_quality")
