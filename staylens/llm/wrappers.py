@@ -41,20 +41,21 @@ SALTS = 64
 HOSTS = 2_000
 
 
-def runs_of(page: str) -> Iterator[tuple[tuple[str, ...], str, bool]]:
-    """Text runs of a page in order: labels of the open elements, decoded text, and whether a block ends before it.
+def runs_of(page: str) -> Iterator[tuple[tuple[str, ...], str, bool, int]]:
+    """Text runs of a page in order: labels of the open elements, decoded text, whether a block ends before it, and
+    how many of the elements were open since the run before.
 
     A label is the tag with the words of its class, id and role. Void and unclosed
     elements are closed as HTML does; a stray end tag is passed over.
     """
     path: list[str] = []
     tags: list[str] = []
-    broken = True
+    broken, low = True, 0
     for m in TOKEN.finditer(page):
         text = m["text"]
         if text is not None:
-            yield tuple(path), html.unescape(text), broken
-            broken = False
+            yield tuple(path), html.unescape(text), broken, low
+            broken, low = False, len(path)
             continue
         tag = m["tag"]
         if tag is None:
@@ -62,20 +63,22 @@ def runs_of(page: str) -> Iterator[tuple[tuple[str, ...], str, bool]]:
         tag = tag.lower()
         broken |= tag not in INLINE
         if tag == "br":
-            yield tuple(path), " ", broken
-            broken = False
+            yield tuple(path), " ", broken, low
+            broken, low = False, len(path)
         elif m["end"]:
             if tag in tags:
                 at = len(tags) - 1 - tags[::-1].index(tag)
                 # An end tag of an inline element does not close blocks around it.
                 if tag not in INLINE or all(t in INLINE for t in tags[at:]):
                     del tags[at:], path[at:]
+                    low = min(low, at)
         elif tag not in VOID and not m["rest"].endswith("/"):
             for t in ("p",) if tag in CLOSES_P else (tag,) if tag in CLOSED_BY_SAME else ():
                 if t in tags:
                     at = len(tags) - 1 - tags[::-1].index(t)
                     if all(x in INLINE for x in tags[at + 1 :]):
                         del tags[at:], path[at:]
+                        low = min(low, at)
             rest = m["rest"]
             words = sorted({w for x in NAMES.findall(rest) for w in re.split(r"[\s_-]+", "".join(x).lower()) if w}) if "=" in rest else ()
             tags.append(tag)
@@ -112,14 +115,16 @@ class Item:
 def page_items(page: str) -> list[Item]:
     """The page as nested items; text runs outside side elements' words keep a digest of their text."""
     root = Item("")
-    stack = [root]
-    for path, text, _ in runs_of(page):
+    stack, low = [root], 0
+    for path, text, _, open_since in runs_of(page):
+        low = min(low, open_since)
         text = " ".join(text.split())
         if not text:
             continue
         keep = 0
-        while keep < len(path) and keep + 1 < len(stack) and stack[keep + 1].label == path[keep]:
+        while keep < min(low, len(path)) and keep + 1 < len(stack) and stack[keep + 1].label == path[keep]:
             keep += 1
+        low = len(path)
         del stack[keep + 1 :]
         for label in path[keep:]:
             stack.append(Item(label))
@@ -224,7 +229,7 @@ def main_text(page: str, role: dict) -> str:
             cache[path] = inside and not any(is_side(x) for x in path)
         return cache[path]
 
-    for path, text, broken in runs_of(page):
+    for path, text, broken, _ in runs_of(page):
         gap |= broken
         if not wanted(path):
             gap = gap or bool(text.strip())
