@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from staylens.functions.stopwords import ENGLISH_STOP_WORDS
 
+# The characters of the pattern \s. Trimming is linear, where a pattern for trailing blanks retries inside every run.
+BLANKS = " \t\n\x0b\f\r"
+
 
 def word_count(text: Column, compat: bool = False) -> Column:
     """Pieces between runs of white space.
@@ -24,7 +27,7 @@ def tokens(text: Column) -> Column:
     ``pyspark.ml.feature.Tokenizer``. Null text counts as empty text.
     """
     lowered = F.lower(F.coalesce(text, F.lit("")))
-    body = F.regexp_replace(lowered, r"\s+$", "")
+    body = F.rtrim(lowered, F.lit(BLANKS))
     only_blanks = (body == "") & (F.length(lowered) > 0)
     return F.when(only_blanks, F.array().cast("array<string>")).otherwise(F.split(body, r"\s"))
 

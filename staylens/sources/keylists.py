@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from staylens.functions.text import BLANKS
+
 
 def read_key_list(spark: SparkSession, path: str, column: str = "row_key") -> DataFrame:
     """Lines without surrounding white space; blank lines are dropped."""
-    line = F.regexp_replace("value", r"^\s+|\s+$", "")
+    line = F.trim("value", F.lit(BLANKS))
     return spark.read.text(path).select(line.alias(column)).where(F.col(column) != "")
 
 

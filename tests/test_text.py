@@ -71,3 +71,16 @@ def test_hashed_counts_add_up(spark, texts):
     plain = text_features.term_counts(texts, "id", words).groupBy("id").agg(F.sum("tf"))
     hashed = text_features.hashed_term_counts(texts, "id", words, 3).groupBy("id").agg(F.sum("tf"))
     assert rows(plain) == [tuple(r) for r in rows(hashed)]
+
+
+def test_long_runs_of_blanks_take_linear_time(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from staylens.functions.text import tokens
+
+    frame = spark.createDataFrame([("a" + " " * 100_000 + "b \t",)], "text string")
+    start = time.monotonic()
+    assert frame.select(F.size(tokens(F.col("text")))).first()[0] == 100_001
+    assert time.monotonic() - start < 5
