@@ -58,8 +58,9 @@ def get(puts: DataFrame, row_keys: Sequence[str], key: str = KEY) -> DataFrame:
 
 
 def signed_score(score_type: str = "score_type", score: str = "evaluation_score") -> Column:
-    """The score, negated where a smaller one is better, so that more is better."""
-    return F.when(F.col(score_type).isin(LOWER_IS_BETTER), -F.col(score)).otherwise(F.col(score))
+    """The score, negated where a smaller one is better, so that more is better; NaN is no score."""
+    value = F.nanvl(F.col(score), F.lit(None).cast("double"))
+    return F.when(F.col(score_type).isin(LOWER_IS_BETTER), -value).otherwise(value)
 
 
 def leaderboard(registry: DataFrame) -> DataFrame:
@@ -73,7 +74,7 @@ def leaderboard(registry: DataFrame) -> DataFrame:
 
 def best_runs(registry: DataFrame, per: str = "task_name") -> DataFrame:
     """The best run of each task; equal scores go to the higher row key."""
-    scored = registry.where(F.col("evaluation_score").isNotNull())
+    scored = registry.where(signed_score().isNotNull())
     order = F.struct(signed_score().alias("s"), F.col(KEY).alias("k"))
     run = F.struct(*[c for c in scored.columns if c != per])
     return scored.groupBy(per).agg(F.max_by(run, order).alias("run")).select(per, "run.*")

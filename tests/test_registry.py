@@ -109,3 +109,12 @@ def test_stream_continues_where_it_stopped(spark, tmp_path):
         score_stream(stream, model, ["text", "words"], output, state).awaitTermination()
     scored = spark.read.parquet(output)
     assert rows(scored.select("text")) == [("four",), ("one two",), ("three",)]
+
+
+def test_nan_is_no_score(spark):
+    from staylens.operators.registry_views import best_runs, leaderboard
+
+    runs = [("a", "t", "AUC", 0.7), ("b", "t", "AUC", float("nan")), ("c", "t", "AUC", 0.6)]
+    frame = spark.createDataFrame(runs, "row_key string, task_name string, score_type string, evaluation_score double")
+    assert [r["row_key"] for r in best_runs(frame).collect()] == ["a"]
+    assert {r["row_key"]: r["rank"] for r in leaderboard(frame).collect()} == {"a": 1, "c": 2}
