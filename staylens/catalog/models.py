@@ -187,7 +187,7 @@ def score_stream(spark, sf_dir):
     registry = trained_registry(spark, sf_dir)
     model = load_pipeline(registry.best_run(sentiment.TASK_NAME)["model_path"])
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    stream = stream_scoring.read_stream(spark, sf_dir, documents.schema, glob="documents.parquet")
+    stream = stream_scoring.read_stream(spark, f"{sf_dir.rstrip('/')}/documents.parque[t]", documents.schema)
     output = new_dir(spark, "scored")
     job = stream_scoring.score_stream(
         stream, model, ["doc_id", "prediction"], output, new_dir(spark, "stream-checkpoint")

@@ -19,13 +19,13 @@ def hash_bucket(key: Column, buckets: int, draw: Column | int = 0) -> Column:
 
 
 def arithmetic_bucket(key: Column, buckets: int, draw: Column | int = 0) -> Column:
-    """Bucket of an integer key by plain arithmetic, which any SQL engine can repeat."""
-    return (F.pmod(key, F.lit(_MODULUS)) * _MULTIPLIER + _OFFSET * (_column(draw) + 1)) % buckets
+    """Bucket of an integer key by plain arithmetic, which any SQL engine can repeat; null counts as 0."""
+    return (F.pmod(F.coalesce(key, F.lit(0)), F.lit(_MODULUS)) * _MULTIPLIER + _OFFSET * (_column(draw) + 1)) % buckets
 
 
 def arithmetic_bucket_sql(key: str, buckets: int) -> str:
     """``arithmetic_bucket`` of the first draw as SQL text."""
-    return f"((({key} % {_MODULUS}) * {_MULTIPLIER} + {_OFFSET}) % {buckets})"
+    return f"(((coalesce({key}, 0) % {_MODULUS}) * {_MULTIPLIER} + {_OFFSET}) % {buckets})"
 
 
 def _column(value: Column | int) -> Column:

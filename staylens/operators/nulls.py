@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,11 +21,13 @@ def impute_means(df: DataFrame, columns: Sequence[str], default: float = 0.0) ->
     return df.withColumns(filled)
 
 
-def fill_means(df: DataFrame, columns: Sequence[str], default: float = 0.0) -> DataFrame:
-    """``impute_means`` with means computed now, for a staged frame that fits iterate over."""
+def mean_fill_stage(df: DataFrame, columns: Sequence[str], default: float = 0.0) -> SQLTransformer:
+    """``impute_means`` as a pipeline stage with means computed now, so that a saved model fills nulls by them too."""
     means = df.agg(*[F.avg(c).alias(c) for c in columns]).first()
     constants = {c: default if means[c] is None else float(means[c]) for c in columns}
-    return df.withColumns({c: F.col(c).cast("double") for c in columns}).na.fill(constants)
+    filled = ", ".join(f"coalesce(CAST(`{c}` AS DOUBLE), CAST('{v!r}' AS DOUBLE)) AS `{c}`" for c, v in constants.items())
+    names = ", ".join(f"`{c}`" for c in columns)
+    return SQLTransformer(statement=f"SELECT * EXCEPT ({names}), {filled} FROM __THIS__")
 
 
 def drop_incomplete(df: DataFrame, columns: Sequence[str]) -> DataFrame:

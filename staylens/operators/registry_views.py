@@ -44,12 +44,10 @@ def keys(registry: DataFrame, limit: int | None = 100, key: str = KEY) -> DataFr
 def lookup(puts: DataFrame, wanted: DataFrame, key: str = KEY) -> DataFrame:
     """The latest row of every wanted key, nulls for keys that are not there.
 
-    The log is cut to the wanted keys before it is merged. ``wanted`` is read from a
-    file, so its size is known and Spark itself decides whether to broadcast it.
+    The log is merged first: that combines on the map side, so a key with very many puts
+    is one row per task in the shuffle, and the join meets each key once.
     """
-    wanted = wanted.select(key).distinct()
-    found = latest(puts.join(wanted, key, "left_semi"))
-    return wanted.join(found, key, "left")
+    return wanted.select(key).distinct().join(latest(puts), key, "left")
 
 
 def get(puts: DataFrame, row_keys: Sequence[str], key: str = KEY) -> DataFrame:

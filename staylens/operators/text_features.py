@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import HashingTF, StopWordsRemover, Tokenizer
+from pyspark.ml.feature import HashingTF, SQLTransformer, StopWordsRemover, Tokenizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,9 +47,10 @@ def tfidf(counts: DataFrame, texts: DataFrame, key: str, term: str, buckets: int
 
 
 def term_vector_stages(text: str, output: str = "raw_features", buckets: int = TERM_BUCKETS) -> list:
-    """Stages from text to a hashed term count vector; they need no fitting."""
+    """Stages from text to a hashed term count vector; they need no fitting. Null text is empty."""
     return [
-        Tokenizer(inputCol=text, outputCol="words"),
+        SQLTransformer(statement=f"SELECT *, coalesce(`{text}`, '') AS filled_text FROM __THIS__"),
+        Tokenizer(inputCol="filled_text", outputCol="words"),
         StopWordsRemover(inputCol="words", outputCol="filtered_words", stopWords=ENGLISH_STOP_WORDS),
         HashingTF(inputCol="filtered_words", outputCol=output, numFeatures=buckets),
     ]

@@ -38,8 +38,8 @@ def cluster_distances(
     features = stage_for_fit(features, "anomaly-features")
     if features.isEmpty():
         return JobResult(features.sparkSession)
-    features = nulls.fill_means(features, columns)
-    scaler = Pipeline(stages=scaled_vector_stages(columns)).fit(features)
+    filled = nulls.mean_fill_stage(features, columns)
+    scaler = Pipeline(stages=[filled, *scaled_vector_stages(columns)]).fit(features)
     scaled = scaler.transform(features)
 
     def with_distance(model, predictions: DataFrame) -> DataFrame:

@@ -56,6 +56,7 @@ def run_experiments(
     test: DataFrame,
     evaluate: Callable[[DataFrame], Score],
     shared_stages: Sequence[Transformer] = (),
+    closing_stages: Sequence[Transformer] = (),
     finish: Callable[[Transformer, DataFrame], DataFrame] | None = None,
     model_dir: str | None = None,
     registry: RunRegistry | None = None,
@@ -63,8 +64,8 @@ def run_experiments(
     """Run each estimator on the same frames.
 
     ``shared_stages`` are fitted stages whose output the frames hold already. They are
-    put in front of each fitted model, so that what is saved takes raw rows. ``finish``
-    adds to the predictions what depends on the fitted model.
+    put in front of each fitted model, so that what is saved takes raw rows;
+    ``closing_stages`` follow the model in what is saved. ``finish`` adds to the predictions what depends on the fitted model.
     """
     result = JobResult(train.sparkSession)
     for model_name, estimator in estimators.items():
@@ -78,7 +79,7 @@ def run_experiments(
         stamp = utc_now()
         # The suffix keeps runs within the same second apart.
         name = f"{task}_{model_name.lower()}_{stamp:%Y%m%d%H%M%S}_{uuid.uuid4().hex[:8]}"
-        whole = PipelineModel([*shared_stages, model])
+        whole = PipelineModel([*shared_stages, model, *closing_stages])
         path = save_model(whole, f"{model_dir}/{name}") if model_dir else None
         record = RunRecord(
             name, task_name, model_name, stamp, round(seconds, 2), round(score.value, 4), score.score_type, path, score.details

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, NaiveBayes
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import IndexToString, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,8 +70,9 @@ def classify_rooms(
         train=stage_for_fit(train.select(*columns), "rooms-train"),
         test=test.select("review_id", "rooms_label", *columns),
         evaluate=weighted_f1_score,
-        # New rows have no label, so only the assembler goes into the saved model.
+        # New rows have no label, so the index is left out; its names turn predictions into classes.
         shared_stages=[assembler],
+        closing_stages=[IndexToString(inputCol="prediction", outputCol="predicted_label", labels=index.labels)],
         model_dir=model_dir,
         registry=registry,
     )

@@ -88,7 +88,15 @@ class RunRegistry:
         self.put_frame(self.spark.createDataFrame(rows, PUT_SCHEMA).coalesce(1))
 
     def put_frame(self, puts: DataFrame) -> None:
-        """Append any number of puts from a frame; columns it lacks are left as they are."""
+        """Append any number of puts from a frame; columns it lacks are left as they are.
+
+        ``row_key`` and ``put_seq`` must be there, and a null in them ends the write.
+        """
+        needed = ["row_key", "put_seq"]
+        lacking = [c for c in needed if c not in puts.columns]
+        if lacking:
+            raise ValueError(f"puts lack {lacking}")
+        puts = puts.withColumns({c: F.coalesce(c, F.raise_error(F.lit(f"null {c} in a put"))) for c in needed})
         columns = [
             (F.col(f.name) if f.name in puts.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in PUT_SCHEMA

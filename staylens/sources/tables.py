@@ -7,13 +7,3 @@ from pyspark.sql import DataFrame, SparkSession
 
 def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet")
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Use all cores for work that is heavy per row, such as splitting long texts.
-
-    A table with fewer partitions than cores is redistributed, which is cheap as it is
-    small. A larger one is left as it is: it keeps every core busy without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

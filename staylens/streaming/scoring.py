@@ -13,7 +13,10 @@ from pyspark.sql.streaming import StreamingQuery
 def read_stream(
     spark: SparkSession, path: str, schema: T.StructType, glob: str | None = None, files_per_trigger: int = 1_000
 ) -> DataFrame:
-    """Parquet files of a folder as a stream, a bounded number of files per batch."""
+    """Parquet files of a folder as a stream, a bounded number of files per batch.
+
+    ``path`` may hold wildcards; one that matches a table's name reads it both as one file and as a folder of files.
+    """
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
