@@ -26,16 +26,21 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
 
 
-def rank_of(ranks: dict[bytes, int]) -> callable:
-    """A function from a binary column to its rank (null if it has none), by one literal.
+def with_ranks(ranks: dict[bytes, int], use: callable) -> Column:
+    """``use(rank)``, where ``rank`` maps a binary column to its rank (null if it has none), by one literal.
 
     Spark looks map keys up one by one, so the literal is an array of ``BUCKETS`` small maps; crc32 gives the map.
+    It is bound once: every place that named the literal itself would hold a copy of it, in the driver and in each task.
     """
     maps: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
     for piece, rank in ranks.items():
         maps[zlib.crc32(piece) & (BUCKETS - 1)][piece.hex().upper()] = rank
     literal = F.from_json(F.lit(json.dumps(maps, separators=(",", ":"))), "array<map<string,int>>")
-    return lambda x: F.get(literal, F.crc32(x).bitwiseAND(BUCKETS - 1).cast("int"))[F.hex(x)]
+
+    def rank_in(maps: Column) -> callable:
+        return lambda x: F.get(maps, F.crc32(x).bitwiseAND(BUCKETS - 1).cast("int"))[F.hex(x)]
+
+    return bind(literal, lambda maps: use(rank_in(maps)))
 
 
 def bind(value: Column, use: callable) -> Column:
@@ -156,9 +161,8 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], *, id_col: str = "do
                         [part.column("id"), pa.array(np.diff(ends)), as_binary(ids, ends), as_binary(back, byte_ends)], ["doc_id", "n_tokens", "ids", "decoded"]
                     )
 
-    rank = rank_of(ranks)
     words = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(split, f"id {kind}, codes binary, word binary, code long")
-    merged = words.withColumn("ids", F.when(F.col("word").isNotNull(), merge_ranks(F.col("word"), rank)))
+    merged = words.withColumn("ids", F.when(F.col("word").isNotNull(), with_ranks(ranks, lambda rank: merge_ranks(F.col("word"), rank))))
     both = merged.withColumn("decoded", F.when(F.col("ids").isNotNull(), join_pieces(F.col("ids"), ranks)))
     return both.select("id", "codes", "code", "ids", "decoded").mapInArrow(assemble, f"doc_id {kind}, n_tokens long, ids binary, decoded binary")
 
