@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import json
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +16,9 @@ from staylens.llm.texts import Texts, as_binary, flat_bytes, gather, pattern_pie
 
 TEXT_BYTES = 4 << 20
 WORDS = 500_000
-BUCKETS = 1 << 16
+BITS = 17
+TRIES = 4_096
+NONE = (1 << BITS) - 1
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -26,21 +27,57 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
 
 
-def with_ranks(ranks: dict[bytes, int], use: callable) -> Column:
-    """``use(rank)``, where ``rank`` maps a binary column to its rank (null if it has none), by one literal.
+def last_pairs(ranks: dict[bytes, int]) -> tuple[dict[tuple[int, int], int], dict[bytes, int]]:
+    """The two ids that each entry longer than a byte is joined from, and the entries that no merging reaches.
 
-    Spark looks map keys up one by one, so the literal is an array of ``BUCKETS`` small maps; crc32 gives the map.
-    It is bound once: every place that named the literal itself would hold a copy of it, in the driver and in each task.
+    Merges inside a span do not depend on what surrounds it until one crosses its edge, so
+    an entry can only arise from the pair that merging its own bytes ends with.
     """
-    maps: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
-    for piece, rank in ranks.items():
-        maps[zlib.crc32(piece) & (BUCKETS - 1)][piece.hex().upper()] = rank
-    literal = F.from_json(F.lit(json.dumps(maps, separators=(",", ":"))), "array<map<string,int>>")
-
-    def rank_in(maps: Column) -> callable:
-        return lambda x: F.get(maps, F.crc32(x).bitwiseAND(BUCKETS - 1).cast("int"))[F.hex(x)]
-
-    return bind(literal, lambda maps: use(rank_in(maps)))
+    if any(bytes([byte]) not in ranks for byte in range(256)):
+        raise ValueError("ranks must hold all single bytes")
+    pairs, unreached = {}, {}
+    for entry, rank in ranks.items():
+        pieces = [entry[i : i + 1] for i in range(len(entry))]
+        while len(pieces) > 2:
+            found = [(ranks[x + y], i) for i, (x, y) in enumerate(zip(pieces, pieces[1:], strict=False)) if x + y in ranks]
+            if not found:
+                break
+            i = min(found)[1]
+            pieces[i : i + 2] = [pieces[i] + pieces[i + 1]]
+        if len(pieces) == 2:
+            pairs[ranks[pieces[0]], ranks[pieces[1]]] = rank
+        elif len(pieces) > 2:
+            unreached[entry] = rank
+    return pairs, unreached
+
+
+def pair_rows(pairs: dict[tuple[int, int], int], ids: int) -> tuple[np.ndarray, np.ndarray]:
+    """``pairs`` as a literal table: (a, b) is at ``place[a] + b``, as ``a << BITS | rank``.
+
+    Rows of one left id are laid over each other where they leave gaps, largest first. ``ids`` itself stands for an edge.
+    """
+    rows: dict[int, list[int]] = {}
+    for a, b in pairs:
+        rows.setdefault(a, []).append(b)
+    place, used = np.zeros(ids + 1, np.int64), np.zeros(8 * (ids + 1) + 8 * len(pairs) + 2 * TRIES, bool)
+    for a in sorted(rows, key=lambda a: (-len(rows[a]), a)):
+        at = np.zeros(0, np.int64)
+        first = 0
+        while not len(at):
+            at = np.arange(first, first + TRIES)
+            for b in rows[a]:
+                at = at[~used[at + b]]
+            first += TRIES
+        place[a] = at[0]
+        used[at[0] + np.array(rows[a])] = True
+    entries = np.full(int(place.max()) + ids + 1, 1 << 60, np.int64)
+    for (a, b), rank in pairs.items():
+        entries[place[a] + b] = a << BITS | rank
+    return place, entries
+
+
+def literal(numbers: np.ndarray, kind: str) -> Column:
+    return F.split(F.lit(",".join(map(str, numbers.tolist()))), ",").cast(f"array<{kind}>")
 
 
 def bind(value: Column, use: callable) -> Column:
@@ -48,37 +85,53 @@ def bind(value: Column, use: callable) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def merge_ranks(word: Column, rank: callable) -> Column:
-    """Ids of a non-empty binary ``word``: adjacent pieces of the lowest rank are joined, leftmost first, until none has a rank.
+def merge_ranks(word: Column, ranks: dict[bytes, int]) -> Column:
+    """Ids of ``word``, an array of the ids of its bytes between two edges: adjacent ids of the lowest rank are joined, leftmost first, until none has a rank.
 
-    A fold over as many steps as there are bytes less one. Its state is the pieces and the
-    rank of each joined with the next (null where there is none); a merge looks up
-    two new ranks.
+    A fold over as many steps as there are bytes less one. Its state is one number an id: the
+    rank of joining it with the next (``NONE`` where there is none), then the id. A rank is
+    the id of what it joins to, so a merge looks up two new ranks. The rank map is a literal, bound once: every
+    place that named it itself would hold a copy of it, in the driver and in each task.
     """
-    single = F.transform(F.sequence(F.lit(1), F.octet_length(word)), lambda i: F.substring(word, i, F.lit(1)))
-    start = bind(
-        single,
-        lambda p: F.struct(p.alias("p"), F.transform(p, lambda x, i: bind(F.concat(x, F.get(p, i + 1)), rank)).alias("r")),
-    )
+    edge = max(ranks.values(), default=0) + 1
+    if edge >= NONE:
+        raise ValueError(f"ranks must be below {NONE - 1}")
+    pairs, unreached = last_pairs(ranks)
+    place, entries = pair_rows(pairs, edge)
+
+    def fold(place: Column, entries: Column) -> Column:
+        def with_next(a: Column, b: Column) -> Column:
+            left = F.shiftleft(a.cast("long"), BITS)
+            rank = F.least(F.get(entries, F.get(place, a) + b).bitwiseXOR(left), F.lit(NONE).cast("long"))
+            return F.shiftleft(rank, BITS).bitwiseOR(a.cast("long"))
+
+        def id_at(state: Column, i: Column) -> Column:
+            return F.get(state, i).bitwiseAND(F.lit(NONE).cast("long")).cast("int")
+
+        def step(state: Column, _: Column) -> Column:
+            def merged(lowest: Column) -> Column:
+                new = F.shiftright(lowest, BITS).cast("int")
 
-    def step(state: Column, _: Column) -> Column:
-        p, r = state["p"], state["r"]
+                def put(i: Column) -> Column:
+                    pair = bind(id_at(state, i - 2), lambda a: F.array(with_next(a, new), with_next(new, id_at(state, i + 1))))
+                    return F.concat(F.slice(state, F.lit(1), i - 2), pair, F.slice(state, i + 2, F.size(state)))
 
-        def merged(i: Column) -> Column:
-            def put(new: Column) -> Column:
-                left = F.when(i > 0, F.concat(F.slice(r, F.lit(1), i - 1), F.array(bind(F.concat(F.get(p, i - 1), new), rank))))
-                right = F.concat(F.array(bind(F.concat(new, F.get(p, i + 2)), rank)), F.slice(r, i + 3, F.size(r)))
-                pieces = F.concat(F.slice(p, F.lit(1), i), F.array(new), F.slice(p, i + 3, F.size(p)))
-                return F.struct(pieces.alias("p"), F.concat(F.coalesce(left, F.array().cast("array<int>")), right).alias("r"))
+                joined = bind(F.array_position(state, lowest).cast("int"), put)
+                return F.when(lowest >= F.lit(NONE << BITS), state).otherwise(joined)
 
-            return bind(F.concat(F.get(p, i), F.get(p, i + 1)), put)
+            return bind(F.array_min(state), merged)
 
-        lowest = F.array_min(r)
-        return F.when(lowest.isNull(), state).otherwise(bind((F.array_position(r, lowest) - 1).cast("int"), merged))
+        start = F.transform(word, lambda x, i: with_next(x, F.coalesce(F.get(word, i + 1), F.lit(edge))))
+        steps = F.sequence(F.lit(1), F.greatest(F.size(word) - 3, F.lit(1)))
+        end = F.aggregate(steps, start, step)
+        return bind(end, lambda s: F.transform(F.slice(s, F.lit(2), F.size(s) - 2), lambda x: x.bitwiseAND(F.lit(NONE).cast("long")).cast("int")))
 
-    steps = F.sequence(F.lit(1), F.greatest(F.octet_length(word) - 1, F.lit(1)))
-    whole = bind(rank(word), lambda found: F.when(found.isNotNull(), F.array(found)))
-    return F.coalesce(whole, F.aggregate(steps, start, step, lambda s: F.transform(s["p"], rank)))
+    folded = bind(literal(place, "int"), lambda p: bind(literal(entries, "long"), lambda e: fold(p, e)))
+    if not unreached:
+        return folded
+    key = {" ".join(map(str, (edge, *(ranks[entry[i : i + 1]] for i in range(len(entry))), edge))): rank for entry, rank in unreached.items()}
+    whole = F.try_element_at(F.from_json(F.lit(json.dumps(key)), "map<string,int>"), F.array_join(word, " "))
+    return F.coalesce(bind(whole, lambda rank: F.when(rank.isNotNull(), F.array(rank))), folded)
 
 
 def join_pieces(ids: Column, ranks: dict[bytes, int]) -> Column:
@@ -104,6 +157,8 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], *, id_col: str = "do
     become U+FFFD first.
     """
     kind = docs.schema[id_col].dataType.simpleString()
+    byte_ids = np.array([ranks[bytes([byte])] for byte in range(256)], np.int32)
+    edge = max(ranks.values()) + 1
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes: dict[int, int] = {}
@@ -119,14 +174,16 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], *, id_col: str = "do
             of_key = np.fromiter((codes.setdefault(k, len(codes)) for k in keys.tolist()), np.int64, len(keys))
             new = first[of_key >= known]
             size = end[new] - begin[new]
-            words = as_binary(gather(texts.data, begin[new], size), np.concatenate(([0], np.cumsum(size))))
+            after = np.cumsum(size)
+            words = np.insert(byte_ids[gather(texts.data, begin[new], size)], np.repeat(np.append(0, after), 2)[1:-1], edge)
+            lists = pa.ListArray.from_arrays(np.append(0, after + 2 * np.arange(1, len(new) + 1)).astype(np.int32), words)
             n = len(new)
             if n:
                 nulls = [pa.nulls(n, part.schema.field("id").type), pa.nulls(n, pa.binary())]
-                yield pa.RecordBatch.from_arrays([*nulls, words, pa.array(np.arange(known, len(codes)))], ["id", "codes", "word", "code"])
+                yield pa.RecordBatch.from_arrays([*nulls, lists, pa.array(np.arange(known, len(codes)))], ["id", "codes", "word", "code"])
             numbers = as_binary(of_key[word].astype("<i4"), rows)
             m = part.num_rows
-            yield pa.RecordBatch.from_arrays([part.column("id"), numbers, pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64())], ["id", "codes", "word", "code"])
+            yield pa.RecordBatch.from_arrays([part.column("id"), numbers, pa.nulls(m, lists.type), pa.nulls(m, pa.int64())], ["id", "codes", "word", "code"])
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple] = []
@@ -161,8 +218,8 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], *, id_col: str = "do
                         [part.column("id"), pa.array(np.diff(ends)), as_binary(ids, ends), as_binary(back, byte_ends)], ["doc_id", "n_tokens", "ids", "decoded"]
                     )
 
-    words = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(split, f"id {kind}, codes binary, word binary, code long")
-    merged = words.withColumn("ids", F.when(F.col("word").isNotNull(), with_ranks(ranks, lambda rank: merge_ranks(F.col("word"), rank))))
+    words = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(split, f"id {kind}, codes binary, word array<int>, code long")
+    merged = words.withColumn("ids", F.when(F.col("word").isNotNull(), merge_ranks(F.col("word"), ranks)))
     both = merged.withColumn("decoded", F.when(F.col("ids").isNotNull(), join_pieces(F.col("ids"), ranks)))
     return both.select("id", "codes", "code", "ids", "decoded").mapInArrow(assemble, f"doc_id {kind}, n_tokens long, ids binary, decoded binary")
 

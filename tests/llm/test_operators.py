@@ -76,6 +76,20 @@ def test_bpe_equals_tiktoken(docs, no_docs):
     assert bpe.encode_decode(no_docs, ranks).count() == 0
 
 
+def test_bpe_keeps_entries_that_merging_misses(spark):
+    tiktoken = pytest.importorskip("tiktoken")
+    entries = [*(bytes([byte]) for byte in range(256)), b"ab", b"bc", b"abcd", b"bcd", b"xyz", b"abab"]
+    ranks = {entry: rank for rank, entry in enumerate(entries)}
+    assert bpe.last_pairs(ranks)[1].keys() == {b"abcd", b"xyz"}
+    encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(2)
+    rows = ["abcd", "xyz", "bcd", "ababab", "a" * 300, *("".join(rng.choice("abcdxyz ") for _ in range(rng.randint(0, 30))) for _ in range(300))]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    for row in bpe.encode_decode(docs, ranks).collect():
+        assert np.frombuffer(row["ids"], "<u4").tolist() == encoding.encode_ordinary(rows[row["doc_id"]])
+        assert bytes(row["decoded"]).decode() == rows[row["doc_id"]]
+
+
 def test_huffman_codes_are_optimal_and_decode():
     rng = np.random.default_rng(0)
     counts = np.zeros(300, np.int64)
