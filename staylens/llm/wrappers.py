@@ -37,6 +37,13 @@ SIDE_WORDS = frozenset(
     "newsletter notice notification pagination popup promo promotion related respond search share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
 MAIN_TAGS = frozenset(("article", "main"))
+# Elements that lay a page out. A region is one of these, never a paragraph, a heading or a list.
+CONTAINERS = frozenset("html body div section article main center form table tbody tr td".split())
+BESIDE = CONTAINERS - {"table", "tbody"}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# An element is the region if it has this share of its parent's text; an article or main element needs less.
+MOST = 0.6
+NAMED = 0.25
 SALTS = 64
 HOSTS = 2_000
 
@@ -85,6 +92,10 @@ def runs_of(page: str) -> Iterator[tuple[tuple[str, ...], str, bool, int]]:
             path.append(".".join((tag, *words)))
 
 
+def tag_of(label: str) -> str:
+    return label.split(".", 1)[0]
+
+
 def is_side(label: str) -> bool:
     tag, *words = label.split(".")
     return tag in SIDE_TAGS or any(w in SIDE_WORDS for w in words)
@@ -95,21 +106,25 @@ def is_side(label: str) -> bool:
 
 @dataclass
 class Item:
-    """A part of a wrapper: an element, or text if ``label`` is ``#``. ``value`` None is a slot, else fixed text."""
+    """A part of a wrapper: an element, or text if ``label`` is ``#``. ``value`` None is a slot, else the one text known.
+
+    ``pages`` is the number of pages that have it.
+    """
 
     label: str
     value: str | None = None
     chars: int = 0
     optional: bool = False
     repeated: bool = False
+    pages: int = 1
     inside: list[Item] = field(default_factory=list)
 
     def plain(self) -> list:
-        return [self.label, self.value, self.chars, self.optional, self.repeated, [i.plain() for i in self.inside]]
+        return [self.label, self.value, self.chars, self.optional, self.repeated, self.pages, [i.plain() for i in self.inside]]
 
     @staticmethod
     def of(x: list) -> Item:
-        return Item(x[0], x[1], x[2], x[3], x[4], [Item.of(y) for y in x[5]])
+        return Item(*x[:6], [Item.of(y) for y in x[6]])
 
 
 def page_items(page: str) -> list[Item]:
@@ -139,29 +154,30 @@ def fold(items: list[Item]) -> list[Item]:
     for item in items:
         item.inside = fold(item.inside) if not item.repeated else item.inside
         if out and out[-1].label == item.label:
-            out[-1] = merged(out[-1], item)
+            out[-1] = merged(out[-1], item, True)
             out[-1].repeated = True
         elif len(out) >= 3 and out[-2].label == item.label and out[-1].label == out[-3].label:
             second = out.pop()
-            out[-2] = merged(out[-2], second)
-            out[-1] = merged(out[-1], item)
+            out[-2] = merged(out[-2], second, True)
+            out[-1] = merged(out[-1], item, True)
             out[-1].repeated = out[-2].repeated = True
         else:
             out.append(item)
     return out
 
 
-def merged(a: Item, b: Item) -> Item:
-    """One item that covers both: differing text becomes a slot, contents are aligned."""
+def merged(a: Item, b: Item, one_page: bool = False) -> Item:
+    """One item that covers both: differing text becomes a slot, contents are aligned. Pages add up unless both are of ``one_page``."""
     value = a.value if a.value == b.value else None
-    return Item(a.label, value, a.chars + b.chars, a.optional or b.optional, a.repeated or b.repeated, align(a.inside, b.inside))
+    pages = max(a.pages, b.pages) if one_page else a.pages + b.pages
+    return Item(a.label, value, a.chars + b.chars, a.optional or b.optional, a.repeated or b.repeated, pages, align(a.inside, b.inside, one_page))
 
 
-def align(a: list[Item], b: list[Item]) -> list[Item]:
+def align(a: list[Item], b: list[Item], one_page: bool = False) -> list[Item]:
     """Longest common sequence of labels; what one side lacks becomes optional."""
     n, m = len(a), len(b)
     if [x.label for x in a] == [y.label for y in b]:
-        return [merged(x, y) for x, y in zip(a, b, strict=True)]
+        return [merged(x, y, one_page) for x, y in zip(a, b, strict=True)]
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
         for j in range(m - 1, -1, -1):
@@ -169,7 +185,7 @@ def align(a: list[Item], b: list[Item]) -> list[Item]:
     out, i, j = [], 0, 0
     while i < n or j < m:
         if i < n and j < m and a[i].label == b[j].label:
-            out.append(merged(a[i], b[j]))
+            out.append(merged(a[i], b[j], one_page))
             i, j = i + 1, j + 1
         elif j == m or i < n and best[i + 1][j] >= best[i][j + 1]:
             a[i].optional = True
@@ -182,59 +198,115 @@ def align(a: list[Item], b: list[Item]) -> list[Item]:
     return fold(out)
 
 
-def roles(wrapper: list[Item]) -> dict:
-    """What a host's wrapper says of its pages.
+def page_wrapper(page: str) -> Item:
+    """The wrapper of one page; one without text is a wrapper of no page."""
+    items = page_items(page)
+    return Item("", pages=1 if items else 0, inside=items)
+
 
-    ``main``: paths of the elements that hold the article: article or main elements; without one,
-    the element with most text in slots, side elements apart. ``fixed``: digests of text that is
-    the same on all pages, if the host has slots at all and no article element.
+def roles(wrapper: Item) -> dict:
+    """What a host's wrapper says of its pages. Elements are named by their labels from the top, joined by blanks.
+
+    ``fixed``: text of the template by element: always the same, if the host has two pages or more. All
+    other text is the page's own. ``through``: for an element, those inside it that are the region of a page that
+    has them: layout elements, not repeated, with ``MOST`` of the own text; for an article or main element ``NAMED`` of
+    it will do. What is optional is compared with what can stand on the same pages, so each template of a host has
+    its own way down.
     """
-    named, fixed, slots = set(), set(), {}
-
-    def walk(items: list[Item], path: tuple[str, ...]) -> None:
-        for item in items:
-            if item.label == "#":
-                if item.value is None:
-                    for k in range(len(path) + 1):
-                        slots[path[:k]] = slots.get(path[:k], 0) + item.chars
-                else:
-                    fixed.add(item.value)
-            elif not is_side(item.label):
-                here = (*path, item.label)
-                if item.label.split(".")[0] in MAIN_TAGS:
-                    named.add(here)
-                else:
-                    walk(item.inside, here)
-
-    walk(wrapper, ())
-    if named:
-        return {"main": sorted(map(list, named)), "fixed": []}
-    if not slots:
-        return {"main": [[]], "fixed": []}
-    most = slots[()]
-    deepest = max((p for p, n in slots.items() if n >= 0.6 * most), key=len)
-    return {"main": [list(deepest)], "fixed": sorted(fixed)}
+    total_pages = max(wrapper.pages, 1)
+    fixed: dict[str, list[str]] = {}
+    through: dict[str, list[str]] = {}
+
+    def is_fixed(item: Item) -> bool:
+        return item.value is not None and total_pages > 1
+
+    def below(path: str, item: Item) -> str:
+        return f"{path} {item.label}" if path else item.label
+
+    def weigh(item: Item, path: str) -> tuple[int, int]:
+        """Own text in the element, and that in article elements."""
+        if item.label == "#":
+            return (0 if is_fixed(item) else item.chars), 0
+        if item.label and is_side(item.label):
+            return 0, 0
+        chars = named = 0
+        for x in item.inside:
+            n, m = weigh(x, below(path, x))
+            chars, named = chars + n, named + m
+        return chars, chars if tag_of(item.label) in MAIN_TAGS else named
+
+    def descend(items: list[Item], path: str, pages: int) -> None:
+        found: dict[str, list] = {}
+        for x in items:
+            if x.label == "#":
+                if is_fixed(x):
+                    fixed.setdefault(path, []).append(x.value)
+                found.setdefault("#", []).append((x, (weigh(x, path)[0], 0)))
+            elif not is_side(x.label):
+                found.setdefault(x.label, []).append((x, weigh(x, below(path, x))))
+        kinds = {k: (sum(w[0] for _, w in v), sum(w[1] for _, w in v), max(x.pages for x, _ in v), len(v) > 1 or v[0][0].repeated) for k, v in found.items()}
+        for label, (chars, named, seen, repeated) in kinds.items():
+            if label == "#" or not chars:
+                continue
+            beside = sum(n * min(1, seen / p) for k, (n, _, p, _) in kinds.items() if k != label and p + seen > pages)
+            fits = chars >= MOST * (chars + beside) and tag_of(label) in CONTAINERS and not repeated
+            if fits or named and named >= NAMED * (chars + beside):
+                through.setdefault(path, []).append(label)
+        for label, items_ in found.items():
+            for x, _ in items_:
+                if label != "#":
+                    descend(x.inside, below(path, x), x.pages)
+
+    descend(wrapper.inside, "", total_pages)
+    return {"through": through, "fixed": fixed}
 
 
 def main_text(page: str, role: dict) -> str:
-    main = [tuple(p) for p in role["main"]]
-    fixed = set(role["fixed"])
-    cache: dict[tuple, bool] = {}
+    """The text of the page's region by its host's roles. If they leave nothing of a page without article
+    element, the page is read by roles of its own."""
+    runs = list(runs_of(page))
+    text = region_text(runs, role)
+    if not text and runs and not any(tag_of(x) in MAIN_TAGS for path, *_ in runs for x in path):
+        text = region_text(runs, roles(page_wrapper(page)))
+    return text
+
+
+def region_text(runs: list[tuple[tuple[str, ...], str, bool, int]], role: dict) -> str:
+    through, fixed = role["through"], role["fixed"]
+    cache: dict[tuple, tuple[bool, list[str]]] = {}
+    there: set[str] = set()
+    for path in {path for path, text, *_ in runs if text.strip()}:
+        there.update(" ".join(path[:k]) for k in range(1, len(path) + 1))
     blocks: list[list[str]] = [[]]
     gap = False
 
-    def wanted(path: tuple[str, ...]) -> bool:
-        if path not in cache:
-            inside = any(path[: len(p)] == p for p in main) or any(x.split(".")[0] in MAIN_TAGS for x in path)
-            cache[path] = inside and not any(is_side(x) for x in path)
-        return cache[path]
-
-    for path, text, broken, _ in runs_of(page):
+    def in_region(path: tuple[str, ...]) -> bool:
+        names = [" ".join(path[:k]) for k in range(len(path) + 1)]
+        if any(is_side(x) for x in path):
+            return False
+        for k, name in enumerate(names):
+            ways = [x for x in through.get(name, ()) if (f"{name} {x}" if name else x) in there]
+            if not ways:
+                return True
+            named = any(tag_of(x) in MAIN_TAGS for x in ways)
+            if k == len(path):
+                return not named
+            if path[k] not in ways:
+                tag = tag_of(path[k])
+                return tag in HEADINGS or tag not in BESIDE and not named
+            if tag_of(path[k]) in MAIN_TAGS:
+                return True
+        return True
+
+    for path, text, broken, _ in runs:
         gap |= broken
-        if not wanted(path):
+        if path not in cache:
+            cache[path] = in_region(path), fixed.get(" ".join(path), [])
+        wanted, same = cache[path]
+        if not wanted:
             gap = gap or bool(text.strip())
             continue
-        if fixed and (squeezed := " ".join(text.split())) and hashlib.md5(squeezed.encode()).hexdigest()[:12] in fixed:
+        if same and (squeezed := " ".join(text.split())) and hashlib.md5(squeezed.encode()).hexdigest()[:12] in same:
             continue
         if gap:
             blocks.append([])
@@ -249,7 +321,7 @@ def host_of(url: str | None) -> str:
 
 
 def infer_wrappers(pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, roles as JSON) of every host, from all its pages.
+    """(host, wrapper as JSON) of every host, from all its pages.
 
     A task aligns the pages it reads, host by host, and sends one wrapper a host (it keeps
     ``HOSTS`` at a time); wrappers are then aligned in two steps, by (host, salt) and by host, so
@@ -257,27 +329,27 @@ def infer_wrappers(pages: DataFrame, *, url_col: str = "url", html_col: str = "h
     """
 
     def infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[Item]] = {}
+        known: dict[str, Item] = {}
 
         def flush() -> pa.RecordBatch:
-            names, found = list(known), [json.dumps([i.plain() for i in w]) for w in known.values()]
+            names, found = list(known), [json.dumps(w.plain()) for w in known.values()]
             known.clear()
             return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(found, pa.string())], ["host", "wrapper"])
 
         for batch in batches:
             for url, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                host, items = host_of(url), page_items(page.as_py() or "")
-                known[host] = align(known[host], items) if host in known else items
+                host, own = host_of(url), page_wrapper(page.as_py() or "")
+                known[host] = merged(known[host], own) if host in known else own
                 if len(known) > HOSTS:
                     yield flush()
         yield flush()
 
     def combine(group: pa.Table) -> pa.Table:
-        whole: list[Item] | None = None
+        whole: Item | None = None
         for text in sorted(group.column("wrapper").to_pylist()):
-            items = [Item.of(x) for x in json.loads(text)]
-            whole = items if whole is None else align(whole, items)
-        return pa.table({"host": [group.column("host")[0].as_py()], "wrapper": [json.dumps([i.plain() for i in whole or []])]})
+            part = Item.of(json.loads(text))
+            whole = part if whole is None else merged(whole, part)
+        return pa.table({"host": [group.column("host")[0].as_py()], "wrapper": [json.dumps(whole.plain())]})
 
     parts = pages.select(url_col, html_col).mapInArrow(infer, "host string, wrapper string")
     salted = parts.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS)))
@@ -299,7 +371,7 @@ def extract_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "u
 
     def role_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [json.dumps(roles([Item.of(x) for x in json.loads(w)])) for w in batch.column("wrapper").to_pylist()]
+            found = [json.dumps(roles(Item.of(json.loads(w)))) for w in batch.column("wrapper").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(found, pa.string())], ["host", "roles"])
 
     by_host = staged(infer_wrappers(pages, url_col=url_col, html_col=html_col).mapInArrow(role_rows, "host string, roles string"), "host-roles")
@@ -310,7 +382,7 @@ def extract_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "u
             texts = []
             for page, text in zip(batch.column("html"), batch.column("roles").to_pylist(), strict=True):
                 if text not in seen:
-                    seen[text] = json.loads(text) if text else {"main": [[]], "fixed": []}
+                    seen[text] = json.loads(text) if text else roles(Item(""))
                 texts.append(main_text(page.as_py() or "", seen[text]))
             columns = [batch.column("id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])

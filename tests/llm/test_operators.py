@@ -246,6 +246,25 @@ def test_main_text_leaves_the_frame_out(spark):
     assert found == {1: "Head&line\nOne two three\nfour five", 2: "", 3: "", 4: found[4]}
 
 
+def main_texts(spark, pages):
+    frame = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string")
+    return [r["text"] for r in wrappers.extract_text(frame).orderBy("page_id").collect()]
+
+
+def sentence(seed, n=12):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choice("aeioustrn") for _ in range(6)) for _ in range(n))
+
+
+def test_main_text_of_each_template_of_a_host(spark):
+    frame = "<div class='top'><a>Home</a></div>{}<div class='low'>Made by us</div>"
+    named = [(f"http://h/a{i}", "<body>" + frame.format(f"<article><h1>{sentence(i, 3)}</h1><p>{sentence(i)}</p></article>")) for i in range(4)]
+    plain = [(f"http://h/b{i}", "<body>" + frame.format(f"<div class='story'><h1>{sentence(9 + i, 3)}</h1><p>{sentence(9 + i)}</p></div>")) for i in range(4)]
+    teasers = [("http://t/1", f"<div class='story'><p>{sentence(30, 90)}</p></div><article><p>See also</p></article>")]
+    found = main_texts(spark, [*named, *plain, *teasers, ("http://h/c", "plain < text"), ("http://h/d", None)])
+    assert found == [*(f"{sentence(i, 3)}\n{sentence(i)}" for i in (*range(4), *range(9, 13))), sentence(30, 90), "plain < text", ""]
+
+
 def test_wrapper_finds_slots_and_repeats():
     pages = [f"<div><ul>{'<li>x</li>' * n}</ul><p>text {n}</p>{'<em>extra</em>' if n > 2 else ''}</div>" for n in (1, 2, 3)]
     whole = wrappers.page_items(pages[0])
