@@ -44,6 +44,9 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # An element is the region if it has this share of its parent's text; an article or main element needs less.
 MOST = 0.6
 NAMED = 0.25
+# Text of the template is on this many pages of the host at least, and on this share of them.
+SEVERAL = 3
+NEARLY_ALL = 0.9
 SALTS = 64
 HOSTS = 2_000
 
@@ -207,7 +210,7 @@ def page_wrapper(page: str) -> Item:
 def roles(wrapper: Item) -> dict:
     """What a host's wrapper says of its pages. Elements are named by their labels from the top, joined by blanks.
 
-    ``fixed``: text of the template by element: always the same, if the host has two pages or more. All
+    ``fixed``: text of the template by element: on ``SEVERAL`` pages or more and on nearly all, always the same. All
     other text is the page's own. ``through``: for an element, those inside it that are the region of a page that
     has them: layout elements, not repeated, with ``MOST`` of the own text; for an article or main element ``NAMED`` of
     it will do. What is optional is compared with what can stand on the same pages, so each template of a host has
@@ -218,7 +221,7 @@ def roles(wrapper: Item) -> dict:
     through: dict[str, list[str]] = {}
 
     def is_fixed(item: Item) -> bool:
-        return item.value is not None and total_pages > 1
+        return item.value is not None and item.pages >= SEVERAL and item.pages >= NEARLY_ALL * total_pages
 
     def below(path: str, item: Item) -> str:
         return f"{path} {item.label}" if path else item.label

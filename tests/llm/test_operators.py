@@ -265,6 +265,16 @@ def test_main_text_of_each_template_of_a_host(spark):
     assert found == [*(f"{sentence(i, 3)}\n{sentence(i)}" for i in (*range(4), *range(9, 13))), sentence(30, 90), "plain < text", ""]
 
 
+def test_main_text_without_article_is_whole(spark):
+    extra = ["<h2>Only here</h2>", "<ul><li>one</li><li>two</li></ul>", "<blockquote>said once</blockquote>", "", "<table><tr><td>cell</td></tr></table>"]
+    text = ["Only here\n", "one\ntwo\n", "said once\n", "", "cell\n"]
+    frame = "<body><div class='top'><a>Home</a> <a>About</a></div><div class='page'><h1>{}</h1><p>{}</p>{}<p>{}</p><p class='tail'>All rights kept</p></div>"
+    pages = [(f"http://h/{i}", frame.format(sentence(i, 3), sentence(20 + i), x, sentence(40 + i, 60))) for i, x in enumerate(extra)]
+    found = main_texts(spark, [*pages, ("http://one/", frame.format("Head", "Start", extra[1], sentence(99, 40)))])
+    assert found[:5] == [f"{sentence(i, 3)}\n{sentence(20 + i)}\n{x}{sentence(40 + i, 60)}" for i, x in enumerate(text)]
+    assert found[5] == f"Head\nStart\none\ntwo\n{sentence(99, 40)}\nAll rights kept"
+
+
 def test_wrapper_finds_slots_and_repeats():
     pages = [f"<div><ul>{'<li>x</li>' * n}</ul><p>text {n}</p>{'<em>extra</em>' if n > 2 else ''}</div>" for n in (1, 2, 3)]
     whole = wrappers.page_items(pages[0])
