@@ -37,6 +37,8 @@ SIDE_WORDS = frozenset(
     "newsletter notice notification pagination popup promo promotion related respond search share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
 MAIN_TAGS = frozenset(("article", "main"))
+# Elements whose side words say something of the page, not of themselves.
+FRAME_TAGS = frozenset(("html", "body", "article", "main"))
 # Elements that lay a page out. A region is one of these, never a paragraph, a heading or a list.
 CONTAINERS = frozenset("html body div section article main center form table tbody tr td".split())
 BESIDE = CONTAINERS - {"table", "tbody"}
@@ -101,7 +103,12 @@ def tag_of(label: str) -> str:
 
 def is_side(label: str) -> bool:
     tag, *words = label.split(".")
-    return tag in SIDE_TAGS or any(w in SIDE_WORDS for w in words)
+    return tag in SIDE_TAGS or tag not in FRAME_TAGS and any(w in SIDE_WORDS for w in words)
+
+
+def may_be_side(label: str) -> bool:
+    """Whether the label speaks of a side element but the text may speak against it: words, and a form around the page."""
+    return is_side(label) and (tag_of(label) == "form" or tag_of(label) not in SIDE_TAGS)
 
 
 # --- union-free expressions -------------------------------------------------------------
@@ -211,13 +218,15 @@ def roles(wrapper: Item) -> dict:
     """What a host's wrapper says of its pages. Elements are named by their labels from the top, joined by blanks.
 
     ``fixed``: text of the template by element: on ``SEVERAL`` pages or more and on nearly all, always the same. All
-    other text is the page's own. ``through``: for an element, those inside it that are the region of a page that
+    other text is the page's own. ``own``: elements that look like side elements by a word but have most of the own text,
+    and no article element is elsewhere. ``through``: for an element, those inside it that are the region of a page that
     has them: layout elements, not repeated, with ``MOST`` of the own text; for an article or main element ``NAMED`` of
     it will do. What is optional is compared with what can stand on the same pages, so each template of a host has
     its own way down.
     """
     total_pages = max(wrapper.pages, 1)
     fixed: dict[str, list[str]] = {}
+    own: set[str] = set()
     through: dict[str, list[str]] = {}
 
     def is_fixed(item: Item) -> bool:
@@ -226,27 +235,42 @@ def roles(wrapper: Item) -> dict:
     def below(path: str, item: Item) -> str:
         return f"{path} {item.label}" if path else item.label
 
-    def weigh(item: Item, path: str) -> tuple[int, int]:
-        """Own text in the element, and that in article elements."""
+    def weigh(item: Item, path: str, words: bool) -> tuple[int, int]:
+        """Own text in the element, and that in article elements; without what side words mark unless ``words``."""
         if item.label == "#":
             return (0 if is_fixed(item) else item.chars), 0
-        if item.label and is_side(item.label):
+        if item.label and is_side(item.label) and path not in own and not (words and may_be_side(item.label)):
             return 0, 0
         chars = named = 0
         for x in item.inside:
-            n, m = weigh(x, below(path, x))
+            n, m = weigh(x, below(path, x), words)
             chars, named = chars + n, named + m
         return chars, chars if tag_of(item.label) in MAIN_TAGS else named
 
+    whole, named_whole = weigh(wrapper, "", True)
+
+    def find_own(item: Item, path: str) -> None:
+        for x in item.inside:
+            here = below(path, x)
+            if x.label == "#" or is_side(x.label) and not may_be_side(x.label):
+                continue
+            if is_side(x.label):
+                n, m = weigh(x, here, True)
+                if 2 * n * total_pages > whole * x.pages and m == named_whole:
+                    own.add(here)
+            find_own(x, here)
+
+    find_own(wrapper, "")
+
     def descend(items: list[Item], path: str, pages: int) -> None:
         found: dict[str, list] = {}
         for x in items:
             if x.label == "#":
                 if is_fixed(x):
                     fixed.setdefault(path, []).append(x.value)
-                found.setdefault("#", []).append((x, (weigh(x, path)[0], 0)))
-            elif not is_side(x.label):
-                found.setdefault(x.label, []).append((x, weigh(x, below(path, x))))
+                found.setdefault("#", []).append((x, (weigh(x, path, False)[0], 0)))
+            elif (here := below(path, x)) in own or not is_side(x.label):
+                found.setdefault(x.label, []).append((x, weigh(x, here, False)))
         kinds = {k: (sum(w[0] for _, w in v), sum(w[1] for _, w in v), max(x.pages for x, _ in v), len(v) > 1 or v[0][0].repeated) for k, v in found.items()}
         for label, (chars, named, seen, repeated) in kinds.items():
             if label == "#" or not chars:
@@ -261,7 +285,7 @@ def roles(wrapper: Item) -> dict:
                     descend(x.inside, below(path, x), x.pages)
 
     descend(wrapper.inside, "", total_pages)
-    return {"through": through, "fixed": fixed}
+    return {"through": through, "fixed": fixed, "own": sorted(own)}
 
 
 def main_text(page: str, role: dict) -> str:
@@ -275,7 +299,7 @@ def main_text(page: str, role: dict) -> str:
 
 
 def region_text(runs: list[tuple[tuple[str, ...], str, bool, int]], role: dict) -> str:
-    through, fixed = role["through"], role["fixed"]
+    through, fixed, own = role["through"], role["fixed"], set(role["own"])
     cache: dict[tuple, tuple[bool, list[str]]] = {}
     there: set[str] = set()
     for path in {path for path, text, *_ in runs if text.strip()}:
@@ -285,7 +309,7 @@ def region_text(runs: list[tuple[tuple[str, ...], str, bool, int]], role: dict)
 
     def in_region(path: tuple[str, ...]) -> bool:
         names = [" ".join(path[:k]) for k in range(len(path) + 1)]
-        if any(is_side(x) for x in path):
+        if any(is_side(x) and names[k + 1] not in own for k, x in enumerate(path)):
             return False
         for k, name in enumerate(names):
             ways = [x for x in through.get(name, ()) if (f"{name} {x}" if name else x) in there]

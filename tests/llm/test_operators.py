@@ -275,6 +275,19 @@ def test_main_text_without_article_is_whole(spark):
     assert found[5] == f"Head\nStart\none\ntwo\n{sentence(99, 40)}\nAll rights kept"
 
 
+def test_side_words_do_not_empty_the_page(spark):
+    pages = [
+        ("http://a/", f"<body class='single right-sidebar'><div class='share'>tell all</div><div class='text'><p>{sentence(1, 30)}</p></div>"),
+        ("http://b/", f"<body><article class='post no-comments'><p>{sentence(2)}</p><div class='comments'>first!</div></article>"),
+        ("http://c/", f"<html class='has-menu'><body><main id='search-results'><p>{sentence(3)}</p></main>"),
+        ("http://d/", f"<body><div class='with-sidebar'><div class='text'><p>{sentence(4, 30)}</p></div><div class='sidebar'>side</div></div>"),
+        ("http://e/", f"<form id='f'><div class='text'><p>{sentence(5, 30)}</p></div></form>"),
+        ("http://f/", f"<article><p>short</p></article><div class='comments'>{sentence(6, 30)}</div>"),
+    ]
+    expected = [sentence(1, 30), sentence(2), sentence(3), sentence(4, 30), sentence(5, 30), "short"]
+    assert main_texts(spark, pages) == expected
+
+
 def test_wrapper_finds_slots_and_repeats():
     pages = [f"<div><ul>{'<li>x</li>' * n}</ul><p>text {n}</p>{'<em>extra</em>' if n > 2 else ''}</div>" for n in (1, 2, 3)]
     whole = wrappers.page_items(pages[0])
