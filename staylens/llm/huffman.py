@@ -16,6 +16,7 @@ from staylens.llm.base import new_path, query, staged, table
 from staylens.llm.texts import Texts, as_binary, flat_bytes, gather, pattern_pieces, piece_keys, slices
 
 LONGEST = 16
+MOST_IDS = 1 << LONGEST
 STRIDE = 512
 TEXT_BYTES = 2 << 20
 END_ID = 2
@@ -33,18 +34,18 @@ BYTE_CHARS = {b: 0x100 + i for i, b in enumerate(sorted({*range(0x100)} - {*PRIN
 
 
 def encode_texts(column: pa.Array, tokenizer: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all rows as the ``tokenizers`` library gives them (no special tokens), and where each row's begin.
+    """Ids of all rows as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them, and where each row's begin.
 
     The library's model encodes each different pre-token once; a process keeps up to ``CACHED_WORDS``
-    of them. Only for byte-level BPE files, whose pre-tokens are encoded one by one.
+    of them. Only for byte-level BPE files, whose pre-tokens are encoded one by one. Rows in which an added
+    token of the file is written out are encoded by the library as a whole, which cuts them there.
     """
     from tokenizers import Tokenizer
 
     if tokenizer not in _tokenizers:
         model = Tokenizer.from_file(tokenizer)
-        model.encode_special_tokens = True
-        _tokenizers[tokenizer] = (model, {})
-    model, known = _tokenizers[tokenizer]
+        _tokenizers[tokenizer] = (model, {}, [t.content.encode() for t in model.get_added_tokens_decoder().values() if t.content])
+    model, known, added = _tokenizers[tokenizer]
     texts = Texts(column)
     cuts, rows = pattern_pieces(texts)
     if len(cuts) < 2:
@@ -66,7 +67,31 @@ def encode_texts(column: pa.Array, tokenizer: str) -> tuple[np.ndarray, np.ndarr
     at = np.concatenate(([0], np.cumsum(size)[:-1]))
     out = gather(flat, at[word], size[word])
     ends = np.concatenate(([0], np.cumsum(size[word])))
-    return out, ends[rows]
+    at = ends[rows]
+    whole = rows_with(raw, texts.at, added)
+    if not whole:
+        return out, at
+    parts, done = [], 0
+    count = np.diff(at)
+    for row in whole:
+        found = model.encode(raw[texts.at[row] : texts.at[row + 1]].decode(), add_special_tokens=False).ids
+        parts += [out[at[done] : at[row]], np.array(found, out.dtype)]
+        count[row], done = len(found), row + 1
+    return np.concatenate([*parts, out[at[done] :]]), np.concatenate(([0], np.cumsum(count)))
+
+
+def rows_with(raw: bytes, at: np.ndarray, words: list[bytes]) -> list[int]:
+    """Rows of ``raw`` that hold one of ``words``, in order."""
+    found = set()
+    for word in words:
+        place = raw.find(word)
+        while place >= 0:
+            row = int(np.searchsorted(at, place, "right")) - 1
+            inside = place + len(word) <= at[row + 1]
+            if inside:
+                found.add(row)
+            place = raw.find(word, int(at[row + 1]) if inside else place + 1)
+    return sorted(found)
 
 
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int | None, id_col: str, text_col: str) -> DataFrame:
@@ -78,6 +103,8 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int | None, id_col: str, t
             if end_id is not None:
                 ids = np.insert(ids, at[1:], end_id)
                 at = at + np.arange(len(at))
+            if len(ids) and ids.max() >= MOST_IDS:
+                raise ValueError(f"id {ids.max()} does not fit 16 bits")
             flat = ids.astype("<u2")
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.diff(at)), as_binary(flat, at)], ["doc_id", "n_tokens", "ids"])
 
@@ -293,8 +320,10 @@ def huffman_round_trip(
 
     Null text is empty and gives the end id alone; repeated ids stay, in any order among
     themselves; a null id comes first; an empty table gives an empty result; only the two
-    named columns are read.
+    named columns are read. More than 65,536 ids are refused.
     """
+    if vocabulary > MOST_IDS or (end_id or 0) >= MOST_IDS:
+        raise ValueError(f"{vocabulary} ids with end id {end_id} do not fit 16 bits")
     path = new_path(docs.sparkSession, "coded")
     write_coded(staged(tokenize(docs, tokenizer, end_id, id_col, text_col), "token-ids"), path, vocabulary)
     return read_coded(docs.sparkSession, path)

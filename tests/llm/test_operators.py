@@ -119,6 +119,20 @@ def test_token_files_round_trip(docs):
     assert ids == sorted(ids)
 
 
+def test_added_tokens_have_their_own_ids(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    model = tokenizers.Tokenizer.from_file(path)
+    words = sorted({t.content for t in model.get_added_tokens_decoder().values()})
+    rows = ["a<|endoftext|>b", "plain", None, "", "<|endof", "text|>", *words, *(f"x {w}{w} é" for w in words), "end"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id int, text string").coalesce(1)
+    found = huffman.huffman_round_trip(docs, tokenizer=path, vocabulary=50_257).orderBy("doc_id").collect()
+    assert [np.frombuffer(r["ids"], "<u4").tolist() for r in found] == [[*model.encode(t or "", add_special_tokens=False).ids, 2] for t in rows]
+    assert found[0]["n_tokens"] == 4
+    with pytest.raises(ValueError, match="16 bits"):
+        huffman.huffman_round_trip(docs, tokenizer=path, vocabulary=65_537)
+
+
 def test_mix_keeps_near_targets(spark, docs, no_docs):
     rows = [(i, " ".join(["w"] * (1 + i % 97)), "abc"[i % 3] if i % 11 else None) for i in range(6_000)]
     mixed = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"))
