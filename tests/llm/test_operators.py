@@ -199,6 +199,36 @@ def test_repeats_equal_brute_force(docs, no_docs):
     assert repeats.removed_spans(no_docs).count() == 0
 
 
+def test_hot_anchors_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(6)
+    line = "Licensed under the terms that stand in the file next to this one, without any warranty."
+    rows = [(i, f"{rng.random()} {rng.random()} {line} {rng.random()} {rng.random()}"[rng.randrange(9) :]) for i in range(300)]
+    rows += [(300 + i, text) for i, (_, text) in enumerate(rows[:20])] + [(400, line + line), (401, line[:60]), (402, "é" + line)]
+    first, expected = {}, {}
+    for i, text in rows:
+        b = text.encode()
+        gone = bytearray(len(b))
+        for k in range(len(b) - 49):
+            if first.setdefault(b[k : k + 50], i) < i:
+                gone[k : k + 50] = b"\1" * 50
+        expected[i] = bytes(x for x, g in zip(b, gone, strict=True) if not g)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for places, blocks in ((256, 64), (4, 64), (256, 2), (1, 1)):
+        monkeypatch.setattr(repeats, "HOT_PLACES", places)
+        monkeypatch.setattr(repeats, "HOT_BLOCKS", blocks)
+        met = spark.sparkContext.accumulator(0)
+        merge = repeats.repeated_strings
+
+        def counted(contents, least, met=met, merge=merge):
+            met.add(len(contents))
+            return merge(contents, least)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(repeats, "repeated_strings", counted)
+            assert {r["doc_id"]: bytes(r["kept"]) for r in repeats.removed_spans(docs).collect()} == expected
+        assert (met.value == 0) == (places == 1)
+
+
 def shingles(text):
     w = (text or "").lower().split()
     return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
