@@ -65,7 +65,7 @@ def f1_scores(df: DataFrame, label: str = "label", prediction: str = "prediction
 def auc(df: DataFrame, score: str, label: str = "label") -> DataFrame:
     """Exact area under the ROC curve: the share of (positive, negative) pairs in the
     right order, ties counting half, summed over scores in place of pairs."""
-    ties = df.groupBy(F.col(score).alias("score")).agg(
+    ties = df.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("score")).agg(
         F.sum(F.when(F.col(label) > 0.5, 1).otherwise(0)).alias("pos"),
         F.sum(F.when(F.col(label) > 0.5, 0).otherwise(1)).alias("neg"),
     )

@@ -175,3 +175,55 @@ def test_projection_helpers(spark):
     assert rows(aggregates.row_counts(df, ["ratings.a", "ratings.b"])) == [(1, 0, 2)]
     other = spark.createDataFrame([(3,)], "id int")
     assert projection.union_all(df.select("id"), other, other).count() == 4
+
+
+def test_ranks_keep_the_type_of_the_score(spark):
+    """Integers above 2^53, decimals, timestamps and text; null is a group of its own."""
+    big = 2**53
+    df = spark.createDataFrame([(None, big), (None, big + 1), (None, big + 2), ("a", big), ("a", None)], "g string, s long")
+    assert rows(ranking.ranked(df, ["g"], "s")) == sorted(
+        [(None, 3, big), (None, 2, big + 1), (None, 1, big + 2), ("a", 1, big)], key=str
+    )
+    typed = df.where("g IS NULL").selectExpr(
+        "s", "CAST(s AS DECIMAL(38, 18)) / 3 AS d", "timestamp_micros(s) AS t", "CAST(s AS STRING) AS v", "named_struct('a', 0, 'b', s) AS w"
+    )
+    for column in ("d", "t", "v", "w"):
+        ranks = ranking.ranked(typed.select("s", column), [], column, descending=False)
+        assert {r["s"]: r["rank"] for r in ranks.collect()} == {big: 1, big + 1: 2, big + 2: 3}
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 40])
+def test_running_totals_over_hot_groups(spark, ranges):
+    """One group holds two thirds of the rows and spans ranges; two columns give the order."""
+    df = spark.range(600).select(
+        F.when(F.col("id") % 3 > 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("g"), F.col("id") % 40)).alias("g"),
+        (F.col("id") % 7).alias("a"),
+        (F.col("id") * 31 % 601).alias("b"),
+        F.xxhash64("id").alias("x"),
+        F.when(F.col("id") % 5 == 0, None).otherwise(F.col("id")).alias("n"),
+    )
+    df.createOrReplaceTempView("hot_groups")
+    frame = "(PARTITION BY g ORDER BY a DESC, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    expected = spark.sql(f"SELECT *, coalesce(sum(n) OVER {frame}, 0) AS before_n, coalesce(bit_xor(x) OVER {frame}, 0) AS before_x FROM hot_groups")
+    found = ranking.running_totals(df, [F.desc("a"), "b"], ["n"], ["g"], ranges, xors=["x"])
+    assert rows(found) == rows(expected)
+
+
+def test_exact_quantiles_per_group_and_type(spark):
+    df = spark.range(500).selectExpr("IF(id % 2 = 0, 'even', NULL) AS g", "timestamp_seconds(id * 7 % 501) AS t")
+    df.createOrReplaceTempView("timed")
+    expected = spark.sql(
+        """SELECT g, p, value FROM (SELECT g, percentile_disc(0.25) WITHIN GROUP (ORDER BY unix_seconds(t)) AS q1,
+        percentile_disc(0.9) WITHIN GROUP (ORDER BY unix_seconds(t)) AS q2 FROM timed GROUP BY g)
+        LATERAL VIEW inline(array(struct(0.25D, timestamp_seconds(q1)), struct(0.9D, timestamp_seconds(q2)))) AS p, value"""
+    )
+    assert rows(ranking.exact_quantiles(df, "t", [0.25, 0.9], ["g"])) == rows(expected)
+    assert [r["value"] for r in ranking.exact_quantiles(df.limit(0), "t", [0.5]).collect()] == [None]
+
+
+def test_keyed_join_meets_null_keys_and_shuffles_large_rows(spark):
+    left = spark.createDataFrame([(1, None), (2, None), (3, "a"), (4, "b")], "id int, k string")
+    staged = stage(spark.createDataFrame([(None, 2, "x"), ("a", 1, "y")], "k string, n long, v string"), "keys")
+    expected = [(1, None, 2, "x"), (2, None, 2, "x"), (3, "a", 1, "y")]
+    assert sorted((r["id"], r["k"], r["n"], r["v"]) for r in joins.keyed_join(left, staged, ["k"], "n").collect()) == expected
+    assert sorted((r["id"], r["k"], r["n"], r["v"]) for r in joins.keyed_join(left, staged, ["k"], "n", max_bytes=5).collect()) == expected
