@@ -40,3 +40,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     from staylens.workspace import stage
 
     return stage(df, name)
+
+
+def dropped(df: DataFrame) -> None:
+    """Delete the folders of a staged table that nothing reads any more."""
+    spark = df.sparkSession
+    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

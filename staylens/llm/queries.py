@@ -1,6 +1,6 @@
 """Importing this module registers every query of this folder."""
 
-from staylens.llm import bpe, huffman, jaccard, mixing, pivots, projections, quality, repeats, warc, wrappers  # noqa: F401
+from staylens.llm import bpe, huffman, jaccard, mixing, pivots, projections, quality, repeats, trie, urls, vcodes, warc, wrappers  # noqa: F401
 from staylens.llm.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
