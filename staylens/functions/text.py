@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,6 +45,68 @@ def term_bucket(term: Column, buckets: int = 20_000) -> Column:
     """Feature index of a term: MurmurHash3 (seed 42) modulo ``buckets``.
 
     Equals the index ``HashingTF`` gave up to Spark 2.4; later versions hash the
-    last one to three bytes of a term another way.
+    last one to three bytes of a term another way, see ``current_term_bucket``.
     """
     return F.pmod(F.hash(term), F.lit(buckets))
+
+
+# MurmurHash3 (32 bit) constants and the inverses of its two closing multipliers modulo 2^32.
+_C1, _C2, _CLOSE1, _CLOSE2 = 0xCC9E2D51, 0x1B873593, 0x85EBCA6B, 0xC2B2AE35
+_OPEN1, _OPEN2 = pow(_CLOSE1, -1, 2**32), pow(_CLOSE2, -1, 2**32)
+_LOW = 0xFFFFFFFF
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _times(number: Column, factor: int) -> Column:
+    """Product modulo 2^32 of a bound number below 2^32, in steps that fit a long."""
+    high = (F.shiftrightunsigned(number, 16) * factor).bitwiseAND(0xFFFF)
+    return (number.bitwiseAND(0xFFFF) * factor + F.shiftleft(high, 16)).bitwiseAND(_LOW)
+
+
+def _fold(number: Column, *bits: int) -> Column:
+    return reduce(Column.bitwiseXOR, [F.shiftrightunsigned(number, b) for b in bits], number)
+
+
+def _steps(number: Column, *steps: Callable[[Column], Column]) -> Column:
+    return reduce(_let, steps, number)
+
+
+def murmur3(data: Column) -> Column:
+    """The standard 32-bit MurmurHash3 (seed 42) of binary data, as a signed integer.
+
+    ``F.hash`` differs only where one to three bytes are left over after whole words of four. So
+    the state after the whole words is taken back from the hash of those words, by undoing its closing
+    steps; the bytes left over are mixed in, and the steps are closed again: a fixed number of
+    operations next to the built-in hash, whatever the length.
+    """
+    size = F.octet_length(data).cast("long")
+    whole = size.bitwiseAND(~3)
+    words = F.hash(F.substring(data, F.lit(1), whole.cast("int"))).cast("long").bitwiseAND(_LOW)
+    state = _steps(
+        words, lambda h: _fold(h, 16), lambda h: _times(h, _OPEN2), lambda h: _fold(h, 13, 26), lambda h: _times(h, _OPEN1), lambda h: _fold(h, 16)
+    )
+    # Reversed hex holds each byte's digits the wrong way round, last byte first: turn every pair again.
+    rest = F.reverse(F.hex(F.substring(data, (whole + 1).cast("int"), F.lit(3))))
+    tail = F.conv(F.regexp_replace(rest, "(.)(.)", "$2$1"), 16, 10).cast("long")
+    tail = _steps(
+        tail,
+        lambda k: _times(k, _C1),
+        lambda k: F.shiftleft(k, 15).bitwiseOR(F.shiftrightunsigned(k, 17)).bitwiseAND(_LOW),
+        lambda k: _times(k, _C2),
+    )
+    mixed = state.bitwiseXOR(whole).bitwiseXOR(tail).bitwiseXOR(size)
+    closed = _steps(
+        mixed, lambda h: _fold(h, 16), lambda h: _times(h, _CLOSE1), lambda h: _fold(h, 13), lambda h: _times(h, _CLOSE2), lambda h: _fold(h, 16)
+    )
+    signed = _let(closed, lambda h: F.when(h > 0x7FFFFFFF, h - 2**32).otherwise(h).cast("int"))
+    # Whole words need no mending.
+    return F.when(size > whole, signed).when(size == whole, F.hash(data))
+
+
+def current_term_bucket(term: Column, buckets: int = 20_000) -> Column:
+    """Feature index of a term as ``HashingTF`` of the running Spark gives it."""
+    return F.pmod(murmur3(F.encode(term, "UTF-8")), F.lit(buckets))

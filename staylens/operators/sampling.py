@@ -7,9 +7,11 @@ key, so a result does not change with partitioning or when a task is run again.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from staylens.functions.keys import hash_bucket
 from staylens.operators.joins import keyed_join
@@ -92,7 +94,7 @@ def bootstrap_sample(df: DataFrame, ratio: float, key: str, bucket: Bucket = has
 
 
 def _class_plan(df: DataFrame, label: str) -> DataFrame:
-    """Per class: its rows ``_n`` and the rows of the largest class ``_target``."""
+    """Per class, null being one: its rows ``_n`` and the rows of the largest class ``_target``."""
     sizes = stage(df.groupBy(label).agg(F.count("*").alias("_n")), "class-sizes")
     return sizes.withColumn("_target", sizes.agg(F.max("_n")).scalar())
 
@@ -119,42 +121,79 @@ def oversample_near(df: DataFrame, label: str, key: str, bucket: Bucket = hash_b
     return repeat_rows(planned, F.col("_whole") + one_more.cast("int")).drop("_n", "_whole", "_missing")
 
 
+# Digits that order the rows of a class: the bucket, then four each of the key, the whole row and the row's place.
+_DIGIT_BITS, _DIGITS = 16, 13
+
+
+def _digits(number: Column) -> list[Column]:
+    """A long as four digits of 16 bits, in the order of the numbers."""
+    shifted = number.bitwiseXOR(F.lit(-(2**63)))
+    return [F.shiftrightunsigned(shifted, at).bitwiseAND(2**_DIGIT_BITS - 1).cast("int") for at in (48, 32, 16, 0)]
+
+
+def _in_order(df: DataFrame, key: str, bucket: Column) -> DataFrame:
+    """Add ``_digits``, by which no two rows are equal: bucket, key, row, and place in the written table."""
+    integral = isinstance(df.schema[key].dataType, IntegralType)
+    number = F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))) if integral else F.xxhash64(key)
+    row = F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`"))) for c in df.columns])
+    placed = stage(df.withColumn("_place", F.monotonically_increasing_id()), "rows-in-place")
+    digits = [bucket, *_digits(number), *_digits(row), *_digits(F.col("_place"))]
+    return placed.withColumn("_digits", F.array(*digits)).drop("_place")
+
+
+def first_rows(df: DataFrame, label: str, key: str, wanted: DataFrame, bucket: Bucket = hash_bucket, buckets: int = 65_536) -> DataFrame:
+    """Add ``_first``: whether a row is among the first of its class, as many as ``wanted`` says.
+
+    ``wanted`` is a staged table with one row per class: ``label``, its rows ``_n`` and the number ``_take``, less than
+    ``_n``. Order: hash bucket of the key, the key (integers by value, other types by hash), a hash of the row; equal
+    rows by their place in a table that is written once. A null label is a class, a null key comes first.
+
+    No row is ranked. Rows are counted per class and digit, at most 65,536 counts per class; the digit in
+    which the cut falls is fixed, and only its rows are counted by the next digit, until the cut lies
+    between digits. Equal keys, even half a class of them, are told apart by later digits.
+    """
+    if not 0 < buckets <= 2**_DIGIT_BITS:
+        raise ValueError("buckets must be in 1 .. 65536")
+    hashed = _in_order(df, key, bucket(F.col(key), buckets).cast("int"))
+    narrow = stage(hashed.select(label, "_digits"), "digits")
+    none = F.array().cast("array<int>")
+    # Before any digit nothing is taken where nothing is wanted.
+    cuts = [wanted.where("_take = 0").select(label, F.array(F.lit(-1)).alias("_cut"))]
+    undecided = wanted.where("_take > 0").select(label, "_n", "_take", none.alias("_cut"))
+    for level in range(_DIGITS):
+        undecided = stage(undecided, "undecided")
+        inside = keyed_join(narrow, undecided, [label], "_n").where(F.slice("_digits", 1, level) == F.col("_cut"))
+        counts = inside.groupBy(label, F.col("_digits")[level].alias("_digit")).agg(
+            F.count("*").alias("_rows"), F.first("_n").alias("_n"), F.first("_take").alias("_take"), F.first("_cut").alias("_cut")
+        )
+        # At most 65,536 rows per class.
+        upto = Window.partitionBy(label).orderBy("_digit").rowsBetween(Window.unboundedPreceding, 0)
+        running = counts.withColumn("_upto", F.sum("_rows").over(upto)).where("_upto >= _take AND _upto - _rows < _take")
+        fixed = stage(
+            running.select(label, "_n", F.array_append("_cut", F.col("_digit")).alias("_cut"), F.expr("_take - _upto + _rows").alias("_take"), "_rows"), "fixed-digits"
+        )
+        cuts.append(fixed.where("_take = _rows").select(label, "_cut"))
+        undecided = fixed.where("_take < _rows").drop("_rows")
+        if undecided.isEmpty():
+            break
+    last = reduce(DataFrame.unionByName, cuts)
+    sized = last.join(wanted.select(F.col(label).alias("_label"), "_n"), F.col(label).eqNullSafe(F.col("_label"))).drop("_label")
+    marked = keyed_join(hashed, stage(sized, "cuts"), [label], "_n")
+    is_first = F.slice("_digits", 1, F.size("_cut")) <= F.col("_cut")
+    return marked.withColumn("_first", is_first).drop("_digits", "_cut", "_n")
+
+
 def oversample(
     df: DataFrame, label: str, key: str, bucket: Bucket = hash_bucket, buckets: int = 65_536
 ) -> DataFrame:
     """Repeat rows until every class has exactly as many as the largest one.
 
-    The missing remainder goes to the first rows in (bucket, key) order. Counts per
-    bucket tell which bucket the cut falls into, and only the rows of that one bucket
-    are ranked. ``key`` should identify a row.
+    All rows get whole copies; the missing remainder goes to the first rows in (bucket, key) order,
+    see ``first_rows``. A null label is a class like any other, and no row is lost.
     """
-    hashed = df.withColumn("_bucket", bucket(F.col(key), buckets))
-    filled = stage(hashed.groupBy(label, "_bucket").agg(F.count("*").alias("n")), "bucket-sizes")
-    sizes = filled.groupBy(label).agg(F.sum("n").alias("n"))
-    target = sizes.agg(F.max("n")).scalar()
-    plan = sizes.select(
-        label,
-        F.floor(target / F.col("n")).alias("_whole"),
-        (target % F.col("n")).alias("_missing"),
-    )
-    # At most ``buckets`` rows per class.
-    earlier = Window.partitionBy(label).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    started = filled.withColumn("_start", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(plan, label)
-    holds_cut = (F.col("_start") < F.col("_missing")) & (F.col("_start") + F.col("n") >= F.col("_missing"))
-    cuts = started.groupBy(label).agg(
-        F.sum("n").alias("_n"),
-        F.first("_whole").alias("_whole"),
-        F.max(F.when(holds_cut, F.col("_bucket"))).alias("_cut"),
-        F.max(F.when(holds_cut, F.col("_missing") - F.col("_start"))).alias("_take"),
-    )
-    planned = keyed_join(hashed, stage(cuts, "class-cuts"), [label], "_n")
-
-    in_cut = F.coalesce(F.col("_bucket") == F.col("_cut"), F.lit(False))
-    one_more = F.coalesce(F.col("_bucket") < F.col("_cut"), F.lit(False))
-    clear = planned.where(~in_cut).withColumn("_extra", one_more.cast("int"))
-    place = F.row_number().over(Window.partitionBy(label).orderBy(key))
-    close = planned.where(in_cut).withColumn("_extra", (place <= F.col("_take")).cast("int"))
-    both = clear.unionByName(close)
-    return repeat_rows(both, F.col("_whole") + F.col("_extra")).drop("_bucket", "_n", "_whole", "_cut", "_take", "_extra")
-
-
+    plan = _class_plan(df, label)
+    wanted = stage(plan.select(label, "_n", F.expr("_target % _n").alias("_take"), F.expr("_target div _n").alias("_whole")), "class-targets")
+    marked = first_rows(df, label, key, wanted.drop("_whole"), bucket, buckets)
+    planned = keyed_join(marked, wanted.select(label, "_n", "_whole"), [label], "_n")
+    copies = F.col("_whole") + F.col("_first").cast("int")
+    return repeat_rows(planned, copies).drop("_n", "_whole", "_first")

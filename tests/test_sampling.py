@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from conftest import plan_of, rows
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from staylens.functions.keys import arithmetic_bucket, hash_bucket
 from staylens.operators import sampling
+from staylens.workspace import stage
 
 
 @pytest.fixture(scope="module")
@@ -30,6 +32,40 @@ def test_oversample_is_exact(spark, classes, bucket, buckets):
     assert set(balanced.columns) == {"id", "label", "copy"}
 
 
+def test_oversample_splits_a_repeated_key(spark):
+    """Half a class is one key, a third equal rows; the cut falls inside them and no count per digit is a rank."""
+    ids = spark.range(900)
+    key = F.when(F.col("id") < 400, F.lit(7)).when(F.col("id") < 500, None).otherwise(F.col("id"))
+    df = ids.select(key.alias("k"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("v"), F.lit("a").alias("label"))
+    df = df.unionByName(spark.range(1_650).select(F.col("id").alias("k"), F.lit(1).cast("long").alias("v"), F.lit(None).cast("string").alias("label")))
+    for layout in (df.coalesce(1), df.repartition(6)):
+        balanced = sampling.oversample(layout, "label", "k", arithmetic_bucket).cache()
+        assert counts(balanced) == {"a": 1_650, None: 1_650}
+        assert {r[0] for r in balanced.where("label = 'a'").select("copy").distinct().collect()} == {1, 2}
+        assert balanced.where("copy = 1").count() == 2_550
+    text = df.withColumn("k", F.concat(F.lit("key"), "k"))
+    assert counts(sampling.oversample(text, "label", "k")) == {"a": 1_650, None: 1_650}
+
+
+@pytest.mark.parametrize("buckets", [1, 65_536])
+def test_first_rows_are_the_first_in_key_order(spark, buckets):
+    df = spark.range(2_000).select((F.col("id") * 37 % 5_003 - 2_500).alias("k"), (F.col("id") % 3).alias("label")).cache()
+    sizes = df.groupBy("label").agg(F.count("*").alias("_n"))
+    wanted = stage(sizes.withColumn("_take", F.col("label") * 250 + F.when(F.col("label") > 0, 13).otherwise(0)), "wanted")
+    found = sampling.first_rows(df, "label", "k", wanted, arithmetic_bucket, buckets)
+    order = Window.partitionBy("label").orderBy(arithmetic_bucket(F.col("k"), buckets), "k")
+    expected = df.withColumn("_first", F.row_number().over(order) <= F.col("label") * 250 + F.when(F.col("label") > 0, 13).otherwise(0))
+    assert rows(found) == rows(expected)
+    assert "Window" not in plan_of(found)
+
+
+def test_null_labels_are_kept(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, None)], "id long, label string")
+    assert counts(sampling.oversample(df, "label", "id")) == {"a": 2, None: 2}
+    for method in (sampling.oversample_near, sampling.oversample_poisson):
+        assert None in counts(method(df.union(df).union(df), "label", "id"))
+
+
 def test_oversample_does_not_depend_on_layout(spark, classes):
     for method in (sampling.oversample, sampling.oversample_near, sampling.oversample_poisson):
         first = rows(method(classes.coalesce(1), "label", "id"))
