@@ -15,8 +15,9 @@ from staylens.operators.features import scaled_vector_stages
 from staylens.plans import room_experience, scoring, segmentation, sentiment
 from staylens.sources.models import load_pipeline, save_model
 from staylens.sources.registry import RunRegistry
-from staylens.sources.reviews import RATINGS, reviews_from_orders
+from staylens.sources.reviews import RATINGS, REVIEWS_CTE, reviews_from_orders
 from staylens.sources.tables import read_table
+from staylens.streaming import features as author_stream
 from staylens.streaming import scoring as stream_scoring
 from staylens.workspace import new_dir, stage
 
@@ -63,9 +64,8 @@ def classify_tree(spark, sf_dir):
 BAYES_COLUMNS = [r for r in RATINGS if r != "rooms"] + ["month", "year"]
 
 
-@query(
-    "classify_bayes",
-    f"""WITH {LABELLED_CTE},
+# Featured reviews, and the training part with the copies that balancing gives each row.
+TRAINING_CTE = f"""{LABELLED_CTE},
     featured AS (
       SELECT * FROM ({dated_sql("labelled")}) WHERE {" AND ".join(f"{c} IS NOT NULL" for c in BAYES_COLUMNS)}
     ),
@@ -81,7 +81,12 @@ BAYES_COLUMNS = [r for r in RATINGS if r != "rooms"] + ["month", "year"]
       SELECT *, target // n + CASE WHEN {arithmetic_bucket_sql("id", 1_000_000)}
              < (target % n) / CAST(n AS DOUBLE) * 1000000 THEN 1 ELSE 0 END AS w
       FROM sized, (SELECT max(n) AS target FROM sized)
-    ),
+    )"""
+
+
+@query(
+    "classify_bayes",
+    f"""WITH {TRAINING_CTE},
     sums AS (
       SELECT label, sum(w) AS n, {", ".join(f"sum(w * {c}) AS {c}" for c in BAYES_COLUMNS)} FROM weighted GROUP BY label
     ),
@@ -161,6 +166,24 @@ def trained_registry(spark, sf_dir):
     return _registries.get((spark.sparkContext.applicationId, sf_dir)) or train_sentiment(spark, sf_dir)
 
 
+@query(
+    "stream_user_features",
+    f"""WITH {REVIEWS_CTE} SELECT author_id AS user_id, CAST(count(*) AS BIGINT) AS review_count,
+           round(avg(length(text)), 6) AS avg_text_length, round(avg(num_helpful_votes), 6) AS avg_helpful_votes
+    FROM reviews WHERE author_id IS NOT NULL GROUP BY author_id""",
+)
+def stream_user_features(spark, sf_dir):
+    """Author features from a stream that arrives in several files and is stopped and started again."""
+    reviews = reviews_from_orders(spark, sf_dir)
+    folder, log, checkpoint = (new_dir(spark, name) for name in ("review-files", "author-log", "author-checkpoint"))
+    for part in range(2):
+        reviews.where(F.col("id") % 2 == part).repartition(2).write.mode("append").parquet(folder)
+        stream = stream_scoring.read_stream(spark, folder, reviews.schema, files_per_trigger=1)
+        author_stream.follow_authors(stream, log, checkpoint).awaitTermination()
+    features = author_stream.latest_features(author_stream.read_log(spark, log))
+    return features.withColumns({c: F.round(c, 6) for c in ("avg_text_length", "avg_helpful_votes")})
+
+
 @query("model_comparison")
 def model_comparison(spark, sf_dir):
     """The recorded sentiment runs side by side, every metric of each."""

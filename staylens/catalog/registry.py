@@ -1,7 +1,7 @@
 """Registry queries over a put log with one put per event.
 
 Keys repeat (event type and user), so puts overwrite each other; puts of small values
-carry no score, so cells are merged one by one.
+carry no score, so cells are merged one by one. A task has runs of several score types, and of none.
 """
 
 from __future__ import annotations
@@ -20,8 +20,8 @@ puts AS (
   SELECT 'task_' || event_type || '_user' || user_id AS row_key, 'Task ' || event_type AS task_name,
          'Model' || upper(event_type) AS model_name, ts AS run_timestamp, value / 3 AS training_time_seconds,
          CASE WHEN value >= 5 THEN value / 7 END AS evaluation_score,
-         CASE event_type WHEN 'click' THEN 'AUC' WHEN 'view' THEN 'WeightedF1' WHEN 'error' THEN 'ClusterDistance'
-              ELSE 'Silhouette' END AS score_type,
+         CASE WHEN user_id % 7 = 3 THEN NULL WHEN user_id % 7 = 5 THEN 'AUC' WHEN event_type = 'click' THEN 'AUC'
+              WHEN event_type = 'view' THEN 'WeightedF1' WHEN event_type = 'error' THEN 'ClusterDistance' ELSE 'Silhouette' END AS score_type,
          'models/' || event_id AS model_path, event_id AS put_seq
   FROM events
 ),
@@ -39,7 +39,9 @@ ROUNDED = "round(training_time_seconds, 6) AS training_time_seconds, round(evalu
 def event_puts(spark, sf_dir):
     kind, value = F.col("event_type"), F.col("value")
     score_type = (
-        F.when(kind == "click", "AUC")
+        F.when(F.col("user_id") % 7 == 3, None)
+        .when(F.col("user_id") % 7 == 5, "AUC")
+        .when(kind == "click", "AUC")
         .when(kind == "view", "WeightedF1")
         .when(kind == "error", "ClusterDistance")
         .otherwise("Silhouette")
@@ -103,6 +105,19 @@ def registry_lookup(spark, sf_dir):
     return found.select("row_key", "task_name", F.col("evaluation_score").isNotNull().alias("has_score"), "model_path", "put_seq")
 
 
+@query(
+    "registry_get",
+    f"""WITH {PUTS_CTE}
+    SELECT row_key, task_name, round(evaluation_score, 6) AS evaluation_score, model_path, put_seq
+    FROM merged WHERE row_key IN ('task_click_user1', 'task_view_user2', 'task_error_user3', 'task_view_user11')""",
+)
+def registry_get(spark, sf_dir):
+    """Four keys from a registry in folders by key; the other folders are not opened."""
+    compacted = written_registry(spark, sf_dir).compact(new_dir(spark, "registry"), buckets=64)
+    found = compacted.get(["task_click_user1", "task_view_user2", "task_error_user3", "task_view_user11", "no such key"])
+    return found.select("row_key", "task_name", F.round("evaluation_score", 6).alias("evaluation_score"), "model_path", "put_seq")
+
+
 @query(
     "leaderboard",
     f"""WITH {PUTS_CTE}
@@ -121,15 +136,15 @@ def leaderboard(spark, sf_dir):
     f"""WITH {PUTS_CTE},
     placed AS (
       SELECT *, row_number() OVER (
-        PARTITION BY task_name
+        PARTITION BY task_name, score_type
         ORDER BY CASE WHEN score_type = 'ClusterDistance' THEN -evaluation_score ELSE evaluation_score END DESC, row_key DESC
       ) AS place FROM merged WHERE evaluation_score IS NOT NULL
     )
-    SELECT task_name, row_key, round(evaluation_score, 6) AS evaluation_score, model_path FROM placed WHERE place = 1""",
+    SELECT task_name, score_type, row_key, round(evaluation_score, 6) AS evaluation_score, model_path FROM placed WHERE place = 1""",
 )
 def best_runs(spark, sf_dir):
     best = views.best_runs(views.latest(event_puts(spark, sf_dir)))
-    return best.select("task_name", "row_key", F.round("evaluation_score", 6).alias("evaluation_score"), "model_path")
+    return best.select("task_name", "score_type", "row_key", F.round("evaluation_score", 6).alias("evaluation_score"), "model_path")
 
 
 @query(

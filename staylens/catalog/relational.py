@@ -9,7 +9,7 @@ from staylens.functions.vectors import vector_columns
 from staylens.operators import aggregates, joins, nulls, projection
 from staylens.operators.aggregates import row_counts as count_rows
 from staylens.sources.keylists import read_key_list
-from staylens.sources.reviews import RATINGS, REVIEWS_CTE, read_reviews_json, register_reviews, reviews_from_orders
+from staylens.sources.reviews import RATINGS, REVIEWS_CTE, read_review_lines, read_reviews_json, register_reviews, reviews_from_orders
 from staylens.sources.tables import read_table
 from staylens.workspace import new_dir, stage
 
@@ -48,6 +48,28 @@ def scan_json(spark, sf_dir):
     return flat(read_reviews_json(spark, path))
 
 
+def written_lines(spark, sf_dir):
+    """Reviews as JSON lines, every fiftieth cut in half, and blank lines between them."""
+    line = F.to_json(F.struct("*"))
+    cut = F.when(F.col("id") % 50 == 7, F.substring(line, F.lit(1), (F.length(line) / 2).cast("int"))).otherwise(line)
+    path = new_dir(spark, "review-lines")
+    padded = F.when(F.col("id") % 9 == 0, F.concat(cut, F.lit("\n\n"))).otherwise(cut)
+    reviews_from_orders(spark, sf_dir).select(padded.alias("value")).write.text(path)
+    return read_review_lines(spark, path)
+
+
+@query("scan_json_checked", f"{WITH_REVIEWS} SELECT * FROM reviews WHERE id % 50 <> 7")
+def scan_json_checked(spark, sf_dir):
+    """The lines that are reviews, unchanged."""
+    return flat(written_lines(spark, sf_dir)[0])
+
+
+@query("scan_json_broken", f"{WITH_REVIEWS} SELECT CAST(id AS VARCHAR) AS id FROM reviews WHERE id % 50 = 7")
+def scan_json_broken(spark, sf_dir):
+    """The lines that are none, by the id they still show."""
+    return written_lines(spark, sf_dir)[1].select(F.regexp_extract("line", r'^\{"id":(\d+),', 1).alias("id"))
+
+
 @query(
     "load_keys",
     "SELECT c_name || ' ' || c_mktsegment AS row_key FROM customer WHERE c_acctbal >= 0",

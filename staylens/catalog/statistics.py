@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from staylens.catalog.base import query
 from staylens.catalog.relational import WITH_REVIEWS
@@ -10,8 +11,10 @@ from staylens.functions.ratings import sentiment_label as label_sentiment
 from staylens.functions.text import word_count as count_words
 from staylens.operators import aggregates, features, quantiles, ranking
 from staylens.operators.quantiles import THIRDS
+from staylens.operators.sketches import SketchStore
 from staylens.sources.reviews import RATINGS, REVIEWS_CTE, reviews_from_orders
 from staylens.sources.tables import read_table
+from staylens.workspace import new_dir, stage
 
 LINE_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -86,6 +89,7 @@ def word_count_compat(spark, sf_dir):
 )
 def rating_quantiles(spark, sf_dir):
     ratings = reviews_from_orders(spark, sf_dir, with_text=False).select("ratings.*")
+    ratings = stage(ratings.select("rooms", "sleep_quality"), "ratings")
     rooms = quantiles.quantile_struct(ratings, "rooms", THIRDS, accuracy=None).scalar()
     sleep = quantiles.quantile_struct(ratings, "sleep_quality", THIRDS, accuracy=None)
     return sleep.select(
@@ -109,6 +113,64 @@ def exact_quantiles(spark, sf_dir):
     return ranking.exact_quantiles(read_table(spark, sf_dir, "lineitem"), "l_extendedprice", QUARTILES)
 
 
+@query(
+    "exact_quantiles_by_day",
+    " UNION ALL ".join(
+        f"SELECT o_orderpriority, CAST({p} AS DOUBLE) AS p, quantile_disc(o_orderdate, {p}) AS value FROM orders GROUP BY o_orderpriority"
+        for p in (0.1, 0.5, 0.9)
+    ),
+)
+def exact_quantiles_by_day(spark, sf_dir):
+    """Quantiles of a timestamp per group, in its own type."""
+    orders = read_table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderdate")
+    return ranking.exact_quantiles(orders, "o_orderdate", (0.1, 0.5, 0.9), ["o_orderpriority"])
+
+
+BIG = 2**53
+
+
+@query(
+    "ranks_of_large_integers",
+    f"""SELECT o_orderkey, o_orderstatus, CAST(rank() OVER (PARTITION BY nullif(o_orderstatus, 'P') ORDER BY {BIG} + o_custkey DESC) AS BIGINT) AS rank,
+           CAST(rank() OVER (PARTITION BY nullif(o_orderstatus, 'P') ORDER BY CAST(o_totalprice AS DECIMAL(18, 2))) AS BIGINT) AS price_rank,
+           CAST(rank() OVER (PARTITION BY nullif(o_orderstatus, 'P') ORDER BY o_orderdate) AS BIGINT) AS day_rank FROM orders""",
+)
+def ranks_of_large_integers(spark, sf_dir):
+    """Ranks of integers that doubles cannot tell apart, of decimals and of timestamps; one group is null."""
+    orders = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        "o_orderstatus",
+        F.nullif("o_orderstatus", F.lit("P")).alias("status"),
+        (F.lit(BIG) + F.col("o_custkey")).alias("big"),
+        F.col("o_totalprice").cast("decimal(18, 2)").alias("price"),
+        "o_orderdate",
+    )
+    ranks = ranking.ranked(orders, ["status"], "big")
+    ranks = ranking.ranked(ranks.withColumnRenamed("rank", "big_rank"), ["status"], "price", descending=False)
+    ranks = ranking.ranked(ranks.withColumnRenamed("rank", "price_rank"), ["status"], "o_orderdate", descending=False)
+    return ranks.select("o_orderkey", "o_orderstatus", F.col("big_rank").alias("rank"), "price_rank", F.col("rank").alias("day_rank"))
+
+
+@query(
+    "sketch_quantiles",
+    f"{WITH_REVIEWS}, rated AS (SELECT CASE WHEN overall >= 4 THEN 'good' ELSE 'other' END AS kind, rooms FROM reviews) "
+    + " UNION ALL ".join(
+        f"SELECT kind, CAST({p} AS DOUBLE) AS p, quantile_disc(rooms, {p}) AS value FROM rated GROUP BY kind" for p in THIRDS
+    ),
+)
+def sketch_quantiles(spark, sf_dir):
+    """Thirds per kind of review, from a store of sketches per weekday of which one day is written twice.
+
+    A rating has few values, each with far more than the sketch's rank error of rows, so the thirds are exact.
+    """
+    kind = F.when(F.col("ratings.overall") >= 4, "good").otherwise("other")
+    reviews = reviews_from_orders(spark, sf_dir, with_text=False).select("id", kind.alias("kind"), "ratings.rooms")
+    store = SketchStore(spark, new_dir(spark, "sketches"), T.StructType([T.StructField("kind", T.StringType())]))
+    for day in (0, 1, 2, 3, 1):
+        store.put(str(day), reviews.where(F.col("id") % 4 == day), "rooms")
+    return store.quantiles(THIRDS)
+
+
 LABELLED_CTE = f"""{REVIEWS_CTE},
 cuts AS (SELECT quantile_disc(rooms, {THIRDS[0]}) AS low, quantile_disc(rooms, {THIRDS[1]}) AS high FROM reviews),
 labelled AS (

@@ -122,3 +122,55 @@ def hashing_tfidf(spark, sf_dir):
     docs = documents(spark, sf_dir)
     counts = text_features.hashed_term_counts(docs, "doc_id", filtered_words())
     return rounded_weights(text_features.tfidf(counts, docs, "doc_id", "bucket", TERM_BUCKETS))
+
+
+# The standard hash, as the running Spark's HashingTF takes it: up to three bytes left over are one number
+# that is mixed in without the closing rotation.
+CURRENT_CTE = f"""{TOKENS_CTE},
+vocabulary AS (
+  SELECT term, hex(encode(term)) AS h, CAST(octet_length(encode(term)) AS BIGINT) AS n
+  FROM (SELECT DISTINCT term FROM counts)
+),
+bytes AS (
+  SELECT term, n, list_transform(range(n), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS UBIGINT)) AS b FROM vocabulary
+),
+blocks AS (
+  SELECT term, n, list_transform(range(n // 4),
+      lambda i: b[4 * i + 1] + b[4 * i + 2] * 256 + b[4 * i + 3] * 65536 + b[4 * i + 4] * 16777216) AS k,
+    coalesce(b[n // 4 * 4 + 1], 0) + coalesce(b[n // 4 * 4 + 2], 0) * 256 + coalesce(b[n // 4 * 4 + 3], 0) * 65536 AS t
+  FROM bytes
+),
+k1 AS (
+  SELECT term, n, list_transform(k, lambda x: CAST(x AS UBIGINT) * 3432918353 % 4294967296) AS k,
+         CAST(t AS UBIGINT) * 3432918353 % 4294967296 AS t FROM blocks
+),
+k2 AS (
+  SELECT term, n, list_transform(k, lambda x: ((x << 15) % 4294967296 + (x >> 17)) * 461845907 % 4294967296) AS k,
+         ((t << 15) % 4294967296 + (t >> 17)) * 461845907 % 4294967296 AS t FROM k1
+),
+mixed AS (
+  SELECT term, n, xor(list_reduce(k, lambda h, x: (((xor(h, x) << 13) % 4294967296 + (xor(h, x) >> 19)) * 5 + 3864292196) % 4294967296,
+                                  CAST(42 AS UBIGINT)), t) AS h FROM k2
+),
+f1 AS (SELECT term, xor(h, CAST(n AS UBIGINT)) AS h FROM mixed),
+f2 AS (SELECT term, xor(h, h >> 16) * 2246822507 % 4294967296 AS h FROM f1),
+f3 AS (SELECT term, xor(h, h >> 13) * 3266489909 % 4294967296 AS h FROM f2),
+f4 AS (SELECT term, CAST(xor(h, h >> 16) AS BIGINT) AS h FROM f3),
+signed AS (SELECT term, CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END AS h FROM f4),
+buckets AS (SELECT term, CAST((h % {TERM_BUCKETS} + {TERM_BUCKETS}) % {TERM_BUCKETS} AS INT) AS bucket FROM signed),
+hashed AS (SELECT doc_id, bucket, CAST(sum(tf) AS BIGINT) AS tf FROM counts JOIN buckets USING (term) GROUP BY doc_id, bucket)"""
+
+
+@query("hashing_tf_current", f"WITH {CURRENT_CTE} SELECT doc_id, bucket, tf FROM hashed")
+def hashing_tf_current(spark, sf_dir):
+    """The indices the jobs' HashingTF gives."""
+    return text_features.hashed_term_counts(
+        documents(spark, sf_dir), "doc_id", filtered_words(), bucket=tx.current_term_bucket
+    )
+
+
+@query("hashing_tfidf_current", f"WITH {CURRENT_CTE} {WEIGHT_SQL.format(term='bucket', counts='hashed')}")
+def hashing_tfidf_current(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    counts = text_features.hashed_term_counts(docs, "doc_id", filtered_words(), bucket=tx.current_term_bucket)
+    return rounded_weights(text_features.tfidf(counts, docs, "doc_id", "bucket", TERM_BUCKETS))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions.ratings import quantile_label
+from staylens.operators.ranking import exact_quantiles
 
 # Thirds as written in the room-experience job.
 THIRDS = (0.3333, 0.6666)
@@ -19,14 +20,15 @@ def quantile_struct(
     """One row with a struct ``q`` of fields ``q0``, ``q1``, ...; values occur in the data.
 
     By default a sketch with a rank error of ``1 / accuracy``, one pass at any scale.
-    ``accuracy=None`` counts every distinct value: exact, and small in memory for a
-    rating scale, but not meant for columns with many distinct values.
+    ``accuracy=None`` is exact: values are counted, and the counts added up over sorted
+    ranges, so a column may have any number of distinct values.
     """
     if accuracy is None:
-        picks = [F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY `{column}`)") for p in probabilities]
-    else:
-        sketch = F.percentile_approx(column, [float(p) for p in probabilities], accuracy)
-        picks = [sketch[i] for i in range(len(probabilities))]
+        exact = exact_quantiles(df, column, probabilities)
+        picks = [F.max(F.when(F.col("p") == float(p), F.col("value"))) for p in probabilities]
+        return exact.agg(F.struct(*[pick.cast("double").alias(f"q{i}") for i, pick in enumerate(picks)]).alias("q"))
+    sketch = F.percentile_approx(column, [float(p) for p in probabilities], accuracy)
+    picks = [sketch[i] for i in range(len(probabilities))]
     fields = [pick.cast("double").alias(f"q{i}") for i, pick in enumerate(picks)]
     return df.agg(F.struct(*fields).alias("q"))
 

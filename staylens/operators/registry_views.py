@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from staylens.operators.ranking import ranked
 
-KEY, VERSION = "row_key", "put_seq"
+KEY, VERSION, BUCKET = "row_key", "put_seq", "bucket"
 
 # Score types for which a smaller score is the better one.
 LOWER_IS_BETTER = ["ClusterDistance"]
@@ -50,6 +50,20 @@ def lookup(puts: DataFrame, wanted: DataFrame, key: str = KEY) -> DataFrame:
     return wanted.select(key).distinct().join(latest(puts), key, "left")
 
 
+def key_bucket(key: Column, buckets: int) -> Column:
+    """The folder of a row key."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets).cast("long"))
+
+
+def in_folders_of(puts: DataFrame, wanted: DataFrame, buckets: int, key: str = KEY) -> DataFrame:
+    """The puts in the folders that hold a wanted key.
+
+    There are at most ``buckets`` different folders, so they are broadcast, and the scan opens only those.
+    """
+    folders = wanted.select(key_bucket(F.col(key), buckets).alias(BUCKET)).distinct()
+    return puts.join(F.broadcast(folders), BUCKET, "left_semi")
+
+
 def get(puts: DataFrame, row_keys: Sequence[str], key: str = KEY) -> DataFrame:
     """Point lookup of a handful of keys; the key filter reaches the Parquet scan."""
     return latest(puts.where(F.col(key).isin(list(row_keys))))
@@ -64,18 +78,19 @@ def signed_score(score_type: str = "score_type", score: str = "evaluation_score"
 def leaderboard(registry: DataFrame) -> DataFrame:
     """Runs with their ``rank`` among runs of the same score type, best first.
 
-    Scores of different types do not compare. Runs without a score are not ranked.
+    Scores of different types do not compare; runs without a type are ranked among
+    themselves. Runs without a score are not ranked.
     """
     rated = registry.withColumn("_better", signed_score())
     return ranked(rated, ["score_type"], "_better").drop("_better")
 
 
-def best_runs(registry: DataFrame, per: str = "task_name") -> DataFrame:
-    """The best run of each task; equal scores go to the higher row key."""
+def best_runs(registry: DataFrame, per: Sequence[str] = ("task_name", "score_type")) -> DataFrame:
+    """The best run of each task and score type; equal scores go to the higher row key."""
     scored = registry.where(signed_score().isNotNull())
     order = F.struct(signed_score().alias("s"), F.col(KEY).alias("k"))
-    run = F.struct(*[c for c in scored.columns if c != per])
-    return scored.groupBy(per).agg(F.max_by(run, order).alias("run")).select(per, "run.*")
+    run = F.struct(*[c for c in scored.columns if c not in per])
+    return scored.groupBy(*per).agg(F.max_by(run, order).alias("run")).select(*per, "run.*")
 
 
 def as_text_cells(registry: DataFrame) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.feature import HashingTF, SQLTransformer, StopWordsRemover, Tokenizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions.stopwords import ENGLISH_STOP_WORDS
-from staylens.functions.text import term_bucket
+from staylens.functions.text import current_term_bucket, term_bucket, tokens, without_stop_words
 from staylens.operators.joins import keyed_join
 from staylens.workspace import stage
 
@@ -20,9 +22,16 @@ def term_counts(df: DataFrame, key: str, words: Column, term: str = "term") -> D
     return df.select(key, F.explode(words).alias(term)).groupBy(key, term).agg(F.count("*").alias("tf"))
 
 
-def hashed_term_counts(df: DataFrame, key: str, words: Column, buckets: int = TERM_BUCKETS) -> DataFrame:
-    """Term counts per feature bucket, as long rows."""
-    return term_counts(df, key, F.transform(words, lambda w: term_bucket(w, buckets)), "bucket")
+def hashed_term_counts(
+    df: DataFrame, key: str, words: Column, buckets: int = TERM_BUCKETS, bucket: Callable[[Column, int], Column] = term_bucket
+) -> DataFrame:
+    """Term counts per feature bucket, as long rows. ``bucket`` gives a term's index:
+    ``term_bucket``, or ``current_term_bucket`` for that of the running Spark's ``HashingTF``.
+
+    A term is hashed once per text it occurs in, after its occurrences are counted.
+    """
+    counts = term_counts(df, key, words).select(key, bucket(F.col("term"), buckets).alias("bucket"), "tf")
+    return counts.groupBy(key, "bucket").agg(F.sum("tf").alias("tf"))
 
 
 def tfidf(counts: DataFrame, texts: DataFrame, key: str, term: str, buckets: int | None = None) -> DataFrame:
@@ -46,6 +55,11 @@ def tfidf(counts: DataFrame, texts: DataFrame, key: str, term: str, buckets: int
     return weighted.select(key, term, "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
+def term_indices(text: Column, buckets: int = TERM_BUCKETS) -> Column:
+    """Feature index of each word of a text, repeats included, as ``term_vector_stages`` of the running Spark has them."""
+    return F.transform(without_stop_words(tokens(text)), lambda w: current_term_bucket(w, buckets))
+
+
 def term_vector_stages(text: str, output: str = "raw_features", buckets: int = TERM_BUCKETS) -> list:
     """Stages from text to a hashed term count vector; they need no fitting. Null text is empty."""
     return [

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, NaiveBayes
-from pyspark.ml.feature import IndexToString, VectorAssembler
+from pyspark.ml.feature import IndexToString, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,20 +23,29 @@ from staylens.workspace import stage, stage_for_fit
 FEATURES = [f"{r}_rating" for r in RATINGS if r != "rooms"] + ["month", "year"]
 
 
+def estimators() -> dict:
+    settings = dict(labelCol="label", featuresCol="features")
+    return {"DecisionTree": DecisionTreeClassifier(maxDepth=5, **settings), "NaiveBayes": NaiveBayes(smoothing=1.0, **settings)}
+
+
 def rated_rooms(reviews: DataFrame) -> DataFrame:
     """Ratings as doubles of the reviews that rate the room."""
     rated = projection.not_null(reviews, ["ratings.rooms"])
     return rated.select(*projection.rating_columns(rated, RATINGS), "date_stayed", F.col("id").alias("review_id"))
 
 
-def classify_rooms(
-    reviews: DataFrame,
-    balance_before_split: bool = False,
-    bucket: sampling.Bucket = hash_bucket,
-    model_dir: str | None = None,
-    registry: RunRegistry | None = None,
-) -> JobResult:
-    """Decision tree and naive Bayes, scored by weighted F1 on held-out reviews.
+@dataclass
+class RoomParts:
+    """Labelled rooms with their features, split; the training part is balanced."""
+
+    train: DataFrame
+    test: DataFrame
+    index: StringIndexerModel
+    assembler: VectorAssembler
+
+
+def room_parts(reviews: DataFrame, balance_before_split: bool = False, bucket: sampling.Bucket = hash_bucket) -> RoomParts:
+    """Reviews that rate the room, with its third as ``rooms_label`` and ``label``, and ``features``.
 
     Classes are balanced in the training part only, so no copy of a review is in both
     parts; ``balance_before_split`` balances everything first. Reviews are split by a
@@ -59,20 +70,29 @@ def classify_rooms(
     train, test = sampling.hash_split(prepared, "review_id", bucket=bucket)
     if not balance_before_split:
         train = balanced(train)
+    return RoomParts(train, test, index, assembler)
+
+
+def classify_rooms(
+    reviews: DataFrame,
+    balance_before_split: bool = False,
+    bucket: sampling.Bucket = hash_bucket,
+    model_dir: str | None = None,
+    registry: RunRegistry | None = None,
+) -> JobResult:
+    """Decision tree and naive Bayes, scored by weighted F1 on held-out reviews; parts as in ``room_parts``."""
+    parts = room_parts(reviews, balance_before_split, bucket)
     columns = ["label", "features"]
     return run_experiments(
         "task_b",
         "Task B - Room Experience Classification",
-        {
-            "DecisionTree": DecisionTreeClassifier(labelCol="label", featuresCol="features", maxDepth=5),
-            "NaiveBayes": NaiveBayes(labelCol="label", featuresCol="features", smoothing=1.0),
-        },
-        train=stage_for_fit(train.select(*columns), "rooms-train"),
-        test=test.select("review_id", "rooms_label", *columns),
+        estimators(),
+        train=stage_for_fit(parts.train.select(*columns), "rooms-train"),
+        test=parts.test.select("review_id", "rooms_label", *columns),
         evaluate=weighted_f1_score,
         # New rows have no label, so the index is left out; its names turn predictions into classes.
-        shared_stages=[assembler],
-        closing_stages=[IndexToString(inputCol="prediction", outputCol="predicted_label", labels=index.labels)],
+        shared_stages=[parts.assembler],
+        closing_stages=[IndexToString(inputCol="prediction", outputCol="predicted_label", labels=parts.index.labels)],
         model_dir=model_dir,
         registry=registry,
     )

@@ -8,8 +8,9 @@ from pyspark.ml.feature import IDF
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from staylens.functions.keys import hash_bucket
 from staylens.functions.ratings import sentiment_label
-from staylens.operators.sampling import hash_split
+from staylens.operators.sampling import Bucket, hash_split
 from staylens.operators.text_features import TERM_BUCKETS, term_vector_stages
 from staylens.plans.experiments import JobResult, run_experiments, sentiment_score
 from staylens.sources.registry import RunRegistry
@@ -31,6 +32,7 @@ def compare_sentiment_models(
     null_is_negative: bool = False,
     models: dict | None = None,
     buckets: int = TERM_BUCKETS,
+    bucket: Bucket = hash_bucket,
     model_dir: str | None = None,
     registry: RunRegistry | None = None,
 ) -> JobResult:
@@ -38,6 +40,7 @@ def compare_sentiment_models(
 
     Texts are read and split once, into staged term vectors. The IDF weights come from
     the training part only. A saved model holds all stages, so it takes plain text.
+    Reviews are split by a hash of their key, which ``bucket`` computes.
     """
     labelled = reviews.select(
         F.col(key).alias("id"),
@@ -46,7 +49,7 @@ def compare_sentiment_models(
     ).where(F.col("label").isNotNull())
     terms = term_vector_stages("text", buckets=buckets)
     vectors = PipelineModel(terms).transform(labelled).select("id", "label", "raw_features")
-    train, test = hash_split(stage_for_fit(vectors, "term-vectors"), "id")
+    train, test = hash_split(stage_for_fit(vectors, "term-vectors"), "id", bucket=bucket)
     idf = IDF(inputCol="raw_features", outputCol="features").fit(train)
     return run_experiments(
         "task_c",

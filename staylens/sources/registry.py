@@ -75,11 +75,17 @@ def utc_now() -> datetime:
 
 
 class RunRegistry:
-    """Registry at a path that driver and executors share."""
+    """Registry at a path that driver and executors share.
 
-    def __init__(self, spark: SparkSession, path: str):
+    With ``buckets`` the files lie in that many folders by a hash of the row key, sorted by key and
+    with a Bloom filter on it: looking up keys opens only their folders. Open a path with the number
+    it was written with; ``compact`` makes such a registry from a plain one.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
         self.spark = spark
         self.path = path
+        self.buckets = buckets
 
     def put(self, records: Sequence[RunRecord]) -> None:
         """Append records built by the driver, a handful per job."""
@@ -101,16 +107,32 @@ class RunRegistry:
             (F.col(f.name) if f.name in puts.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in PUT_SCHEMA
         ]
-        puts.select(*columns).write.mode("append").parquet(self.path)
+        self._write(puts.select(*columns))
+
+    def _write(self, puts: DataFrame) -> None:
+        if self.buckets is None:
+            puts.write.mode("append").parquet(self.path)
+            return
+        placed = puts.withColumn(views.BUCKET, views.key_bucket(F.col(views.KEY), self.buckets))
+        # Ranges over bucket and key: few files per folder, and a bucket with very many puts spans tasks.
+        dealt = placed.repartitionByRange(views.BUCKET, views.KEY, views.VERSION).sortWithinPartitions(views.BUCKET, views.KEY)
+        writer = dealt.write.mode("append").option(f"parquet.bloom.filter.enabled#{views.KEY}", "true")
+        writer.partitionBy(views.BUCKET).parquet(self.path)
 
     def puts(self) -> DataFrame:
         """Every put; empty when nothing has been written yet."""
+        return self._placed().select(*PUT_SCHEMA.names)
+
+    def _placed(self) -> DataFrame:
+        """Every put, with its folder's bucket where there are folders."""
+        bucket = [T.StructField(views.BUCKET, T.LongType())] if self.buckets else []
+        schema = T.StructType([*PUT_SCHEMA.fields, *bucket])
         try:
-            return self.spark.read.schema(PUT_SCHEMA).parquet(self.path)
+            return self.spark.read.schema(schema).parquet(self.path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], PUT_SCHEMA)
+            return self.spark.createDataFrame([], schema)
 
     def read(self) -> DataFrame:
         return views.latest(self.puts())
@@ -119,22 +141,35 @@ class RunRegistry:
         return views.keys(self.puts(), limit)
 
     def lookup(self, wanted: DataFrame) -> DataFrame:
-        return views.lookup(self.puts(), wanted)
+        puts = self._placed() if self.buckets is None else views.in_folders_of(self._placed(), wanted, self.buckets)
+        return views.lookup(puts.select(*PUT_SCHEMA.names), wanted)
 
     def get(self, row_keys: Sequence[str]) -> DataFrame:
-        return views.get(self.puts(), row_keys)
+        puts = self._placed()
+        if self.buckets is not None:
+            puts = puts.where(F.col(views.BUCKET).isin([views.key_bucket(F.lit(k), self.buckets) for k in row_keys]))
+        return views.get(puts.select(*PUT_SCHEMA.names), row_keys)
 
     def leaderboard(self) -> DataFrame:
         return views.leaderboard(stage(self.read(), "registry"))
 
-    def best_run(self, task_name: str):
-        """The best run of a task as one row."""
-        row = views.best_runs(self.read().where(F.col("task_name") == task_name)).first()
-        if row is None:
-            raise LookupError(f"no scored run of task {task_name!r} in {self.path}")
-        return row
+    def best_run(self, task_name: str, score_type: str | None = None):
+        """The best run of a task as one row.
 
-    def compact(self, path: str) -> RunRegistry:
-        """Write the merged rows to a new path, for logs with many overwritten puts."""
-        self.read().select(*PUT_SCHEMA.names).write.parquet(path)
-        return RunRegistry(self.spark, path)
+        Scores of different types do not compare: a task with several of them needs ``score_type``.
+        """
+        runs = self.read().where(F.col("task_name") == task_name)
+        if score_type is not None:
+            runs = runs.where(F.col("score_type") == score_type)
+        best = views.best_runs(runs).limit(2).collect()
+        if not best:
+            raise LookupError(f"no scored run of task {task_name!r} in {self.path}")
+        if len(best) > 1:
+            raise LookupError(f"task {task_name!r} has runs of several score types; name one")
+        return best[0]
+
+    def compact(self, path: str, buckets: int | None = None) -> RunRegistry:
+        """Write the merged rows to a new path, for logs with many overwritten puts; ``buckets`` makes lookups cheap."""
+        compacted = RunRegistry(self.spark, path, buckets)
+        compacted._write(self.read().select(*PUT_SCHEMA.names))
+        return compacted

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from staylens.functions.text import BLANKS
 from staylens.sources.tables import read_table
 
 # The rating names of a review, in table order.
@@ -36,6 +37,31 @@ def read_reviews_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(REVIEW_SCHEMA).json(path)
 
 
+# Holds a line that is no review while it is told apart from the others.
+_BROKEN = "_broken_line"
+
+
+def read_review_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Reviews as JSON lines, and the lines that are none: (reviews, broken).
+
+    A line is broken if it is no JSON object, or if a field does not have its type; its parseable
+    fields are not used. Broken lines come with the ``file`` they are in, whole, as ``line``.
+    Blank lines are neither. Both frames scan the files; no line is lost between them.
+    """
+    schema = T.StructType([*REVIEW_SCHEMA.fields, T.StructField(_BROKEN, T.StringType())])
+    parsed = F.from_json("value", schema, {"columnNameOfCorruptRecord": _BROKEN})
+    # As text lines, because the JSON reader does not give out broken lines alone.
+    lines = spark.read.text(path).where(F.trim("value", F.lit(BLANKS)) != "")
+    read = lines.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"), parsed.alias("review"))
+    is_review = F.col("review").isNotNull() & F.col(f"review.{_BROKEN}").isNull()
+    return read.where(is_review).select("review.*").drop(_BROKEN), read.where(~is_review).select("file", "line")
+
+
+def line_counts(broken: DataFrame) -> DataFrame:
+    """Broken lines per file."""
+    return broken.groupBy("file").agg(F.count("*").alias("n_broken"))
+
+
 def read_reviews_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(REVIEW_SCHEMA).parquet(path)
 

@@ -51,6 +51,31 @@ def test_buckets_equal_hashing_tf(spark):
     assert sorted(buckets) == sorted(int(i) for i in vector.indices)
 
 
+def test_current_buckets_equal_hashing_tf(spark):
+    """Terms of every length modulo four, one to four bytes a letter, empty and long ones, null."""
+    import random
+
+    rng = random.Random(6)
+    terms = ["", "a", "ab", "abc", "x" * 1_001, "\x00", "\x00\x00\x00", "\x7f"]
+    terms += ["".join(rng.choice("abcxyz éßñЖ中文🙂\u00ff") for _ in range(rng.randint(0, 13))) for _ in range(400)]
+    df = spark.createDataFrame([(t,) for t in terms], "t string")
+    hasher = HashingTF(numFeatures=20_000)
+    found = df.select("t", tx.current_term_bucket(F.col("t")).alias("b"), F.transform(F.array("t"), lambda t: tx.current_term_bucket(t))[0].alias("c")).collect()
+    for row in found:
+        assert row.b == row.c == hasher.indexOf(row.t), row.t
+    assert spark.sql("SELECT CAST(NULL AS STRING) AS t").select(tx.current_term_bucket(F.col("t"))).first()[0] is None
+
+
+def test_term_indices_equal_the_jobs_vectors(spark, texts):
+    stages = text_features.term_vector_stages("text")
+    vectors = texts
+    for stage in stages:
+        vectors = stage.transform(vectors)
+    for row in vectors.select("raw_features", text_features.term_indices(F.col("text")).alias("ours")).collect():
+        expected = {int(i): n for i, n in zip(row.raw_features.indices, row.raw_features.values, strict=True)}
+        assert {i: row.ours.count(i) for i in row.ours} == expected
+
+
 def test_tfidf_equals_mllib(spark, texts):
     words = texts.withColumn("words", tx.tokens(F.col("text")))
     model = CountVectorizer(inputCol="words", outputCol="tf").fit(words)
