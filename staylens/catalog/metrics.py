@@ -58,7 +58,7 @@ def f1_scores(spark, sf_dir):
 @query(
     "metrics_json",
     f"""WITH {F1_CTE}
-    SELECT '{{"f1_score":' || round(weighted_f1, 4) || ',"precision":' || round(weighted_precision, 4)
+    SELECT '{{"f1_score":' || round(weighted_f1, 4) || ',"macro_f1":' || round(macro_f1, 4) || ',"precision":' || round(weighted_precision, 4)
         || ',"recall":' || round(weighted_recall, 4) || ',"confusion_matrix":[' || (
           SELECT string_agg('{{"label":' || label || ',"prediction":' || prediction || ',"count":' || n || '}}', ','
                             ORDER BY label, prediction) FROM cells

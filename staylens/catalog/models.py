@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.catalog.base import query
@@ -12,7 +16,7 @@ from staylens.catalog.statistics import LABELLED_CTE
 from staylens.functions.keys import arithmetic_bucket, arithmetic_bucket_sql
 from staylens.operators.aggregates import entity_stats
 from staylens.operators.features import scaled_vector_stages
-from staylens.plans import room_experience, scoring, segmentation, sentiment
+from staylens.plans import anomalies, room_experience, scoring, segmentation, sentiment
 from staylens.sources.models import load_pipeline, save_model
 from staylens.sources.registry import RunRegistry
 from staylens.sources.reviews import RATINGS, REVIEWS_CTE, reviews_from_orders
@@ -187,7 +191,7 @@ def stream_user_features(spark, sf_dir):
 @query("model_comparison")
 def model_comparison(spark, sf_dir):
     """The recorded sentiment runs side by side, every metric of each."""
-    details = [F.col(f"details.{c}").alias(c) for c in ("f1_score", "precision", "recall")]
+    details = [F.col(f"details.{c}").alias(c) for c in ("f1_score", "macro_f1", "precision", "recall")]
     cells = F.to_json("details.confusion_matrix").alias("confusion_matrix")
     board = trained_registry(spark, sf_dir).leaderboard()
     return board.select("rank", "model_name", "score_type", "evaluation_score", *details, cells)
@@ -201,6 +205,71 @@ def score_batch(spark, sf_dir):
     return scoring.score_batch(registry, sentiment.TASK_NAME, documents).select("doc_id", "prediction")
 
 
+def recorded(spark, job, *args, **settings):
+    """A registry with the runs of one job, and what the job returned."""
+    registry = RunRegistry(spark, new_dir(spark, "registry"))
+    return registry, job(*args, model_dir=new_dir(spark, "models"), registry=registry, **settings)
+
+
+def changed(left, right, key, columns):
+    """Rows on both sides, and those that differ."""
+    pairs = left.select(key, *columns).join(right.select(key, *[F.col(c).alias(f"_{c}") for c in columns]), key)
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns])
+    return pairs.agg(F.count("*").alias("n_rows"), F.count_if(~same).alias("n_changed"))
+
+
+@query(
+    "score_segments",
+    """SELECT CAST(count(DISTINCT o_custkey // 10) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_changed FROM orders""",
+)
+def score_segments(spark, sf_dir):
+    """Entities placed by the best saved model: where the job placed them."""
+    ratings = entity_ratings(spark, sf_dir)
+    registry, job = recorded(spark, segmentation.segment_entities, ratings, "offering_id", RATINGS)
+    best = registry.best_run(segmentation.TASK_NAME)["model_name"]
+    scored = scoring.score_segments(registry, ratings, "offering_id", RATINGS)
+    return changed(scored, job.predictions(best), "offering_id", ["cluster_id"])
+
+
+@query(
+    "score_rooms",
+    f"""WITH {LABELLED_CTE}, complete AS (
+      SELECT * FROM ({dated_sql("reviews")}) WHERE {" AND ".join(f"{c} IS NOT NULL" for c in BAYES_COLUMNS)}
+    )
+    SELECT (SELECT CAST(count(*) AS BIGINT) FROM reviews) AS n_all, (SELECT count(*) FROM reviews) - CAST(count(*) AS BIGINT) AS n_null,
+           CAST(count(*) FILTER (WHERE rooms IS NOT NULL AND {arithmetic_bucket_sql("id", 100)} >= 80) AS BIGINT) AS n_rows,
+           CAST(0 AS BIGINT) AS n_changed FROM complete""",
+)
+def score_rooms(spark, sf_dir):
+    """Every review scored by the best saved model, incomplete ones with null; held-out ones as the job scored them."""
+    reviews = reviews_from_orders(spark, sf_dir, with_text=False)
+    registry, job = recorded(spark, room_experience.classify_rooms, reviews, bucket=arithmetic_bucket)
+    best = registry.best_run(room_experience.TASK_NAME)["model_name"]
+    scored = stage(scoring.score_rooms(registry, reviews), "scored-rooms")
+    counts = scored.agg(F.count("*").alias("n_all"), F.count_if(F.col("prediction").isNull()).alias("n_null")).first()
+    compared = changed(scored, job.predictions(best), "review_id", ["prediction"])
+    return compared.select(F.lit(counts["n_all"]).alias("n_all"), F.lit(counts["n_null"]).alias("n_null"), "n_rows", "n_changed")
+
+
+@query(
+    "score_anomalies",
+    f"""WITH {REVIEWS_CTE}
+    SELECT 'user' AS level, CAST(count(DISTINCT author_id) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_changed FROM reviews
+    UNION ALL SELECT 'review', CAST(count(text) AS BIGINT), CAST(0 AS BIGINT) FROM reviews""",
+)
+def score_anomalies(spark, sf_dir):
+    """Clusters and flags of the reviews the job was fitted on, by its saved models."""
+    reviews = reviews_from_orders(spark, sf_dir)
+    registry, job = recorded(spark, anomalies.find_anomalies, reviews)
+    users, texts = scoring.score_reviews(registry, reviews)
+    columns = ["cluster", "is_anomaly"]
+    levels = [
+        ("user", changed(users, job.predictions("KMeans_User"), "user_id", columns)),
+        ("review", changed(texts, job.predictions("KMeans_Review"), "review_id", columns)),
+    ]
+    return reduce(DataFrame.unionByName, [found.select(F.lit(level).alias("level"), "*") for level, found in levels])
+
+
 @query(
     "score_stream",
     "SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_changed FROM documents",

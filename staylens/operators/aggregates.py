@@ -27,11 +27,26 @@ def entity_stats(df: DataFrame, key: str, measures: Sequence[str]) -> DataFrame:
 
 def user_features(reviews: DataFrame) -> DataFrame:
     """Reviews, mean text length and mean helpful votes per author, in one pass."""
-    authored = reviews.where(F.col("author.id").isNotNull())
-    return authored.groupBy(F.col("author.id").alias("user_id")).agg(
+    return measured_users(measured_reviews(reviews))
+
+
+def measured_reviews(reviews: DataFrame, compat: bool = False) -> DataFrame:
+    """What is kept of a review's text and author: a few numbers, so that texts are read once for both levels."""
+    return reviews.select(
+        F.col("id").alias("review_id"),
+        F.col("author.id").alias("user_id"),
+        F.col("author.num_helpful_votes").alias("votes"),
+        F.length("text").alias("text_length"),
+        F.when(F.col("text").isNotNull(), word_count(F.col("text"), compat)).alias("word_count"),
+    )
+
+
+def measured_users(measured: DataFrame) -> DataFrame:
+    """``user_features`` of measured reviews."""
+    return measured.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(
         F.count("*").alias("review_count"),
-        F.avg(F.length("text")).alias("avg_text_length"),
-        F.avg("author.num_helpful_votes").alias("avg_helpful_votes"),
+        F.avg("text_length").alias("avg_text_length"),
+        F.avg("votes").alias("avg_helpful_votes"),
     )
 
 
@@ -44,6 +59,11 @@ def review_features(reviews: DataFrame, compat: bool = False) -> DataFrame:
     )
 
 
+def measured_texts(measured: DataFrame) -> DataFrame:
+    """``review_features`` of measured reviews."""
+    return measured.where(F.col("text_length").isNotNull()).select("review_id", "text_length", "word_count")
+
+
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(label).agg(F.count("*").alias("n"))
 

@@ -126,6 +126,7 @@ def metrics_record(df: DataFrame, label: str = "label", prediction: str = "predi
     return scores.select(
         F.struct(
             F.round("weighted_f1", 4).alias("f1_score"),
+            F.round("macro_f1", 4).alias("macro_f1"),
             F.round("weighted_precision", 4).alias("precision"),
             F.round("weighted_recall", 4).alias("recall"),
             matrix.alias("confusion_matrix"),

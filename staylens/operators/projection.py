@@ -29,9 +29,13 @@ def not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def with_stay_date(df: DataFrame, column: str = "date_stayed") -> DataFrame:
     """Add ``month`` and ``year``; rows without both are dropped."""
+    return not_null(stay_date(df, column), ["month", "year"])
+
+
+def stay_date(df: DataFrame, column: str = "date_stayed") -> DataFrame:
+    """Add ``month`` and ``year``, null where the date does not have them."""
     stay = F.col(column)
-    dated = df.withColumns({"month": dates.stay_month(stay), "year": dates.stay_year(stay)})
-    return not_null(dated, ["month", "year"])
+    return df.withColumns({"month": dates.stay_month(stay), "year": dates.stay_year(stay)})
 
 
 def union_all(*frames: DataFrame) -> DataFrame:

@@ -14,8 +14,9 @@ from staylens.operators.clusters import flag_anomalies, mean_distance
 from staylens.operators.features import scaled_vector_stages
 from staylens.plans.experiments import JobResult, Score, run_experiments
 from staylens.sources.registry import RunRegistry
-from staylens.workspace import stage_for_fit
+from staylens.workspace import stage, stage_for_fit
 
+USER_TASK, REVIEW_TASK = "Task D - User Anomaly", "Task D - Review Anomaly"
 USER_COLUMNS = ["review_count", "avg_text_length", "avg_helpful_votes"]
 REVIEW_COLUMNS = ["text_length", "word_count"]
 
@@ -68,11 +69,12 @@ def find_anomalies(
     model_dir: str | None = None,
     registry: RunRegistry | None = None,
 ) -> JobResult:
-    """Anomalous authors, then anomalous reviews; a level without rows has no run."""
+    """Anomalous authors, then anomalous reviews; a level without rows has no run. Texts are read and split once."""
     result = JobResult(reviews.sparkSession)
+    measured = stage(aggregates.measured_reviews(reviews), "measured-reviews")
     levels = [
-        ("KMeans_User", "Task D - User Anomaly", aggregates.user_features(reviews), USER_COLUMNS),
-        ("KMeans_Review", "Task D - Review Anomaly", aggregates.review_features(reviews), REVIEW_COLUMNS),
+        ("KMeans_User", USER_TASK, aggregates.measured_users(measured), USER_COLUMNS),
+        ("KMeans_Review", REVIEW_TASK, aggregates.measured_texts(measured), REVIEW_COLUMNS),
     ]
     for model_name, task_name, features, columns in levels:
         level = cluster_distances(model_name, task_name, features, columns, k, seed, model_dir, registry)

@@ -20,6 +20,7 @@ from staylens.sources.registry import RunRegistry
 from staylens.sources.reviews import RATINGS
 from staylens.workspace import stage, stage_for_fit
 
+TASK_NAME = "Task B - Room Experience Classification"
 FEATURES = [f"{r}_rating" for r in RATINGS if r != "rooms"] + ["month", "year"]
 
 
@@ -28,10 +29,19 @@ def estimators() -> dict:
     return {"DecisionTree": DecisionTreeClassifier(maxDepth=5, **settings), "NaiveBayes": NaiveBayes(smoothing=1.0, **settings)}
 
 
+def rating_rows(reviews: DataFrame) -> DataFrame:
+    """Ratings as doubles, with the id and the date."""
+    return reviews.select(*projection.rating_columns(reviews, RATINGS), "date_stayed", F.col("id").alias("review_id"))
+
+
 def rated_rooms(reviews: DataFrame) -> DataFrame:
     """Ratings as doubles of the reviews that rate the room."""
-    rated = projection.not_null(reviews, ["ratings.rooms"])
-    return rated.select(*projection.rating_columns(rated, RATINGS), "date_stayed", F.col("id").alias("review_id"))
+    return rating_rows(projection.not_null(reviews, ["ratings.rooms"]))
+
+
+def room_rows(reviews: DataFrame) -> DataFrame:
+    """The features of any review, also of those that do not rate the room or lack some."""
+    return projection.stay_date(rating_rows(reviews)).select("review_id", *FEATURES)
 
 
 @dataclass
@@ -85,7 +95,7 @@ def classify_rooms(
     columns = ["label", "features"]
     return run_experiments(
         "task_b",
-        "Task B - Room Experience Classification",
+        TASK_NAME,
         estimators(),
         train=stage_for_fit(parts.train.select(*columns), "rooms-train"),
         test=parts.test.select("review_id", "rooms_label", *columns),

@@ -15,6 +15,8 @@ from staylens.plans.experiments import JobResult, Score, run_experiments
 from staylens.sources.registry import RunRegistry
 from staylens.workspace import stage_for_fit
 
+TASK_NAME = "Task A - Clustering"
+
 
 def segment_entities(
     df: DataFrame,
@@ -38,7 +40,7 @@ def segment_entities(
     settings = dict(k=k, seed=seed, featuresCol="features", predictionCol="cluster_id")
     return run_experiments(
         "task_a",
-        "Task A - Clustering",
+        TASK_NAME,
         {"KMeans": KMeans(**settings), "GMM": GaussianMixture(**settings)},
         train=scaled,
         test=scaled,

@@ -22,6 +22,7 @@ from staylens.workspace import stage
 DETAILS_SCHEMA = T.StructType(
     [
         T.StructField("f1_score", T.DoubleType()),
+        T.StructField("macro_f1", T.DoubleType()),
         T.StructField("precision", T.DoubleType()),
         T.StructField("recall", T.DoubleType()),
         T.StructField(

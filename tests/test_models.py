@@ -189,6 +189,38 @@ def test_sentiment_and_scoring(spark, sf_dir):
         registry.best_run("no such task")
 
 
+def test_scoring_rooms_keeps_incomplete_reviews(spark, sf_dir):
+    registry = RunRegistry(spark, new_dir(spark, "registry"))
+    reviews = reviews_from_orders(spark, sf_dir, with_text=False)
+    room_experience.classify_rooms(reviews, model_dir=new_dir(spark, "models"), registry=registry)
+    new = reviews.limit(30).withColumns(
+        {
+            "date_stayed": F.when(F.col("id") % 2 == 0, F.lit("May 2014")).when(F.col("id") % 3 == 0, "no date"),
+            "ratings": F.struct(*[F.lit(3.0).alias(r) for r in RATINGS if r != "rooms"], F.lit(None).cast("double").alias("rooms")),
+        }
+    )
+    scored = scoring.score_rooms(registry, new)
+    assert scored.count() == 30
+    known = scored.where("review_id % 2 = 0")
+    assert known.where("prediction IS NULL OR predicted_label NOT IN ('Low', 'Medium', 'High')").count() == 0
+    assert scored.where("review_id % 2 = 1 AND (prediction IS NOT NULL OR predicted_label IS NOT NULL)").count() == 0
+
+
+def test_the_package_travels_as_an_archive(spark):
+    import io
+    import subprocess
+    import sys
+    import zipfile
+
+    from staylens.session import package_zip, ship_package
+
+    names = zipfile.ZipFile(io.BytesIO(package_zip())).namelist()
+    assert "staylens/operators/joins.py" in names and all(n.endswith(".py") for n in names)
+    path = ship_package(spark).removeprefix("file:")
+    code = f"import sys; sys.path.insert(0, {path!r}); import staylens.operators.ranking as r; assert {path!r} in r.__file__"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd="/")
+
+
 def test_anomaly_job(spark, sf_dir):
     job = anomalies.find_anomalies(reviews_from_orders(spark, sf_dir), model_dir=new_dir(spark, "models"))
     assert [r.record.model_name for r in job.runs] == ["KMeans_User", "KMeans_Review"]
@@ -212,8 +244,16 @@ def test_jobs_from_the_command_line(spark, sf_dir, tmp_path, capsys):
     reviews, models, registry = (str(tmp_path / n) for n in ("reviews", "models", "registry"))
     reviews_from_orders(spark, sf_dir).write.json(reviews)
     kept = new_dir(spark, "kept")
-    main(["segment", "anomalies", "--reviews", reviews, "--format", "json", "--models", models, "--registry", registry])
+    options = ["--reviews", reviews, "--format", "json", "--models", models, "--registry", registry]
+    main(["segment", "anomalies", *options])
     assert "KMeans_User" in capsys.readouterr().out
+    scores = ["score-segments", "score-anomalies"]
+    with pytest.raises(SystemExit):
+        main([*scores, *options])
+    main([*scores, *options, "--predictions", str(tmp_path / "scored")])
+    written = {name: spark.read.parquet(f"{tmp_path}/scored/{name}") for name in ("segments", "users", "reviews")}
+    assert written["segments"].columns == ["offering_id", "cluster_id"] and written["segments"].count() > 0
+    assert written["users"].where("cluster IS NULL OR is_anomaly IS NULL").count() == 0 and written["reviews"].count() > 0
     assert RunRegistry(spark, registry).read().count() == 4
     path = RunRegistry(spark, registry).best_run("Task A - Clustering")["model_path"]
     assert path.startswith(models) and load_pipeline(path).stages
