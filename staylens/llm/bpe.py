@@ -85,19 +85,36 @@ def bind(value: Column, use: callable) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def merge_ranks(word: Column, ranks: dict[bytes, int]) -> Column:
-    """Ids of ``word``, an array of the ids of its bytes between two edges: adjacent ids of the lowest rank are joined, leftmost first, until none has a rank.
+class Merges:
+    """The pairs of a vocabulary as a literal table, and the state that merging a word starts from.
 
-    A fold over as many steps as there are bytes less one. Its state is one number an id: the
-    rank of joining it with the next (``NONE`` where there is none), then the id. A rank is
-    the id of what it joins to, so a merge looks up two new ranks. The rank map is a literal, bound once: every
+    A state is one number an id: the rank of joining it with the next (``NONE`` where there is none), then the id.
+    """
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.edge = max(ranks.values(), default=0) + 1
+        if self.edge >= NONE:
+            raise ValueError(f"ranks must be below {NONE - 1}")
+        pairs, unreached = last_pairs(ranks)
+        self.place, self.entries = pair_rows(pairs, self.edge)
+        self.byte_ids = np.array([ranks[bytes([byte])] for byte in range(256)], np.int64)
+        spelled = {entry: self.start(np.array([self.edge, *self.byte_ids[list(entry)], self.edge])) for entry in unreached}
+        self.unreached = {" ".join(map(str, state.tolist())): unreached[entry] for entry, state in spelled.items()}
+
+    def start(self, ids: np.ndarray) -> np.ndarray:
+        """States of words of byte ids, one after the other, each between two edges."""
+        after = np.append(ids[1:], self.edge)
+        rank = np.minimum(self.entries[self.place[ids] + after] ^ (ids << BITS), NONE)
+        return rank << BITS | ids
+
+
+def merge_ranks(state: Column, merges: Merges) -> Column:
+    """Ids of a word, from its ``Merges.start``: adjacent ids of the lowest rank are joined, leftmost first, until none has a rank.
+
+    A fold over as many steps as there are bytes less one. A rank is the id of what it joins
+    to, so a merge looks up two new ranks. The rank map is a literal, bound once: every
     place that named it itself would hold a copy of it, in the driver and in each task.
     """
-    edge = max(ranks.values(), default=0) + 1
-    if edge >= NONE:
-        raise ValueError(f"ranks must be below {NONE - 1}")
-    pairs, unreached = last_pairs(ranks)
-    place, entries = pair_rows(pairs, edge)
 
     def fold(place: Column, entries: Column) -> Column:
         def with_next(a: Column, b: Column) -> Column:
@@ -121,16 +138,14 @@ def merge_ranks(word: Column, ranks: dict[bytes, int]) -> Column:
 
             return bind(F.array_min(state), merged)
 
-        start = F.transform(word, lambda x, i: with_next(x, F.coalesce(F.get(word, i + 1), F.lit(edge))))
-        steps = F.sequence(F.lit(1), F.greatest(F.size(word) - 3, F.lit(1)))
-        end = F.aggregate(steps, start, step)
+        steps = F.sequence(F.lit(1), F.greatest(F.size(state) - 3, F.lit(1)))
+        end = F.aggregate(steps, state, step)
         return bind(end, lambda s: F.transform(F.slice(s, F.lit(2), F.size(s) - 2), lambda x: x.bitwiseAND(F.lit(NONE).cast("long")).cast("int")))
 
-    folded = bind(literal(place, "int"), lambda p: bind(literal(entries, "long"), lambda e: fold(p, e)))
-    if not unreached:
+    folded = bind(literal(merges.place, "int"), lambda p: bind(literal(merges.entries, "long"), lambda e: fold(p, e)))
+    if not merges.unreached:
         return folded
-    key = {" ".join(map(str, (edge, *(ranks[entry[i : i + 1]] for i in range(len(entry))), edge))): rank for entry, rank in unreached.items()}
-    whole = F.try_element_at(F.from_json(F.lit(json.dumps(key)), "map<string,int>"), F.array_join(word, " "))
+    whole = F.try_element_at(F.from_json(F.lit(json.dumps(merges.unreached)), "map<string,int>"), F.array_join(state, " "))
     return F.coalesce(bind(whole, lambda rank: F.when(rank.isNotNull(), F.array(rank))), folded)
 
 
@@ -157,8 +172,7 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], *, id_col: str = "do
     become U+FFFD first.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    byte_ids = np.array([ranks[bytes([byte])] for byte in range(256)], np.int32)
-    edge = max(ranks.values()) + 1
+    merges = Merges(ranks)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes: dict[int, int] = {}
@@ -175,8 +189,8 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], *, id_col: str = "do
             new = first[of_key >= known]
             size = end[new] - begin[new]
             after = np.cumsum(size)
-            words = np.insert(byte_ids[gather(texts.data, begin[new], size)], np.repeat(np.append(0, after), 2)[1:-1], edge)
-            lists = pa.ListArray.from_arrays(np.append(0, after + 2 * np.arange(1, len(new) + 1)).astype(np.int32), words)
+            words = np.insert(merges.byte_ids[gather(texts.data, begin[new], size)], np.repeat(np.append(0, after), 2)[1:-1], merges.edge)
+            lists = pa.ListArray.from_arrays(np.append(0, after + 2 * np.arange(1, len(new) + 1)).astype(np.int32), merges.start(words))
             n = len(new)
             if n:
                 nulls = [pa.nulls(n, part.schema.field("id").type), pa.nulls(n, pa.binary())]
@@ -218,8 +232,8 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], *, id_col: str = "do
                         [part.column("id"), pa.array(np.diff(ends)), as_binary(ids, ends), as_binary(back, byte_ends)], ["doc_id", "n_tokens", "ids", "decoded"]
                     )
 
-    words = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(split, f"id {kind}, codes binary, word array<int>, code long")
-    merged = words.withColumn("ids", F.when(F.col("word").isNotNull(), merge_ranks(F.col("word"), ranks)))
+    words = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(split, f"id {kind}, codes binary, word array<long>, code long")
+    merged = words.withColumn("ids", F.when(F.col("word").isNotNull(), merge_ranks(F.col("word"), merges)))
     both = merged.withColumn("decoded", F.when(F.col("ids").isNotNull(), join_pieces(F.col("ids"), ranks)))
     return both.select("id", "codes", "code", "ids", "decoded").mapInArrow(assemble, f"doc_id {kind}, n_tokens long, ids binary, decoded binary")
 
