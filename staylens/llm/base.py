@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Keys with more than one in so many of all rows are joined by broadcast: at most so many rows.
+MOST_HOT = 10_000
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 

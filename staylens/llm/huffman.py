@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import struct
 import zlib
 from collections.abc import Iterator
@@ -20,40 +21,52 @@ MOST_IDS = 1 << LONGEST
 STRIDE = 512
 TEXT_BYTES = 2 << 20
 END_ID = 2
-CACHED_WORDS = 1_000_000
+CACHED_BYTES = 24 << 20
+ENTRY_BYTES = 160  # a cached word's key, place and object, about
 
 
 # --- tokenizing -----------------------------------------------------------------------
 
-_tokenizers: dict[str, tuple] = {}
-
 # The bytes that byte-level BPE files write as the character of the same number.
 # The others are written as U+0100 onward, in order.
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 BYTE_CHARS = {b: 0x100 + i for i, b in enumerate(sorted({*range(0x100)} - {*PRINTABLE}))}
 
 
-def encode_texts(column: pa.Array, tokenizer: str) -> tuple[np.ndarray, np.ndarray]:
+@functools.lru_cache(maxsize=1)
+def loaded(path: str) -> tuple:
+    """A tokenizer file, once a process, and the texts of its added tokens."""
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(path)
+    return model, [t.content.encode() for t in model.get_added_tokens_decoder().values() if t.content]
+
+
+class Encoder:
+    """A tokenizer, and the ids of words met lately: up to ``CACHED_BYTES`` of them, as long as the task lasts."""
+
+    def __init__(self, path: str):
+        self.model, self.added = loaded(path)
+        self.known: dict[int, bytes] = {}
+        self.held = 0
+
+
+def encode_texts(column: pa.Array, encoder: Encoder) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all rows as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them, and where each row's begin.
 
-    The library's model encodes each different pre-token once; a process keeps up to ``CACHED_WORDS``
-    of them. Only for byte-level BPE files, whose pre-tokens are encoded one by one. Rows in which an added
+    The library's model encodes each different pre-token once, as long as its ids are kept. Only for byte-level BPE files, whose pre-tokens are encoded one by one. Rows in which an added
     token of the file is written out are encoded by the library as a whole, which cuts them there.
     """
-    from tokenizers import Tokenizer
-
-    if tokenizer not in _tokenizers:
-        model = Tokenizer.from_file(tokenizer)
-        _tokenizers[tokenizer] = (model, {}, [t.content.encode() for t in model.get_added_tokens_decoder().values() if t.content])
-    model, known, added = _tokenizers[tokenizer]
+    model, known, added = encoder.model, encoder.known, encoder.added
     texts = Texts(column)
     cuts, rows = pattern_pieces(texts)
     if len(cuts) < 2:
         return np.zeros(0, np.uint32), np.zeros(len(column) + 1, np.int64)
     begin, end = cuts[:-1], cuts[1:]
     keys, first, word = np.unique(piece_keys(texts.data, begin, end), return_index=True, return_inverse=True)
-    if len(known) > CACHED_WORDS:
+    if encoder.held > CACHED_BYTES:
         known.clear()
+        encoder.held = 0
     keys = keys.tolist()
     new = [i for i, k in enumerate(keys) if k not in known]
     raw = texts.data.tobytes()
@@ -61,6 +74,7 @@ def encode_texts(column: pa.Array, tokenizer: str) -> tuple[np.ndarray, np.ndarr
     for i, a, b in zip(new, begin[first[new]].tolist(), end[first[new]].tolist(), strict=True):
         found = [t.id for t in encode(raw[a:b].decode("latin-1").translate(BYTE_CHARS))]
         known[keys[i]] = struct.pack(f"<{len(found)}I", *found)
+        encoder.held += ENTRY_BYTES + 4 * len(found)
     coded = [known[k] for k in keys]
     size = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
     flat = np.frombuffer(b"".join(coded), "<u4")
@@ -98,8 +112,9 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int | None, id_col: str, t
     """(doc_id, n_tokens, ids): ids as little-endian integers of 16 bits, which the code's longest words allow for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(tokenizer)
         for part in slices(batches, "text", TEXT_BYTES):
-            ids, at = encode_texts(part.column("text"), tokenizer)
+            ids, at = encode_texts(part.column("text"), encoder)
             if end_id is not None:
                 ids = np.insert(ids, at[1:], end_id)
                 at = at + np.arange(len(at))

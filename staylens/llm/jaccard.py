@@ -11,8 +11,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from staylens.llm.base import query, staged, table
+from staylens.llm.base import MOST_HOT, query, staged, table
 from staylens.llm.texts import Texts, as_binary, blank_words, flat_bytes, mix, piece_keys, slices
+from staylens.operators.joins import keyed_join
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -179,21 +180,23 @@ def jaccard_join(
 
     Null and empty texts have no links and are classes of their own; texts of one to four words are
     linked if they have the same words; null ids have a null class; repeated rows
-    are linked like any copies; an empty table gives an empty result; only the two named columns are read.
+    are linked like any copies, and so are different texts of one id, each row by its own text; an empty table gives an empty result; only the two named columns are read.
     """
     bands = bands_for(similarity, recall, rows)
     sketched = staged(sketches(docs, bands, rows, id_col, text_col), "sketches")
     found = sketched.where("n > 0 and id is not null").groupBy(*KEY)
-    reps = staged(found.agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")), "sets")
+    sets_ = found.agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"))
+    # An id may have several texts, so sets are numbered; the numbers hold once the table is written.
+    reps = staged(sets_.withColumn("node", F.monotonically_increasing_id()), "sets")
 
-    in_band = Window.partitionBy("band").orderBy("rep")
-    banded = reps.select("rep", F.explode("bands").alias("band")).withColumn("before", F.lag("rep").over(in_band))
-    candidates = banded.where("before is not null").select(F.col("rep").alias("a"), F.col("before").alias("b")).distinct()
+    in_band = Window.partitionBy("band").orderBy("node")
+    banded = reps.select("node", F.explode("bands").alias("band")).withColumn("before", F.lag("node").over(in_band))
+    candidates = banded.where("before is not null").select(F.col("node").alias("a"), F.col("before").alias("b")).distinct()
     groups = staged(components(candidates, "candidates"), "groups")
     size = groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("runs"))
     size = size.withColumn("deal", F.xxhash64("root"))
-    members = groups.withColumn("deal", F.xxhash64("root")).join(size, ["root", "deal"]).join(reps.drop("bands"), F.col("node") == F.col("rep"))
-    members = members.select("root", "rep", "copies", "runs", *KEY)
+    members = groups.withColumn("deal", F.xxhash64("root")).join(size, ["root", "deal"]).join(reps.drop("bands"), "node")
+    members = members.select("root", "node", "rep", "copies", "runs", *KEY)
 
     def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", TEXT_BYTES):
@@ -205,17 +208,20 @@ def jaccard_join(
             yield kept.select(["root", "id", "copies", "runs", "shingles"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
-    sets = texts.join(members, "rep").select("root", F.col("rep").alias("id"), "copies", "runs", *KEY, "text")
+    sets = texts.join(members, "rep").select("root", F.col("node").alias("id"), "copies", "runs", *KEY, "text")
     sets = sets.mapInArrow(with_sets, "root long, id long, copies long, runs int, shingles binary")
     run = F.pmod(F.xxhash64("id"), F.col("runs")).cast("int")
     tiles = sets.withColumn("side", run).withColumn("other", F.explode(F.expr("sequence(0, runs - 1)")))
     tiles = tiles.select("root", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "id", "side", "copies", "shingles")
     decided = staged(verified(tiles, similarity), "links")
 
-    links = decided.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
+    links = decided.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     classes = components(decided.where("b is not null").select("a", "b"), "classes")
-    known = reps.drop("bands").join(links, "rep", "left").join(classes.withColumnRenamed("node", "rep"), "rep", "left")
-    known = known.select(*KEY, "rep", F.coalesce("root", "rep").alias("root"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links"))
+    known = reps.drop("bands").join(links, "node", "left").join(classes, "node", "left")
+    known = staged(known.select(*KEY, "rep", F.coalesce("root", "node").alias("root"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links")), "known")
+    smallest = known.groupBy("root").agg(F.min("rep").alias("class"), F.count(F.lit(1)).alias("_rows"))
+    known = keyed_join(known, staged(smallest, "class-ids"), ["root"], "_rows", MOST_HOT)
+    known = known.select(*KEY, "rep", F.col("class").alias("root"), "links")
     deal = F.xxhash64(*KEY)
     rows_ = sketched.drop("bands").withColumn("deal", deal).join(known.withColumn("deal", deal), [*KEY, "deal"], "left")
     own = F.col("id").isNotNull()

@@ -14,6 +14,7 @@ from staylens.llm.vectors import packed, search_blocks, unpacked
 
 CANDIDATES, QUERIES, LEAF = 8192, 512, 32
 PROJECTED = 8
+RATIO = 1.6
 
 
 def projection(dim: int, seed: int) -> np.ndarray:
@@ -63,13 +64,14 @@ def build_index(vectors: DataFrame, *, seed: int = 5, id_col: str = "vec_id", ve
     return packed(vectors, CANDIDATES, id_col, vector_col, prepare)
 
 
-def nearest(queries: DataFrame, index: DataFrame, k: int, *, stop: float = 0.9, seed: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def nearest(queries: DataFrame, index: DataFrame, k: int, *, stop: float = 0.9, ratio: float = RATIO, seed: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """Each query's ``k`` largest inner products found: (query_id, rank, vec_id, score in doubles).
 
     In every block the leaves are visited in order of their projected distance from the query and their
     vectors verified. A neighbour at distance d is projected to within r with probability
     chi2(r^2 / d^2), so the search of a block ends when that is at least ``stop`` for the next leaf's r
-    and d the k-th distance found: each true neighbour has been seen with at least that probability.
+    and d the k-th distance found divided by ``ratio``: each vector nearer than that has been seen with at least that
+    probability. With a ratio of 1 all true neighbours are held to it, and nearly every leaf is visited.
 
     Null, empty, zero or non-finite vectors and null ids take no part; a query never finds rows of
     its own vec_id; repeated rows are found each; vectors of different lengths do not meet;
@@ -97,7 +99,7 @@ def nearest(queries: DataFrame, index: DataFrame, k: int, *, stop: float = 0.9,
             while seen < leaves:
                 if len(best) == k:
                     d = max(square + most - 2 * best[-1], 0)
-                    if d == 0 and far[visit[seen]] > 0 or d > 0 and chi_square_cdf(far[visit[seen]] / d) >= stop:
+                    if d == 0 and far[visit[seen]] > 0 or d > 0 and chi_square_cdf(ratio * ratio * far[visit[seen]] / d) >= stop:
                         break
                 some = visit[seen : seen + step]
                 rows = gather(every, at[some], size[some])

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm.base import query, staged, table
+from staylens.llm.base import MOST_HOT, query, staged, table
 from staylens.operators.joins import keyed_join
 from staylens.operators.ranking import running_totals
 
@@ -53,7 +53,7 @@ def shared_heads(numbered: DataFrame, base: Column, head: Column, most: int) ->
     convs = staged(convs.join(bases, "base", "left").select("conv_id", "n", "base", "head", taken.alias("taken")), "conversations")
     starts = numbered.where(F.col("pos") <= most).select(F.col("conv_id").alias("base"), F.col("pos").alias("depth"), "k1", "k2", "words")
     heads = convs.where("taken > 0").join(starts, "base").where("depth <= taken").select("conv_id", "depth", "k1", "k2", "words")
-    own = keyed_join(numbered, convs.where("n > head").select("conv_id", "n", "head", "taken"), ["conv_id"], "n")
+    own = keyed_join(numbered, convs.where("n > head").select("conv_id", "n", "head", "taken"), ["conv_id"], "n", MOST_HOT)
     own = own.where("pos > head").select("conv_id", F.expr("pos - head + taken").alias("depth"), "k1", "k2", "words")
     return convs.select("conv_id"), staged(heads.unionByName(own), "rebuilt")
 
@@ -143,7 +143,7 @@ def prefix_trie(convs: DataFrame, rebuilt: DataFrame) -> DataFrame:
         "sequences",
     )
     kept = sequences.where("length > 0").select(F.col("key").alias("conv_id"), "length", "weight", "total")
-    paths = keyed_join(turns, kept, ["conv_id"], "length").withColumnRenamed("conv_id", "key")
+    paths = keyed_join(turns, kept, ["conv_id"], "length", MOST_HOT).withColumnRenamed("conv_id", "key")
     none = [F.lit(0).cast("long").alias(c) for c in ("depth", "words", "before", "n1", "n2", "p1", "p2")]
     paths = staged(paths.unionByName(sequences.select("key", "length", "weight", "total", *none)), "paths")
 
@@ -152,7 +152,7 @@ def prefix_trie(convs: DataFrame, rebuilt: DataFrame) -> DataFrame:
     owners = paths.groupBy(*NODE).agg(F.min("key").alias("key"), F.max("before").alias("before"))
     owned = owners.groupBy("key").agg(F.min("depth").alias("from_depth"), F.min("before").alias("from_before"))
     facts = sequences.select("key", (F.col("length") + 1).alias("rows")).join(owned, "key", "left").join(leaves, "key", "left")
-    marked = keyed_join(paths, staged(facts, "sequence-facts"), ["key"], "rows")
+    marked = keyed_join(paths, staged(facts, "sequence-facts"), ["key"], "rows", MOST_HOT)
 
     owns_child = F.expr("coalesce(from_depth <= depth + 1 AND depth < length, false)").cast("long")
     once = F.when(F.col("from_depth").isNotNull(), F.col("total") - F.greatest("before", "from_before"))
@@ -169,7 +169,7 @@ def prefix_trie(convs: DataFrame, rebuilt: DataFrame) -> DataFrame:
     parents = nodes.where("n_children > 0").select(
         (F.col("depth") + 1).alias("depth"), F.col("n1").alias("p1"), F.col("n2").alias("p2"), F.col("conv_id").alias("parent_conv_id"), F.col("n_children").alias("_rows")
     )
-    below = keyed_join(nodes.where("depth > 0"), staged(parents, "parents"), ["depth", "p1", "p2"], "_rows").drop("_rows")
+    below = keyed_join(nodes.where("depth > 0"), staged(parents, "parents"), ["depth", "p1", "p2"], "_rows", MOST_HOT).drop("_rows")
     root = nodes.where("depth = 0").withColumn("parent_conv_id", F.lit(None).cast("long"))
     nothing = hashlib.sha256().hexdigest()
     whole = below.unionByName(root).join(ends_digest(ends), NODE, "left")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm.base import query, staged, table
+from staylens.llm.base import MOST_HOT, query, staged, table
 from staylens.operators.joins import keyed_join
 
 # Host, path and verdict of each rule.
@@ -103,7 +103,7 @@ def segmented(names: DataFrame, costs: DataFrame) -> DataFrame:
         "name", "start", "n", F.substring("name", F.col("start") + 1, F.col("n")).alias("word")
     )
     sought = stretches.groupBy("word").agg(F.count("*").alias("_rows")).join(costs.drop("total"), "word")
-    found = keyed_join(stretches, staged(sought, "sought"), ["word"], "_rows")
+    found = keyed_join(stretches, staged(sought, "sought"), ["word"], "_rows", MOST_HOT)
     known = found.groupBy("name").agg(F.collect_list(F.struct("start", "n", "cost")).alias("known"))
     total = F.coalesce(costs.agg(F.max("total")).scalar(), F.lit(0))
 
@@ -162,19 +162,19 @@ def url_filter(
     sums = vocabulary.agg(*[(F.sum(c) + F.count("*")).alias(c) for c in counted])
     rate = {c: (F.col(c) + 1) / sums.select(c).scalar() for c in counted}
     weights = vocabulary.select("word", "_rows", F.round(F.log(rate["allow"] / rate["block"]) * UNIT).cast("long").alias("weight"))
-    weighed = keyed_join(made.select("of_host", "piece", "word"), staged(weights, "word-weights"), ["word"], "_rows")
+    weighed = keyed_join(made.select("of_host", "piece", "word"), staged(weights, "word-weights"), ["word"], "_rows", MOST_HOT)
     weighed = weighed.groupBy("of_host", "piece").agg(F.sum("weight").alias("weight"))
     weighed = staged(raw.where("_rows > 0").select("of_host", "piece", "_rows").join(weighed, ["of_host", "piece"]), "piece-weights")
 
     open_urls = urls.where(F.col("decided").isNull()).drop("decided")
-    sums = keyed_join(parts.where(F.col("decided").isNull()).select("host", "path", "of_host", "piece"), weighed, ["of_host", "piece"], "_rows")
+    sums = keyed_join(parts.where(F.col("decided").isNull()).select("host", "path", "of_host", "piece"), weighed, ["of_host", "piece"], "_rows", MOST_HOT)
     sums = sums.groupBy("host", "path").agg(F.sum("weight").alias("weight"))
     prior = urls.agg(F.round(F.log((F.coalesce(F.sum(F.when(F.col("decided") == "allow", F.col("pages"))), F.lit(0)) + 1)
                      / (F.coalesce(F.sum(F.when(F.col("decided") == "block", F.col("pages"))), F.lit(0)) + 1)) * UNIT).cast("long")).scalar()
     score = F.coalesce("weight", F.lit(0)) + prior
     judged = open_urls.join(sums, ["host", "path"], "left").select("host", "path", "pages", F.when(score < 0, "block").otherwise("allow").alias("verdict"))
     clear = parsed.where(F.col("decided").isNotNull()).withColumnRenamed("decided", "verdict")
-    rest = keyed_join(parsed.where(F.col("decided").isNull()), staged(judged, "judged-urls"), ["host", "path"], "pages")
+    rest = keyed_join(parsed.where(F.col("decided").isNull()), staged(judged, "judged-urls"), ["host", "path"], "pages", MOST_HOT)
     return clear.unionByName(rest.select(*clear.columns)).select("page_id", "host", "path", "rule", "verdict")
 
 

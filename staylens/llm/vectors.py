@@ -85,22 +85,15 @@ def search_blocks(queries: DataFrame, candidates: DataFrame, k: int, search: Cal
     """The ``k`` best of all candidates for each query: (query_id, rank, vec_id, score), ties to the smaller vec_id.
 
     A stated query set against all rows, in blocks: every query block meets every candidate block
-    of its length once. The pairs are dealt by (query block, group of candidate blocks), with as
-    many groups as the shuffle has partitions, so that a single query block still uses every task.
-    ``search(query_block, candidate_block)`` yields (query ids, vec ids, scores) of each pair's best;
-    they are merged with a limit before the shuffle. The count of query blocks is the only figure
-    that goes to the driver.
+    of its length once. Candidate blocks are dealt to as many seats as the shuffle has partitions and
+    go there once; the few query blocks are copied to every seat. ``search(query_block, candidate_block)``
+    yields (query ids, vec ids, scores) of each pair's best; they are merged with a limit before the shuffle. Nothing goes to the driver.
     """
-    spark = queries.sparkSession
-    groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = [r[0] for r in queries.select("block").distinct().collect()]
-    seats = F.array(*[F.lit(b) for b in blocks]) if blocks else F.array().cast("array<long>")
-    seat = F.pmod(F.xxhash64("block"), F.lit(groups)).alias("seat")
-    left = queries.select("block", "dim", *[F.col(c).alias(f"q_{c}") for c in ("ids", "data", "extra")]).withColumn(
-        "seat", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))
-    )
-    right = candidates.select(F.explode(seats).alias("query_block"), seat, "dim", *[F.col(c).alias(f"c_{c}") for c in ("ids", "data", "extra")])
-    pairs = left.withColumnRenamed("block", "query_block").join(right, ["query_block", "seat", "dim"])
+    groups = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sides = {side: [F.col(c).alias(f"{side}_{c}") for c in ("ids", "data", "extra")] for side in "qc"}
+    left = queries.select("dim", *sides["q"], F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("seat"))
+    right = candidates.select("dim", *sides["c"], F.pmod(F.xxhash64("block"), F.lit(groups)).alias("seat"))
+    pairs = left.join(right, ["seat", "dim"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,7 +103,7 @@ def search_blocks(queries: DataFrame, candidates: DataFrame, k: int, search: Cal
                 for query, vec, value in search(*halves):
                     yield pa.RecordBatch.from_arrays([pa.array(query), pa.array(vec), pa.array(value)], ["query_id", "vec_id", "score"])
 
-    found = pairs.drop("query_block", "seat", "dim").mapInArrow(run, f"query_id long, vec_id long, score {score}")
+    found = pairs.drop("seat", "dim").mapInArrow(run, f"query_id long, vec_id long, score {score}")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -36,6 +36,7 @@ SIDE_WORDS = frozenset(
     "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header masthead menu modal nav navbar navigation "
     "newsletter notice notification pagination popup promo promotion related respond search share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
+COMMENT_WORDS = frozenset("comment comments disqus respond".split())
 MAIN_TAGS = frozenset(("article", "main"))
 # Elements whose side words say something of the page, not of themselves.
 FRAME_TAGS = frozenset(("html", "body", "article", "main"))
@@ -49,6 +50,11 @@ NAMED = 0.25
 # Text of the template is on this many pages of the host at least, and on this share of them.
 SEVERAL = 3
 NEARLY_ALL = 0.9
+# An element inside an article that only part of a name calls a side element is none if it has this share
+# of the article's text or so many letters a page, and less than half of them in links; one that a whole name does needs half.
+PART_NAMED = 0.25
+PROSE = 120
+WHOLE_NAMED = 0.5
 SALTS = 64
 HOSTS = 2_000
 
@@ -92,7 +98,7 @@ def runs_of(page: str) -> Iterator[tuple[tuple[str, ...], str, bool, int]]:
                         del tags[at:], path[at:]
                         low = min(low, at)
             rest = m["rest"]
-            words = sorted({w for x in NAMES.findall(rest) for w in re.split(r"[\s_-]+", "".join(x).lower()) if w}) if "=" in rest else ()
+            words = sorted({w.replace(".", "-") for x in NAMES.findall(rest) for w in "".join(x).lower().split()}) if "=" in rest else ()
             tags.append(tag)
             path.append(".".join((tag, *words)))
 
@@ -101,14 +107,28 @@ def tag_of(label: str) -> str:
     return label.split(".", 1)[0]
 
 
-def is_side(label: str) -> bool:
-    tag, *words = label.split(".")
-    return tag in SIDE_TAGS or tag not in FRAME_TAGS and any(w in SIDE_WORDS for w in words)
+def is_named_side(label: str) -> bool:
+    """Whether a whole name of the element, or a part of one that speaks of comments, is that of a side element."""
+    tag, *names = label.split(".")
+    if tag in FRAME_TAGS:
+        return False
+    return any(n in SIDE_WORDS or not COMMENT_WORDS.isdisjoint(re.split("[_-]+", n)) for n in names)
 
 
-def may_be_side(label: str) -> bool:
+def is_side(label: str, inside: bool) -> bool:
+    """Whether tag or names are those of a side element; a part of a name will do, as in ``main-nav``.
+
+    A header ``inside`` an article or main element has the article's own headline.
+    """
+    tag, *names = label.split(".")
+    if tag in SIDE_TAGS:
+        return not (inside and tag == "header")
+    return tag not in FRAME_TAGS and any(not SIDE_WORDS.isdisjoint(re.split("[_-]+", n)) for n in names)
+
+
+def may_be_side(label: str, inside: bool) -> bool:
     """Whether the label speaks of a side element but the text may speak against it: words, and a form around the page."""
-    return is_side(label) and (tag_of(label) == "form" or tag_of(label) not in SIDE_TAGS)
+    return is_side(label, inside) and (tag_of(label) == "form" or tag_of(label) not in SIDE_TAGS)
 
 
 # --- union-free expressions -------------------------------------------------------------
@@ -138,7 +158,7 @@ class Item:
 
 
 def page_items(page: str) -> list[Item]:
-    """The page as nested items; text runs outside side elements' words keep a digest of their text."""
+    """The page as nested items; text runs keep a digest of their text."""
     root = Item("")
     stack, low = [root], 0
     for path, text, _, open_since in runs_of(page):
@@ -219,7 +239,7 @@ def roles(wrapper: Item) -> dict:
 
     ``fixed``: text of the template by element: on ``SEVERAL`` pages or more and on nearly all, always the same. All
     other text is the page's own. ``own``: elements that look like side elements by a word but have most of the own text,
-    and no article element is elsewhere. ``through``: for an element, those inside it that are the region of a page that
+    and no article element is elsewhere; or that are inside an article and have much of its text, see ``PART_NAMED``. ``through``: for an element, those inside it that are the region of a page that
     has them: layout elements, not repeated, with ``MOST`` of the own text; for an article or main element ``NAMED`` of
     it will do. What is optional is compared with what can stand on the same pages, so each template of a host has
     its own way down.
@@ -235,42 +255,51 @@ def roles(wrapper: Item) -> dict:
     def below(path: str, item: Item) -> str:
         return f"{path} {item.label}" if path else item.label
 
-    def weigh(item: Item, path: str, words: bool) -> tuple[int, int]:
-        """Own text in the element, and that in article elements; without what side words mark unless ``words``."""
+    def weigh(item: Item, path: str, words: bool, inside: bool = False) -> tuple[int, int, int]:
+        """Own text in the element, that in article elements, and that in links; without what side words mark unless ``words``."""
         if item.label == "#":
-            return (0 if is_fixed(item) else item.chars), 0
-        if item.label and is_side(item.label) and path not in own and not (words and may_be_side(item.label)):
-            return 0, 0
-        chars = named = 0
+            return (0 if is_fixed(item) else item.chars), 0, 0
+        if item.label and is_side(item.label, inside) and path not in own and not (words and may_be_side(item.label, inside)):
+            return 0, 0, 0
+        tag = tag_of(item.label)
+        chars = named = linked = 0
         for x in item.inside:
-            n, m = weigh(x, below(path, x), words)
-            chars, named = chars + n, named + m
-        return chars, chars if tag_of(item.label) in MAIN_TAGS else named
+            n, m, k = weigh(x, below(path, x), words, inside or tag in MAIN_TAGS)
+            chars, named, linked = chars + n, named + m, linked + k
+        return chars, chars if tag in MAIN_TAGS else named, chars if tag == "a" else linked
 
-    whole, named_whole = weigh(wrapper, "", True)
+    whole, named_whole, _ = weigh(wrapper, "", True)
 
-    def find_own(item: Item, path: str) -> None:
+    def find_own(item: Item, path: str, article: tuple[int, int] | None) -> None:
+        """``article``: own text and pages of the article or main element around."""
         for x in item.inside:
             here = below(path, x)
-            if x.label == "#" or is_side(x.label) and not may_be_side(x.label):
+            inside = article is not None
+            if x.label == "#" or is_side(x.label, inside) and not may_be_side(x.label, inside):
                 continue
-            if is_side(x.label):
-                n, m = weigh(x, here, True)
-                if 2 * n * total_pages > whole * x.pages and m == named_whole:
+            n, m, linked = weigh(x, here, True, inside)
+            if is_side(x.label, inside):
+                if inside:
+                    share = n * article[1] / max(1, article[0] * x.pages)
+                    much = share > WHOLE_NAMED if is_named_side(x.label) else share > PART_NAMED or n > PROSE * x.pages
+                    keep = much and 2 * linked < n
+                else:
+                    keep = 2 * n * total_pages > whole * x.pages and m == named_whole
+                if keep:
                     own.add(here)
-            find_own(x, here)
+            find_own(x, here, article or ((n, x.pages) if tag_of(x.label) in MAIN_TAGS else None))
 
-    find_own(wrapper, "")
+    find_own(wrapper, "", None)
 
-    def descend(items: list[Item], path: str, pages: int) -> None:
+    def descend(items: list[Item], path: str, pages: int, inside: bool) -> None:
         found: dict[str, list] = {}
         for x in items:
             if x.label == "#":
                 if is_fixed(x):
                     fixed.setdefault(path, []).append(x.value)
                 found.setdefault("#", []).append((x, (weigh(x, path, False)[0], 0)))
-            elif (here := below(path, x)) in own or not is_side(x.label):
-                found.setdefault(x.label, []).append((x, weigh(x, here, False)))
+            elif (here := below(path, x)) in own or not is_side(x.label, inside):
+                found.setdefault(x.label, []).append((x, weigh(x, here, False, inside)[:2]))
         kinds = {k: (sum(w[0] for _, w in v), sum(w[1] for _, w in v), max(x.pages for x, _ in v), len(v) > 1 or v[0][0].repeated) for k, v in found.items()}
         for label, (chars, named, seen, repeated) in kinds.items():
             if label == "#" or not chars:
@@ -282,9 +311,9 @@ def roles(wrapper: Item) -> dict:
         for label, items_ in found.items():
             for x, _ in items_:
                 if label != "#":
-                    descend(x.inside, below(path, x), x.pages)
+                    descend(x.inside, below(path, x), x.pages, inside or tag_of(label) in MAIN_TAGS)
 
-    descend(wrapper.inside, "", total_pages)
+    descend(wrapper.inside, "", total_pages, False)
     return {"through": through, "fixed": fixed, "own": sorted(own)}
 
 
@@ -309,7 +338,8 @@ def region_text(runs: list[tuple[tuple[str, ...], str, bool, int]], role: dict)
 
     def in_region(path: tuple[str, ...]) -> bool:
         names = [" ".join(path[:k]) for k in range(len(path) + 1)]
-        if any(is_side(x) and names[k + 1] not in own for k, x in enumerate(path)):
+        main = next((k for k, x in enumerate(path) if tag_of(x) in MAIN_TAGS), len(path))
+        if any(is_side(x, k > main) and names[k + 1] not in own for k, x in enumerate(path)):
             return False
         for k, name in enumerate(names):
             ways = [x for x in through.get(name, ()) if (f"{name} {x}" if name else x) in there]

@@ -226,7 +226,8 @@ def test_hot_anchors_equal_brute_force(spark, monkeypatch):
         with monkeypatch.context() as patch:
             patch.setattr(repeats, "repeated_strings", counted)
             assert {r["doc_id"]: bytes(r["kept"]) for r in repeats.removed_spans(docs).collect()} == expected
-        assert (met.value == 0) == (places == 1)
+        # Anchors whose surroundings are the same everywhere need no sort.
+        assert met.value > 0 if (places, blocks) == (256, 64) else met.value == 0 or places > 1
 
 
 def shingles(text):
@@ -234,6 +235,14 @@ def shingles(text):
     return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
 
 
+def test_jaccard_tells_texts_of_one_id_apart(spark):
+    """Two texts under one id: each row is linked by its own text, and both classes are named by the id."""
+    a, b = (" ".join(f"{name}{i}" for i in range(40)) for name in "ab")
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (4, a + " z"), (1, a)]
+    found = sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in jaccard.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert found == [(1, 1, 1), (1, 1, 3), (1, 1, 3), (2, 1, 3), (3, 1, 1), (4, 1, 3)]
+
+
 def test_jaccard_equals_brute_force(spark, docs, no_docs):
     rng = random.Random(2)
     rows = []
@@ -287,7 +296,7 @@ def test_main_text_leaves_the_frame_out(spark):
     )
     rows = [(1, "http://h/1", page, 1), (2, "http://h/2", None, 1), (3, None, "", 1), (4, "http://h/3", "plain < text", 1)]
     found = {r["page_id"]: r["text"] for r in wrappers.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string, host int")).collect()}
-    assert found == {1: "Head&line\nOne two three\nfour five", 2: "", 3: "", 4: found[4]}
+    assert found == {1: "Head&line\nOne two three\nfour five", 2: "", 3: "", 4: "plain < text"}
 
 
 def main_texts(spark, pages):
@@ -332,6 +341,32 @@ def test_side_words_do_not_empty_the_page(spark):
     assert main_texts(spark, pages) == expected
 
 
+def test_names_of_article_parts_do_not_cost_text(spark):
+    """Part of a class name is no proof inside an article, much text overrules a whole one, and a header there has the headline."""
+    s = [sentence(50 + i, 25) for i in range(8)]
+    pages = [
+        ("http://a/", f"<nav>menu</nav><article><div class='ad-hoc'><p>{s[0]}</p><p>{s[1]}</p></div><p>{s[2]}</p></article>"),
+        ("http://b/", f"<article><p>{s[0]}</p><p>{s[1]}</p><p>{s[2]}</p><p>{s[3]}</p><section class='share-prices'><p>{s[4]}</p></section><p>{s[5]}</p><p>{s[6]}</p></article>"),
+        ("http://c/", f"<header>Site</header><article><header><h1>The headline</h1><nav>menu</nav></header><p>{s[0]}</p><footer>by me</footer></article>"),
+        ("http://d/", f"<article><div class='share'><p>{s[0]}</p><p>{s[1]}</p><p>{s[2]}</p></div><p>{s[3]}</p><div class='ad'>{s[4]}</div></article>"),
+        ("http://e/", f"<article><p>{s[0]}</p><div class='related-posts'><a>{s[1]}</a> <a>{s[2]}</a></div><div class='post-comments'><p>{s[3]}</p><p>{s[4]}</p></div><div class='ad-slot'>Buy now</div></article>"),
+        ("http://f/", f"<div class='main-nav'>{s[0]}</div><main><p>{s[1]}</p></main><div class='site-footer'>{s[2]}</div>"),
+    ]
+    expected = ["\n".join(s[:3]), "\n".join(s[:7]), f"The headline\n{s[0]}", "\n".join(s[:4]), s[0], s[1]]
+    assert main_texts(spark, pages) == expected
+
+
+def test_main_text_of_empty_tables_repeats_and_long_pages(spark):
+    frame = spark.createDataFrame([], "page_id long, url string, html string, host string, roles string")
+    assert wrappers.extract_text(frame).count() == 0
+    long = f"<body><nav>menu</nav><article>{''.join(f'<p>{sentence(i, 40)}</p>' for i in range(2_000))}</article>"
+    rows = [(1, "http://h/", long, "x", "y")] * 2 + [(None, None, "<p>", "x", "y"), (2, "http://h/", "<p" * 50_000, "x", "y")]
+    found = wrappers.extract_text(spark.createDataFrame(rows, frame.schema)).collect()
+    text = "\n".join(sentence(i, 40) for i in range(2_000))
+    assert sorted((r["page_id"] or 0, r["n_chars"]) for r in found if r["page_id"] != 2) == [(0, 0), (1, len(text)), (1, len(text))] and len(found) == 4
+    assert all(r["text"] == text for r in found if r["page_id"] == 1)
+
+
 def test_wrapper_finds_slots_and_repeats():
     pages = [f"<div><ul>{'<li>x</li>' * n}</ul><p>text {n}</p>{'<em>extra</em>' if n > 2 else ''}</div>" for n in (1, 2, 3)]
     whole = wrappers.page_items(pages[0])
