@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import functools
-import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,6 @@ STRIDE = 512
 TEXT_BYTES = 2 << 20
 END_ID = 2
 CACHED_BYTES = 24 << 20
-ENTRY_BYTES = 160  # a cached word's key, place and object, about
 
 
 # --- tokenizing -----------------------------------------------------------------------
@@ -31,6 +30,7 @@ ENTRY_BYTES = 160  # a cached word's key, place and object, about
 # The others are written as U+0100 onward, in order.
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 BYTE_CHARS = {b: 0x100 + i for i, b in enumerate(sorted({*range(0x100)} - {*PRINTABLE}))}
+CHARS = np.array([BYTE_CHARS.get(b, b) for b in range(0x100)], "<u4")
 
 
 @functools.lru_cache(maxsize=1)
@@ -43,12 +43,37 @@ def loaded(path: str) -> tuple:
 
 
 class Encoder:
-    """A tokenizer, and the ids of words met lately: up to ``CACHED_BYTES`` of them, as long as the task lasts."""
+    """A tokenizer, and the ids of words met lately: about ``CACHED_BYTES`` of them, as long as the task lasts.
+
+    Keys are ascending; the ids of word i are ``ids[at[i]:at[i] + size[i]]``.
+    """
 
     def __init__(self, path: str):
         self.model, self.added = loaded(path)
-        self.known: dict[int, bytes] = {}
-        self.held = 0
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys, self.at, self.size, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def places(self, keys: np.ndarray, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Where each of the ascending ``keys`` stands, after encoding the words ``data[begin:end]`` that are not yet known."""
+        if sum(x.nbytes for x in (self.keys, self.at, self.size, self.ids)) > CACHED_BYTES:
+            self.forget()
+        place = np.searchsorted(self.keys, keys)
+        new = np.append(self.keys, np.uint64(0))[place] != keys
+        new[place == len(self.keys)] = True
+        if not new.any():
+            return place
+        length = end[new] - begin[new]
+        text = CHARS[gather(data, begin[new], length)].tobytes().decode("utf-32-le")
+        after = np.cumsum(length).tolist()
+        encode = self.model.model.tokenize
+        found = [[t.id for t in encode(text[a:b])] for a, b in zip([0, *after], after, strict=False)]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        at = len(self.ids) + np.cumsum(size) - size
+        self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum())))
+        self.keys, self.at, self.size = (np.insert(x, place[new], y) for x, y in ((self.keys, keys[new]), (self.at, at), (self.size, size)))
+        return np.searchsorted(self.keys, keys)
 
 
 def encode_texts(column: pa.Array, encoder: Encoder) -> tuple[np.ndarray, np.ndarray]:
@@ -57,31 +82,19 @@ def encode_texts(column: pa.Array, encoder: Encoder) -> tuple[np.ndarray, np.nda
     The library's model encodes each different pre-token once, as long as its ids are kept. Only for byte-level BPE files, whose pre-tokens are encoded one by one. Rows in which an added
     token of the file is written out are encoded by the library as a whole, which cuts them there.
     """
-    model, known, added = encoder.model, encoder.known, encoder.added
+    model, added = encoder.model, encoder.added
     texts = Texts(column)
     cuts, rows = pattern_pieces(texts)
     if len(cuts) < 2:
         return np.zeros(0, np.uint32), np.zeros(len(column) + 1, np.int64)
     begin, end = cuts[:-1], cuts[1:]
     keys, first, word = np.unique(piece_keys(texts.data, begin, end), return_index=True, return_inverse=True)
-    if encoder.held > CACHED_BYTES:
-        known.clear()
-        encoder.held = 0
-    keys = keys.tolist()
-    new = [i for i, k in enumerate(keys) if k not in known]
-    raw = texts.data.tobytes()
-    encode = model.model.tokenize
-    for i, a, b in zip(new, begin[first[new]].tolist(), end[first[new]].tolist(), strict=True):
-        found = [t.id for t in encode(raw[a:b].decode("latin-1").translate(BYTE_CHARS))]
-        known[keys[i]] = struct.pack(f"<{len(found)}I", *found)
-        encoder.held += ENTRY_BYTES + 4 * len(found)
-    coded = [known[k] for k in keys]
-    size = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-    flat = np.frombuffer(b"".join(coded), "<u4")
-    at = np.concatenate(([0], np.cumsum(size)[:-1]))
-    out = gather(flat, at[word], size[word])
-    ends = np.concatenate(([0], np.cumsum(size[word])))
+    place = encoder.places(keys, texts.data, begin[first], end[first])[word]
+    size = encoder.size[place]
+    out = gather(encoder.ids, encoder.at[place], size)
+    ends = np.concatenate(([0], np.cumsum(size)))
     at = ends[rows]
+    raw = texts.data.tobytes()
     whole = rows_with(raw, texts.at, added)
     if not whole:
         return out, at

@@ -90,6 +90,21 @@ def test_bpe_keeps_entries_that_merging_misses(spark):
         assert bytes(row["decoded"]).decode() == rows[row["doc_id"]]
 
 
+@pytest.mark.parametrize("kept", [0, 2_000, huffman.CACHED_BYTES])
+def test_kept_and_forgotten_words_give_the_library_s_ids(monkeypatch, kept):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    monkeypatch.setattr(huffman, "CACHED_BYTES", kept)
+    encoder, library, rng = huffman.Encoder(path), Tokenizer.from_file(path), random.Random(4)
+    letters = "abcdefgh ijklé中🙂'1 "
+    for _ in range(12):
+        rows = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 200))) for _ in range(20)] + [None, "", "over the lazy dog"]
+        ids, at = huffman.encode_texts(pa.array(rows), encoder)
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == [library.encode(t or "", add_special_tokens=False).ids for t in rows]
+    assert (np.diff(encoder.keys.astype(object)) > 0).all()
+
+
 def test_huffman_codes_are_optimal_and_decode():
     rng = np.random.default_rng(0)
     counts = np.zeros(300, np.int64)
