@@ -27,7 +27,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that one with a smaller id has; ``n_chars`` is that of the new text."""
-    kept = whole_characters(removed_spans(docs))
+    kept = whole_characters(removed_spans(docs, whole=True))
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

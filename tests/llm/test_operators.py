@@ -245,6 +245,19 @@ def test_hot_anchors_equal_brute_force(spark, monkeypatch):
         assert met.value > 0 if (places, blocks) == (256, 64) else met.value == 0 or places > 1
 
 
+def test_kept_text_is_decoded_where_the_bytes_are(spark):
+    """One Python step after the blocks are read, not two, and the text of the kept bytes: halves of characters go."""
+    line = "a passage of more than fifty bytes that stands in several of these documents "
+    rows = [(1, "é" + line + "x"), (2, "ñ" + line + "y"), (3, None), (None, line + "中"), (4, "Ã©" + line[:60] + "é" + line)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = repeats.whole_characters(repeats.removed_spans(docs, whole=True))
+    plain = repeats.removed_spans(docs).collect()
+    assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString()
+    expected = [(r["doc_id"], bytes(r["kept"]).decode(errors="ignore")) for r in plain]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
+    assert sorted(map(tuple, repeats.whole_characters(repeats.removed_spans(docs)).collect()), key=str) == sorted(expected, key=str)
+
+
 def shingles(text):
     w = (text or "").lower().split()
     return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
