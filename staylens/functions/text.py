@@ -56,57 +56,57 @@ _OPEN1, _OPEN2 = pow(_CLOSE1, -1, 2**32), pow(_CLOSE2, -1, 2**32)
 _LOW = 0xFFFFFFFF
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, however often it is used."""
+Let = Callable[[Column, Callable[[Column], Column]], Column]
+
+
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used; works inside lambdas, where it is evaluated node by node."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _times(number: Column, factor: int) -> Column:
-    """Product modulo 2^32 of a bound number below 2^32, in steps that fit a long."""
-    high = (F.shiftrightunsigned(number, 16) * factor).bitwiseAND(0xFFFF)
-    return (number.bitwiseAND(0xFFFF) * factor + F.shiftleft(high, 16)).bitwiseAND(_LOW)
+def _signed(number: Column) -> Column:
+    """The low 32 bits of a long, as a signed number."""
+    return F.shiftright(F.shiftleft(number, 32), 32)
 
 
-def _fold(number: Column, *bits: int) -> Column:
-    return reduce(Column.bitwiseXOR, [F.shiftrightunsigned(number, b) for b in bits], number)
+def _times(number: Column, factor: int) -> Column:
+    """Signed product modulo 2^32: that of two signed 32-bit numbers fits a long."""
+    return _signed(number * F.lit(factor - 2**32 if factor >= 2**31 else factor).cast("long"))
 
 
-def _steps(number: Column, *steps: Callable[[Column], Column]) -> Column:
-    return reduce(_let, steps, number)
+def _fold(number: Column, *bits: int) -> Column:
+    low = number.bitwiseAND(_LOW)
+    return reduce(Column.bitwiseXOR, [F.shiftrightunsigned(low, b) for b in bits], number)
 
 
-def murmur3(data: Column) -> Column:
+def murmur3(data: Column, let: Let = bound) -> Column:
     """The standard 32-bit MurmurHash3 (seed 42) of binary data, as a signed integer.
 
     ``F.hash`` differs only where one to three bytes are left over after whole words of four. So
     the state after the whole words is taken back from the hash of those words, by undoing its closing
     steps; the bytes left over are mixed in, and the steps are closed again: a fixed number of
-    operations next to the built-in hash, whatever the length.
+    operations next to the built-in hash, whatever the length. ``let`` holds values that are used more than once.
     """
     size = F.octet_length(data).cast("long")
     whole = size.bitwiseAND(~3)
-    words = F.hash(F.substring(data, F.lit(1), whole.cast("int"))).cast("long").bitwiseAND(_LOW)
-    state = _steps(
-        words, lambda h: _fold(h, 16), lambda h: _times(h, _OPEN2), lambda h: _fold(h, 13, 26), lambda h: _times(h, _OPEN1), lambda h: _fold(h, 16)
-    )
-    # Reversed hex holds each byte's digits the wrong way round, last byte first: turn every pair again.
-    rest = F.reverse(F.hex(F.substring(data, (whole + 1).cast("int"), F.lit(3))))
-    tail = F.conv(F.regexp_replace(rest, "(.)(.)", "$2$1"), 16, 10).cast("long")
-    tail = _steps(
-        tail,
-        lambda k: _times(k, _C1),
-        lambda k: F.shiftleft(k, 15).bitwiseOR(F.shiftrightunsigned(k, 17)).bitwiseAND(_LOW),
-        lambda k: _times(k, _C2),
-    )
+    state = F.hash(F.substring(data, F.lit(1), whole.cast("int"))).cast("long")
+    state = _times(let(state, lambda h: _fold(h, 16)), _OPEN2)
+    state = _times(let(state, lambda h: _fold(h, 13, 26)), _OPEN1)
+    state = let(state, lambda h: _fold(h, 16))
+    # The bytes left over are a number with the first byte lowest; hex digits put it highest.
+    rest = F.conv(F.hex(F.rpad(F.substring(data, (whole + 1).cast("int"), F.lit(3)), 3, F.lit(b"\x00"))), 16, 10).cast("long")
+    tail = let(rest, lambda x: F.shiftleft(x.bitwiseAND(0xFF), 16).bitwiseOR(x.bitwiseAND(0xFF00)).bitwiseOR(F.shiftright(x, 16)))
+    tail = _times(tail, _C1)
+    tail = let(tail, lambda k: F.shiftleft(k, 15).bitwiseOR(F.shiftrightunsigned(k.bitwiseAND(_LOW), 17)))
+    tail = _times(_signed(tail), _C2)
     mixed = state.bitwiseXOR(whole).bitwiseXOR(tail).bitwiseXOR(size)
-    closed = _steps(
-        mixed, lambda h: _fold(h, 16), lambda h: _times(h, _CLOSE1), lambda h: _fold(h, 13), lambda h: _times(h, _CLOSE2), lambda h: _fold(h, 16)
-    )
-    signed = _let(closed, lambda h: F.when(h > 0x7FFFFFFF, h - 2**32).otherwise(h).cast("int"))
+    mixed = _times(let(mixed, lambda h: _fold(h, 16)), _CLOSE1)
+    mixed = _times(let(mixed, lambda h: _fold(h, 13)), _CLOSE2)
+    closed = let(mixed, lambda h: _fold(h, 16)).cast("int")
     # Whole words need no mending.
-    return F.when(size > whole, signed).when(size == whole, F.hash(data))
+    return F.when(size > whole, closed).when(size == whole, F.hash(data))
 
 
-def current_term_bucket(term: Column, buckets: int = 20_000) -> Column:
+def current_term_bucket(term: Column, buckets: int = 20_000, let: Let = bound) -> Column:
     """Feature index of a term as ``HashingTF`` of the running Spark gives it."""
-    return F.pmod(murmur3(F.encode(term, "UTF-8")), F.lit(buckets))
+    return F.pmod(murmur3(F.encode(term, "UTF-8"), let), F.lit(buckets))

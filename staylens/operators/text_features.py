@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable
 
 from pyspark.ml.feature import HashingTF, SQLTransformer, StopWordsRemover, Tokenizer
@@ -28,9 +29,20 @@ def hashed_term_counts(
     """Term counts per feature bucket, as long rows. ``bucket`` gives a term's index:
     ``term_bucket``, or ``current_term_bucket`` for that of the running Spark's ``HashingTF``.
 
-    A term is hashed once per text it occurs in, after its occurrences are counted.
+    A term is hashed once per text it occurs in, after its occurrences are counted. A ``bucket`` that takes
+    ``let`` gets one that holds its values as columns: steps of plain projections run as generated code, lambdas do not.
     """
-    counts = term_counts(df, key, words).select(key, bucket(F.col("term"), buckets).alias("bucket"), "tf")
+    counts, held = term_counts(df, key, words), []
+
+    def column(value: Column, body: Callable[[Column], Column]) -> Column:
+        held.append(value)
+        return body(F.col(f"_value{len(held)}"))
+
+    takes_let = "let" in inspect.signature(bucket).parameters
+    index = bucket(F.col("term"), buckets, let=column) if takes_let else bucket(F.col("term"), buckets)
+    for n, value in enumerate(held, 1):
+        counts = counts.withColumn(f"_value{n}", value)
+    counts = counts.select(key, index.alias("bucket"), "tf")
     return counts.groupBy(key, "bucket").agg(F.sum("tf").alias("tf"))
 
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 import math
 
 import pytest
-from conftest import rows
+from conftest import plan_of, rows
 from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, StopWordsRemover, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -98,6 +98,15 @@ def test_hashed_counts_add_up(spark, texts):
     assert rows(plain) == [tuple(r) for r in rows(hashed)]
 
 
+def test_current_hash_runs_as_generated_code(spark, texts):
+    """The hash of the running Spark is held in columns, not in lambdas, and is that of ``HashingTF``."""
+    counts = text_features.hashed_term_counts(texts, "id", F.split("text", " "), bucket=tx.current_term_bucket)
+    assert "lambda" not in plan_of(counts)
+    vectors = HashingTF(inputCol="words", outputCol="v", numFeatures=20_000).transform(texts.withColumn("words", F.split("text", " ")))
+    expected = {(r.id, int(i)): int(n) for r in vectors.collect() for i, n in zip(r.v.indices, r.v.values, strict=True)}
+    assert {(r.id, r.bucket): r.tf for r in counts.collect()} == expected
+
+
 def test_long_runs_of_blanks_take_linear_time(spark):
     import time
 
