@@ -51,13 +51,12 @@ def tfidf(counts: DataFrame, texts: DataFrame, key: str, term: str, buckets: int
 
     Hashed counts name their number of ``buckets``: that is how many weights there are
     at most, and up to a million of them are broadcast. A vocabulary has no such bound,
-    and some terms are in most texts: it is joined by ``keyed_join``.
+    and some terms are in most texts: it is joined by ``keyed_join``. Counts are staged, as both branches
+    read them: a plan with lambdas is not recognised as the same, and would run twice.
     """
     total = texts.agg(F.count("*")).scalar()
     hashed = buckets is not None and buckets <= 1_000_000
-    if not hashed:
-        counts = stage(counts, "term-counts")
-    # Counting on ``tf`` lets both branches share the shuffle of the counts.
+    counts = stage(counts, "term-counts")
     frequency = counts.groupBy(term).agg(F.count_if(F.col("tf") > 0).alias("df"))
     weights = frequency.select(term, "df", F.log((total + 1) / (F.col("df") + 1)).alias("idf"))
     if hashed:

@@ -107,6 +107,14 @@ def test_current_hash_runs_as_generated_code(spark, texts):
     assert {(r.id, r.bucket): r.tf for r in counts.collect()} == expected
 
 
+def test_hashed_weights_count_terms_once(spark, texts):
+    words = tx.without_stop_words(tx.tokens(F.col("text")))
+    counts = text_features.hashed_term_counts(texts, "id", words, bucket=tx.current_term_bucket)
+    weighted = text_features.tfidf(counts, texts, "id", "bucket", 20_000)
+    assert "Generate" not in plan_of(weighted)
+    assert weighted.count() == counts.count()
+
+
 def test_long_runs_of_blanks_take_linear_time(spark):
     import time
 
