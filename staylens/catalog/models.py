@@ -170,6 +170,10 @@ def trained_registry(spark, sf_dir):
     return _registries.get((spark.sparkContext.applicationId, sf_dir)) or train_sentiment(spark, sf_dir)
 
 
+# Reviews in a file that arrives.
+FILE_ROWS = 100_000
+
+
 @query(
     "stream_user_features",
     f"""WITH {REVIEWS_CTE} SELECT author_id AS user_id, CAST(count(*) AS BIGINT) AS review_count,
@@ -180,9 +184,11 @@ def stream_user_features(spark, sf_dir):
     """Author features from a stream that arrives in several files and is stopped and started again."""
     reviews = reviews_from_orders(spark, sf_dir)
     folder, log, checkpoint = (new_dir(spark, name) for name in ("review-files", "author-log", "author-checkpoint"))
+    # Files grow in number, not in size; each half arrives in two batches.
+    files = max(2, -(-read_table(spark, sf_dir, "orders").count() // (2 * FILE_ROWS)))
     for part in range(2):
-        reviews.where(F.col("id") % 2 == part).repartition(2).write.mode("append").parquet(folder)
-        stream = stream_scoring.read_stream(spark, folder, reviews.schema, files_per_trigger=1)
+        reviews.where(F.col("id") % 2 == part).repartition(files).write.mode("append").parquet(folder)
+        stream = stream_scoring.read_stream(spark, folder, reviews.schema, files_per_trigger=-(-files // 2))
         author_stream.follow_authors(stream, log, checkpoint).awaitTermination()
     features = author_stream.latest_features(author_stream.read_log(spark, log))
     return features.withColumns({c: F.round(c, 6) for c in ("avg_text_length", "avg_helpful_votes")})

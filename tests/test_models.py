@@ -260,3 +260,21 @@ def test_jobs_from_the_command_line(spark, sf_dir, tmp_path, capsys):
     # What the jobs staged is gone, and nothing else.
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(kept)
+
+
+def test_streamed_reviews_arrive_in_files_of_bounded_size(spark, sf_dir, monkeypatch):
+    from staylens.catalog import models
+
+    plain = sorted(map(tuple, models.stream_user_features(spark, sf_dir).collect()))
+    seen, read = [], models.stream_scoring.read_stream
+
+    def counted(spark, folder, schema, files_per_trigger):
+        seen.append((spark.read.parquet(folder).inputFiles(), files_per_trigger))
+        return read(spark, folder, schema, files_per_trigger=files_per_trigger)
+
+    monkeypatch.setattr(models, "FILE_ROWS", 100)
+    monkeypatch.setattr(models.stream_scoring, "read_stream", counted)
+    assert sorted(map(tuple, models.stream_user_features(spark, sf_dir).collect())) == plain
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").count()
+    files = -(-orders // 200)
+    assert [(len(f), n) for f, n in seen] == [(files, -(-files // 2)), (2 * files, -(-files // 2))]
