@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from staylens.llm.base import query, table
 from staylens.llm.texts import Texts, as_binary, flat_bytes, gather, pattern_pieces, piece_keys, slices
 
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 1 << 20
 WORDS = 500_000
 BITS = 17
 TRIES = 4_096
@@ -158,6 +158,26 @@ def join_pieces(ids: Column, ranks: dict[bytes, int]) -> Column:
     return F.aggregate(ids, F.lit(b""), lambda done, i: F.concat(done, F.get(literal, i)))
 
 
+class Known:
+    """Numbers of the keys seen so far, in order of their first coming: two sorted arrays, 12 bytes a key."""
+
+    def __init__(self):
+        self.keys, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+
+    def number(self, keys: np.ndarray) -> np.ndarray:
+        """Numbers of ``keys``, which are sorted and distinct; new ones get the next."""
+        at = np.searchsorted(self.keys, keys)
+        old = np.zeros(len(keys), bool)
+        inside = at < len(self.keys)
+        old[inside] = self.keys[at[inside]] == keys[inside]
+        numbers = np.empty(len(keys), np.int32)
+        numbers[old] = self.numbers[at[old]]
+        numbers[~old] = np.arange(len(self.keys), len(self.keys) + np.count_nonzero(~old))
+        self.keys = np.insert(self.keys, at[~old], keys[~old])
+        self.numbers = np.insert(self.numbers, at[~old], numbers[~old])
+        return numbers
+
+
 def encode_decode(docs: DataFrame, ranks: dict[bytes, int], *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids, decoded): ids as little-endian 32-bit integers, and the bytes they decode to.
 
@@ -175,18 +195,17 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], *, id_col: str = "do
     merges = Merges(ranks)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes: dict[int, int] = {}
+        known = Known()
         for part in slices(batches, "text", TEXT_BYTES):
             texts = Texts(part.column("text"))
             cuts, rows = pattern_pieces(texts)
             begin, end = cuts[:-1], cuts[1:]
             keys, first, word = np.unique(piece_keys(texts.data, begin, end), return_index=True, return_inverse=True)
-            fresh = len(codes) > WORDS
-            if fresh:
-                codes.clear()
-            known = len(codes)
-            of_key = np.fromiter((codes.setdefault(k, len(codes)) for k in keys.tolist()), np.int64, len(keys))
-            new = first[of_key >= known]
+            if len(known.keys) > WORDS:
+                known = Known()
+            before = len(known.keys)
+            of_key = known.number(keys)
+            new = first[of_key >= before]
             size = end[new] - begin[new]
             after = np.cumsum(size)
             words = np.insert(merges.byte_ids[gather(texts.data, begin[new], size)], np.repeat(np.append(0, after), 2)[1:-1], merges.edge)
@@ -194,7 +213,7 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], *, id_col: str = "do
             n = len(new)
             if n:
                 nulls = [pa.nulls(n, part.schema.field("id").type), pa.nulls(n, pa.binary())]
-                yield pa.RecordBatch.from_arrays([*nulls, lists, pa.array(np.arange(known, len(codes)))], ["id", "codes", "word", "code"])
+                yield pa.RecordBatch.from_arrays([*nulls, lists, pa.array(np.arange(before, before + n))], ["id", "codes", "word", "code"])
             numbers = as_binary(of_key[word].astype("<i4"), rows)
             m = part.num_rows
             yield pa.RecordBatch.from_arrays([part.column("id"), numbers, pa.nulls(m, lists.type), pa.nulls(m, pa.int64())], ["id", "codes", "word", "code"])

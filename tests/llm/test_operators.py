@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -414,3 +415,25 @@ def test_pipeline_stages(spark, sf_dir):
     texts_ = Counter(hashlib.sha256(r["text"].encode()).hexdigest() for r in docs.select("text").collect())
     assert Counter(r["decoded_sha256"] for r in corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()) == texts_
     assert "pipeline" in __spark_entry__.queries()
+
+
+def test_word_numbers_take_two_arrays():
+    rng, known, numbers = np.random.default_rng(5), bpe.Known(), {}
+    for _ in range(40):
+        keys = np.unique(rng.integers(0, 3_000, 200, np.uint64) << np.uint64(rng.integers(0, 53)))
+        before = len(numbers)
+        expected = [numbers.setdefault(k, len(numbers)) for k in keys.tolist()]
+        assert known.number(keys).tolist() == expected
+        assert len(known.keys) == len(numbers) >= before
+    assert known.keys.nbytes + known.numbers.nbytes == 12 * len(numbers)
+    assert known.number(np.zeros(0, np.uint64)).tolist() == []
+
+
+def test_class_table_takes_little_memory_to_build():
+    texts.classes.cache_clear()
+    tracemalloc.start()
+    try:
+        texts.classes()
+        assert tracemalloc.get_traced_memory()[1] < 40 << 20
+    finally:
+        tracemalloc.stop()
