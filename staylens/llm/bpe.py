@@ -11,10 +11,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm.base import query, table
+from staylens.llm.base import leanly, query, table
 from staylens.llm.texts import Texts, as_binary, flat_bytes, gather, pattern_pieces, piece_keys, slices
 
-TEXT_BYTES = 1 << 20
+TEXT_BYTES = 1 << 19
+CODE_BYTES = 1 << 18
 WORDS = 500_000
 BITS = 17
 TRIES = 4_096
@@ -234,13 +235,13 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], *, id_col: str = "do
                     at = np.asarray(lists.offsets, np.int64)
                     ids = np.asarray(lists.values, np.uint32)[at[0] : at[-1]]
                     decoded, cut = flat_bytes(run.column("decoded"))
-                    parts.append((ids, np.diff(at), decoded, np.diff(cut)))
+                    parts.append((ids, np.diff(at).astype(np.int32), decoded, np.diff(cut).astype(np.int32)))
                     continue
                 flat, size, text, length = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else [np.zeros(0, np.int64)] * 4
                 if parts:
                     parts = [(flat, size, text, length)]
                 id_at, text_at = np.cumsum(size) - size, np.cumsum(length) - length
-                for part in slices(iter([run]), "codes", TEXT_BYTES):
+                for part in slices(iter([run]), "codes", CODE_BYTES):
                     raw, at = flat_bytes(part.column("codes"))
                     word, at = raw.view("<i4"), at // 4
                     ends = np.concatenate(([0], np.cumsum(size[word])))[at]
@@ -251,10 +252,10 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], *, id_col: str = "do
                         [part.column("id"), pa.array(np.diff(ends)), as_binary(ids, ends), as_binary(back, byte_ends)], ["doc_id", "n_tokens", "ids", "decoded"]
                     )
 
-    words = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(split, f"id {kind}, codes binary, word array<long>, code long")
+    words = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(leanly(split), f"id {kind}, codes binary, word array<long>, code long")
     merged = words.withColumn("ids", F.when(F.col("word").isNotNull(), merge_ranks(F.col("word"), merges)))
     both = merged.withColumn("decoded", F.when(F.col("ids").isNotNull(), join_pieces(F.col("ids"), ranks)))
-    return both.select("id", "codes", "code", "ids", "decoded").mapInArrow(assemble, f"doc_id {kind}, n_tokens long, ids binary, decoded binary")
+    return both.select("id", "codes", "code", "ids", "decoded").mapInArrow(leanly(assemble), f"doc_id {kind}, n_tokens long, ids binary, decoded binary")
 
 
 def multi_ranks() -> dict[bytes, int]:

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from staylens.llm.base import MOST_HOT, query, staged, table
+from staylens.llm.base import MOST_HOT, leanly, query, staged, table
 from staylens.llm.texts import Texts, as_binary, blank_words, flat_bytes, mix, piece_keys, slices
 from staylens.operators.joins import keyed_join
 
@@ -82,7 +82,7 @@ def sketches(docs: DataFrame, bands: int, rows: int, id_col: str, text_col: str)
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(k1), pa.array(k2), pa.array(n, pa.int64()), lists], ["id", *KEY, "bands"])
 
     columns = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return columns.mapInArrow(run, "id long, k1 long, k2 long, n long, bands array<long>")
+    return columns.mapInArrow(leanly(run), "id long, k1 long, k2 long, n long, bands array<long>")
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -209,7 +209,7 @@ def jaccard_join(
 
     texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
     sets = texts.join(members, "rep").select("root", F.col("node").alias("id"), "copies", "runs", *KEY, "text")
-    sets = sets.mapInArrow(with_sets, "root long, id long, copies long, runs int, shingles binary")
+    sets = sets.mapInArrow(leanly(with_sets), "root long, id long, copies long, runs int, shingles binary")
     run = F.pmod(F.xxhash64("id"), F.col("runs")).cast("int")
     tiles = sets.withColumn("side", run).withColumn("other", F.explode(F.expr("sequence(0, runs - 1)")))
     tiles = tiles.select("root", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "id", "side", "copies", "shingles")

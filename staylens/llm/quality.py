@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from staylens.llm.base import query, table
+from staylens.llm.base import leanly, query, table
 from staylens.llm.texts import Texts, blank_words, mix, piece_keys, slices, words_at
 
 BITS = 17
@@ -128,7 +128,7 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", score_col: s
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value)], [*batch.schema.names, score_col])
 
     plain = docs.drop(score_col)
-    return plain.mapInArrow(run, StructType([*plain.schema.fields, StructField(score_col, DoubleType())]))
+    return plain.mapInArrow(leanly(run), StructType([*plain.schema.fields, StructField(score_col, DoubleType())]))
 
 
 @query("op9_quality")

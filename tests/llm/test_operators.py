@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import resource
 import tracemalloc
 from collections import Counter, defaultdict
 
@@ -437,3 +438,23 @@ def test_class_table_takes_little_memory_to_build():
         assert tracemalloc.get_traced_memory()[1] < 40 << 20
     finally:
         tracemalloc.stop()
+
+
+def test_workers_give_memory_back():
+    """What a task freed goes back although something above it is still held."""
+    held = []
+
+    def resident():
+        with open("/proc/self/statm") as file:
+            return int(file.read().split()[1]) * resource.getpagesize() >> 20
+
+    def run(batches):
+        some = [np.ones(60_000, np.uint8) for _ in range(3_000)]
+        held.append(np.ones(60_000, np.uint8))
+        del some
+        yield from batches
+
+    before, batch = resident(), pa.record_batch({"id": [1, 2]})
+    assert list(base.leanly(run)(iter([batch]))) == [batch]
+    assert resident() < before + 40
+    assert base.given_back(batch) is batch
