@@ -12,7 +12,7 @@ from staylens.functions.keys import arithmetic_bucket, arithmetic_bucket_sql
 from staylens.operators import certificates
 from staylens.operators.clusters import assign_to_centres
 from staylens.operators.sampling import hash_split
-from staylens.operators.text_features import term_indices
+from staylens.operators.text_features import indexed_terms
 from staylens.plans import room_experience, segmentation, sentiment
 from staylens.sources.models import load_pipeline
 from staylens.sources.reviews import RATINGS, reviews_from_orders
@@ -39,7 +39,7 @@ def linear_certificate(spark, sf_dir, model_name, loss, bound):
     coefficients, intercept = model.coefficients.toArray(), model.intercept
 
     label = (F.col("overall") >= 4.0).cast("double")
-    indexed = rated.where("overall IS NOT NULL").select("id", label.alias("label"), term_indices(F.col("text")).alias("indices"))
+    indexed = indexed_terms(rated.where("overall IS NOT NULL").select("id", label.alias("label"), "text"), "text")
     weights = certificates.numbers_column(rated, idf.idf.toArray())
     entries = indexed.withColumn("_idf", weights).withColumn("entries", certificates.sparse_entries(F.col("indices"), F.col("_idf")))
     train, test = hash_split(stage(entries.select("id", "label", "entries"), "entries"), "id", bucket=arithmetic_bucket)

@@ -47,17 +47,17 @@ def loss_slope(loss: str, label: Column, margin: Column) -> Column:
     raise ValueError(f"unknown loss {loss!r}")
 
 
-def linear_gradient(df: DataFrame, entries: str, label: str, margin: str, loss: str) -> DataFrame:
-    """Gradient of the mean loss: rows (``index``, ``gradient``), the intercept's as index -1.
+def linear_gradients(df: DataFrame, entries: str, label: str, margins: dict[str, str], loss: str) -> DataFrame:
+    """Gradients of the mean loss: a row per ``index``, the intercept's -1, with a column for each margin column that ``margins`` names.
 
-    One pass: every row is cut into its entries, and slopes times values are summed per index,
+    One pass for all: every row is cut into its entries, and slopes times values are summed per index,
     combined on the map side, so that a task sends at most one row per index it saw.
     """
-    slope = loss_slope(loss, F.col(label), F.col(margin))
+    slopes = [loss_slope(loss, F.col(label), F.col(margin)).alias(f"slope_{name}") for name, margin in margins.items()]
     constant = F.array(F.struct(F.lit(-1).alias("index"), F.lit(1.0).alias("value")))
-    cut = df.select(slope.alias("slope"), F.inline(F.concat(constant, entries)))
+    cut = df.select(*slopes, F.inline(F.concat(constant, entries)))
     rows = df.agg(F.count("*")).scalar()
-    return cut.groupBy("index").agg((F.sum(F.col("slope") * F.col("value")) / rows).alias("gradient"))
+    return cut.groupBy("index").agg(*[(F.sum(F.col(f"slope_{name}") * F.col("value")) / rows).alias(name) for name in margins])
 
 
 def linear_certificate(
@@ -76,12 +76,12 @@ def linear_certificate(
         value = F.greatest(-signed, F.lit(0.0)) + F.log1p(F.exp(-F.abs(signed)))
         return F.avg(value if loss == "logistic" else F.greatest(1 - signed, F.lit(0.0)))
 
-    largest = {
-        name: linear_gradient(at, entries, label, margin, loss).agg(F.max(F.abs("gradient"))).scalar()
-        for name, margin in (("gradient", "margin"), ("start_gradient", "zero"))
-    }
+    margins = {"gradient": "margin", "start_gradient": "zero"}
+    gradients = linear_gradients(at, entries, label, margins, loss)
+    # One row on either side.
+    largest = F.broadcast(gradients.agg(*[F.max(F.abs(name)).alias(name) for name in margins]))
     losses = at.agg(mean_loss("margin").alias("loss"), mean_loss("zero").alias("start_loss"))
-    return losses.withColumns(largest)
+    return losses.crossJoin(largest)
 
 
 def split_gains(df: DataFrame, features: Sequence[str], label: str, classes: int) -> DataFrame:

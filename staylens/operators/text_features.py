@@ -29,21 +29,29 @@ def hashed_term_counts(
     """Term counts per feature bucket, as long rows. ``bucket`` gives a term's index:
     ``term_bucket``, or ``current_term_bucket`` for that of the running Spark's ``HashingTF``.
 
-    A term is hashed once per text it occurs in, after its occurrences are counted. A ``bucket`` that takes
-    ``let`` gets one that holds its values as columns: steps of plain projections run as generated code, lambdas do not.
+    A term is hashed once per text it occurs in, after its occurrences are counted.
     """
-    counts, held = term_counts(df, key, words), []
+    counts = with_bucket(term_counts(df, key, words), "term", buckets, bucket).select(key, "bucket", "tf")
+    return counts.groupBy(key, "bucket").agg(F.sum("tf").alias("tf"))
+
+
+def with_bucket(df: DataFrame, term: str, buckets: int, bucket: Callable[[Column, int], Column]) -> DataFrame:
+    """``df`` with the index of ``term`` as ``bucket``.
+
+    A function that takes ``let`` gets one that holds its values as columns, named ``_value1`` and so on:
+    steps of plain projections run as generated code, lambdas do not.
+    """
+    held = []
 
     def column(value: Column, body: Callable[[Column], Column]) -> Column:
         held.append(value)
         return body(F.col(f"_value{len(held)}"))
 
     takes_let = "let" in inspect.signature(bucket).parameters
-    index = bucket(F.col("term"), buckets, let=column) if takes_let else bucket(F.col("term"), buckets)
+    index = bucket(F.col(term), buckets, let=column) if takes_let else bucket(F.col(term), buckets)
     for n, value in enumerate(held, 1):
-        counts = counts.withColumn(f"_value{n}", value)
-    counts = counts.select(key, index.alias("bucket"), "tf")
-    return counts.groupBy(key, "bucket").agg(F.sum("tf").alias("tf"))
+        df = df.withColumn(f"_value{n}", value)
+    return df.withColumn("bucket", index)
 
 
 def tfidf(counts: DataFrame, texts: DataFrame, key: str, term: str, buckets: int | None = None) -> DataFrame:
@@ -71,6 +79,21 @@ def term_indices(text: Column, buckets: int = TERM_BUCKETS) -> Column:
     return F.transform(without_stop_words(tokens(text)), lambda w: current_term_bucket(w, buckets))
 
 
+def indexed_terms(df: DataFrame, text: str, output: str = "indices", buckets: int = TERM_BUCKETS) -> DataFrame:
+    """The other columns of ``df`` with the indices of ``term_indices``, in no set order; every row counts, equal ones too.
+
+    Words are hashed as rows, which generated code does, and gathered again by a number of the row: in its task first,
+    so that what is shuffled is one list a row.
+    """
+    others = [F.col(f"`{c}`") for c in df.columns if c != text]
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    terms = numbered.select("_row", *others, F.explode_outer(tokens(F.col(text))).alias("_term"))
+    # A stop word becomes null and has no index, as a text without words has none: its row stays.
+    kept = terms.withColumn("_term", F.when(~F.lower("_term").isin([w.lower() for w in ENGLISH_STOP_WORDS]), F.col("_term")))
+    hashed = with_bucket(kept, "_term", buckets, current_term_bucket)
+    return hashed.groupBy("_row", *others).agg(F.collect_list("bucket").alias(output)).drop("_row")
+
+
 def term_vector_stages(text: str, output: str = "raw_features", buckets: int = TERM_BUCKETS) -> list:
     """Stages from text to a hashed term count vector; they need no fitting. Null text is empty."""
     return [

@@ -76,6 +76,18 @@ def test_term_indices_equal_the_jobs_vectors(spark, texts):
         assert {i: row.ours.count(i) for i in row.ours} == expected
 
 
+def test_indexed_terms_equal_term_indices(spark, texts):
+    """Every row once with its indices, null, empty, blank and repeated ones too; words are hashed in plain projections."""
+    odd = [(None, "b", None), (1, "a", ""), (1, "a", "   "), (1, "a", "the The of"), (2, "a", "abc ab a abcd the abc é 🙂"), (2, "a", "abc ab a abcd the abc é 🙂")]
+    rows = spark.createDataFrame(odd, "id long, kind string, text string")
+    rows = rows.union(texts.select("id", F.lit("t"), "text"))
+    found = text_features.indexed_terms(rows, "text")
+    expected = rows.select("id", "kind", F.array_sort(text_features.term_indices(F.col("text"))).alias("indices"))
+    assert sorted(map(str, found.select("id", "kind", F.array_sort("indices").alias("indices")).collect())) == sorted(map(str, expected.collect()))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and "transform(" not in plan
+
+
 def test_tfidf_equals_mllib(spark, texts):
     words = texts.withColumn("words", tx.tokens(F.col("text")))
     model = CountVectorizer(inputCol="words", outputCol="tf").fit(words)
