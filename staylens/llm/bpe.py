@@ -16,7 +16,8 @@ from staylens.llm.texts import Texts, as_binary, flat_bytes, gather, pattern_pie
 
 TEXT_BYTES = 1 << 19
 CODE_BYTES = 1 << 18
-WORDS = 500_000
+WORDS = 1_000_000
+SHARED = 4
 BITS = 17
 TRIES = 4_096
 NONE = (1 << BITS) - 1
@@ -115,48 +116,87 @@ def merge_ranks(state: Column, merges: Merges) -> Column:
     A fold over as many steps as there are bytes less one. A rank is the id of what it joins
     to, so a merge looks up two new ranks. The rank map is a literal, bound once: every
     place that named it itself would hold a copy of it, in the driver and in each task.
+    All numbers are longs, as casts inside a lambda are evaluated for each element; the ends are
+    taken by ``filter``, as ``slice`` goes through a boxed sequence each time.
     """
+    none = F.lit(NONE).cast("long")
 
     def fold(place: Column, entries: Column) -> Column:
         def with_next(a: Column, b: Column) -> Column:
-            left = F.shiftleft(a.cast("long"), BITS)
-            rank = F.least(F.get(entries, F.get(place, a) + b).bitwiseXOR(left), F.lit(NONE).cast("long"))
-            return F.shiftleft(rank, BITS).bitwiseOR(a.cast("long"))
+            rank = F.least(F.get(entries, F.get(place, a) + b).bitwiseXOR(F.shiftleft(a, BITS)), none)
+            return F.shiftleft(rank, BITS).bitwiseOR(a)
 
         def id_at(state: Column, i: Column) -> Column:
-            return F.get(state, i).bitwiseAND(F.lit(NONE).cast("long")).cast("int")
+            return F.get(state, i).bitwiseAND(none)
 
         def step(state: Column, _: Column) -> Column:
             def merged(lowest: Column) -> Column:
-                new = F.shiftright(lowest, BITS).cast("int")
+                new = F.shiftright(lowest, BITS)
 
                 def put(i: Column) -> Column:
-                    pair = bind(id_at(state, i - 2), lambda a: F.array(with_next(a, new), with_next(new, id_at(state, i + 1))))
-                    return F.concat(F.slice(state, F.lit(1), i - 2), pair, F.slice(state, i + 2, F.size(state)))
+                    # i is the place before the pair, counted from 0.
+                    pair = bind(id_at(state, i), lambda a: F.array(with_next(a, new), with_next(new, id_at(state, i + 3))))
+                    return F.concat(F.filter(state, lambda _, j: j < i), pair, F.filter(state, lambda _, j: j - 2 > i))
 
-                joined = bind(F.array_position(state, lowest).cast("int"), put)
+                joined = bind(F.array_position(state, lowest).cast("int") - 2, put)
                 return F.when(lowest >= F.lit(NONE << BITS), state).otherwise(joined)
 
             return bind(F.array_min(state), merged)
 
         steps = F.sequence(F.lit(1), F.greatest(F.size(state) - 3, F.lit(1)))
-        end = F.aggregate(steps, state, step)
-        return bind(end, lambda s: F.transform(F.slice(s, F.lit(2), F.size(s) - 2), lambda x: x.bitwiseAND(F.lit(NONE).cast("long")).cast("int")))
+        ids = F.transform(F.aggregate(steps, state, step), lambda x: x.bitwiseAND(none).cast("int"))
+        return F.filter(ids, lambda x: x != F.lit(merges.edge))
 
-    folded = bind(literal(merges.place, "int"), lambda p: bind(literal(merges.entries, "long"), lambda e: fold(p, e)))
+    folded = bind(literal(merges.place, "long"), lambda p: bind(literal(merges.entries, "long"), lambda e: fold(p, e)))
     if not merges.unreached:
         return folded
     whole = F.try_element_at(F.from_json(F.lit(json.dumps(merges.unreached)), "map<string,int>"), F.array_join(state, " "))
     return F.coalesce(bind(whole, lambda rank: F.when(rank.isNotNull(), F.array(rank))), folded)
 
 
-def join_pieces(ids: Column, ranks: dict[bytes, int]) -> Column:
-    """The bytes that ``ids`` stand for, by concatenating their pieces."""
-    pieces = [""] * (max(ranks.values(), default=0) + 1)
+def pieces(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes that the ids stand for, one after the other, and where each begins (with the end)."""
+    by_id = [b""] * (max(ranks.values(), default=0) + 1)
     for piece, rank in ranks.items():
-        pieces[rank] = base64.b64encode(piece).decode()
-    literal = F.from_json(F.lit(json.dumps(pieces)), "array<binary>")
-    return F.aggregate(ids, F.lit(b""), lambda done, i: F.concat(done, F.get(literal, i)))
+        by_id[rank] = piece
+    return np.frombuffer(b"".join(by_id), np.uint8), np.cumsum([0, *map(len, by_id)])
+
+
+class Grown:
+    """Numbers that come in parts; room doubles, so that a part costs its own size."""
+
+    def __init__(self, kind: type):
+        self.room, self.size = np.zeros(1 << 12, kind), 0
+
+    def add(self, numbers: np.ndarray) -> None:
+        size = self.size + len(numbers)
+        if size > len(self.room):
+            room = np.zeros(max(size, 2 * len(self.room)), self.room.dtype)
+            room[: self.size] = self.all()
+            self.room = room
+        self.room[self.size : size] = numbers
+        self.size = size
+
+    def all(self) -> np.ndarray:
+        return self.room[: self.size]
+
+
+class Coded:
+    """Words by number: their ids and the bytes these decode to, and where each word's begin (with the end)."""
+
+    def __init__(self, vocabulary: tuple[np.ndarray, np.ndarray]):
+        self.pieces, self.piece_at = vocabulary
+        self.ids, self.bytes, self.id_at, self.byte_at = Grown(np.uint32), Grown(np.uint8), Grown(np.int64), Grown(np.int64)
+        self.id_at.add(np.zeros(1, np.int64))
+        self.byte_at.add(np.zeros(1, np.int64))
+
+    def add(self, ids: np.ndarray, at: np.ndarray) -> None:
+        """More words: the next one has ``ids[at[0]:at[1]]``. Bytes are the pieces of the ids, concatenated."""
+        begin, size = self.piece_at[ids], np.diff(self.piece_at)[ids]
+        self.byte_at.add(self.bytes.size + np.concatenate(([0], np.cumsum(size)))[at[1:]])
+        self.bytes.add(gather(self.pieces, begin, size))
+        self.id_at.add(self.ids.size + at[1:])
+        self.ids.add(ids)
 
 
 class Known:
@@ -184,7 +224,7 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], *, id_col: str = "do
 
     Texts are cut where the tokenizers' split pattern cuts them. Within a task each distinct
     word is sent once, ahead of the texts that first hold it, through the merging
-    fold and back through decoding; the texts follow as numbers of words. Nothing is shuffled.
+    fold; its ids are decoded once, and the texts follow as numbers of words. Nothing is shuffled.
     After ``WORDS`` distinct words a task starts its list anew, which bounds memory and
     repeats some words.
 
@@ -193,7 +233,7 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], *, id_col: str = "do
     become U+FFFD first.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    merges = Merges(ranks)
+    merges, vocabulary = Merges(ranks), pieces(ranks)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Known()
@@ -220,7 +260,7 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], *, id_col: str = "do
             yield pa.RecordBatch.from_arrays([part.column("id"), numbers, pa.nulls(m, lists.type), pa.nulls(m, pa.int64())], ["id", "codes", "word", "code"])
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[tuple] = []
+        coded = Coded(vocabulary)
         for batch in batches:
             is_word = np.asarray(batch.column("code").is_valid())
             turns = np.flatnonzero(np.diff(is_word)) + 1
@@ -229,33 +269,28 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], *, id_col: str = "do
                 if is_word[a]:
                     at_zero = np.flatnonzero(run.column("code").to_numpy() == 0)
                     if len(at_zero):
-                        parts = []
+                        coded = Coded(vocabulary)
                         run = run.slice(int(at_zero[0]))
                     lists = run.column("ids")
                     at = np.asarray(lists.offsets, np.int64)
-                    ids = np.asarray(lists.values, np.uint32)[at[0] : at[-1]]
-                    decoded, cut = flat_bytes(run.column("decoded"))
-                    parts.append((ids, np.diff(at).astype(np.int32), decoded, np.diff(cut).astype(np.int32)))
+                    coded.add(np.asarray(lists.values, np.uint32)[at[0] : at[-1]], at - at[0])
                     continue
-                flat, size, text, length = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else [np.zeros(0, np.int64)] * 4
-                if parts:
-                    parts = [(flat, size, text, length)]
-                id_at, text_at = np.cumsum(size) - size, np.cumsum(length) - length
+                id_at, byte_at = coded.id_at.all(), coded.byte_at.all()
                 for part in slices(iter([run]), "codes", CODE_BYTES):
                     raw, at = flat_bytes(part.column("codes"))
                     word, at = raw.view("<i4"), at // 4
-                    ends = np.concatenate(([0], np.cumsum(size[word])))[at]
-                    byte_ends = np.concatenate(([0], np.cumsum(length[word])))[at]
-                    ids = gather(flat, id_at[word], size[word]).astype("<u4")
-                    back = gather(text, text_at[word], length[word]).astype(np.uint8)
+                    size, length = id_at[word + 1] - id_at[word], byte_at[word + 1] - byte_at[word]
+                    ends = np.concatenate(([0], np.cumsum(size)))[at]
+                    byte_ends = np.concatenate(([0], np.cumsum(length)))[at]
+                    ids = gather(coded.ids.all(), id_at[word], size).astype("<u4")
+                    back = gather(coded.bytes.all(), byte_at[word], length)
                     yield pa.RecordBatch.from_arrays(
                         [part.column("id"), pa.array(np.diff(ends)), as_binary(ids, ends), as_binary(back, byte_ends)], ["doc_id", "n_tokens", "ids", "decoded"]
                     )
 
     words = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(leanly(split), f"id {kind}, codes binary, word array<long>, code long")
     merged = words.withColumn("ids", F.when(F.col("word").isNotNull(), merge_ranks(F.col("word"), merges)))
-    both = merged.withColumn("decoded", F.when(F.col("ids").isNotNull(), join_pieces(F.col("ids"), ranks)))
-    return both.select("id", "codes", "code", "ids", "decoded").mapInArrow(leanly(assemble), f"doc_id {kind}, n_tokens long, ids binary, decoded binary")
+    return merged.select("id", "codes", "code", "ids").mapInArrow(leanly(assemble), f"doc_id {kind}, n_tokens long, ids binary, decoded binary")
 
 
 def multi_ranks() -> dict[bytes, int]:
@@ -264,10 +299,17 @@ def multi_ranks() -> dict[bytes, int]:
     return read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def sharing(files: DataFrame) -> DataFrame:
+    """A table as its files hold it, read by tasks of ``SHARED`` of its partitions, but two for each core: words they have in common are folded once."""
+    parts = files.rdd.getNumPartitions()
+    tasks = max(-(-parts // SHARED), 2 * files.sparkSession.sparkContext.defaultParallelism)
+    return files.coalesce(tasks) if tasks < parts else files
+
+
 def digests(encoded: DataFrame) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 @query("op10_byte_bpe")
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(encode_decode(table(spark, sf_dir, "documents"), multi_ranks()))
+    return digests(encode_decode(sharing(table(spark, sf_dir, "documents").select("doc_id", "text")), multi_ranks()))

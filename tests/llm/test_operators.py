@@ -458,3 +458,31 @@ def test_workers_give_memory_back():
     assert list(base.leanly(run)(iter([batch]))) == [batch]
     assert resident() < before + 40
     assert base.given_back(batch) is batch
+
+
+def test_bpe_reads_files_in_shares_and_keeps_every_text(spark, tmp_path, monkeypatch):
+    rows = [(i, f"word{i % 7} ülang{i % 5} {i}") for i in range(4_000)]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(80).write.parquet(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        files = spark.read.parquet(path)
+        parts = files.rdd.getNumPartitions()
+        shared = bpe.sharing(files)
+        cores = spark.sparkContext.defaultParallelism
+        assert parts > 2 * cores and shared.rdd.getNumPartitions() == max(-(-parts // bpe.SHARED), 2 * cores)
+        assert bpe.sharing(files.limit(0)).count() == 0
+        found = {r["doc_id"]: bytes(r["decoded"]).decode() for r in bpe.encode_decode(shared, bpe.multi_ranks()).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found == dict(rows)
+
+
+def test_coded_words_are_found_by_number():
+    coded = bpe.Coded(bpe.pieces({b"a": 0, b"b": 1, b"ab": 3}))
+    coded.add(np.array([3, 0, 1], np.uint32), np.array([0, 1, 3]))
+    coded.add(np.zeros(0, np.uint32), np.array([0]))
+    coded.add(np.array([1] * 5_000, np.uint32), np.array([0, 0, 5_000]))
+    assert coded.id_at.all().tolist() == [0, 1, 3, 3, 5_003] and coded.byte_at.all().tolist() == [0, 2, 4, 4, 5_004]
+    assert coded.ids.all().tolist() == [3, 0, 1, *[1] * 5_000] and coded.bytes.all().tobytes() == b"abab" + b"b" * 5_000
