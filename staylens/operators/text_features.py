@@ -5,18 +5,28 @@ from __future__ import annotations
 import inspect
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.ml.feature import HashingTF, SQLTransformer, StopWordsRemover, Tokenizer
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
+from staylens.functions import hashing
 from staylens.functions.stopwords import ENGLISH_STOP_WORDS
 from staylens.functions.text import current_term_bucket, term_bucket, tokens, without_stop_words
 from staylens.operators.joins import keyed_join
-from staylens.workspace import stage
+from staylens.workspace import stage, stage_for_fit
+
+# Executors need not have this package: the functions go to them with the task.
+cloudpickle.register_pickle_by_value(hashing)
 
 # Fixed value: feature buckets of the sentiment job.
 TERM_BUCKETS = 20_000
 
+# As many tasks as the gradients of a fit are added from in one stage: treeAggregate, to its default depth, puts another between for more.
+ONE_STAGE = 5
+
 
 def term_counts(df: DataFrame, key: str, words: Column, term: str = "term") -> DataFrame:
     """How often each term occurs per text."""
@@ -102,3 +112,16 @@ def term_vector_stages(text: str, output: str = "raw_features", buckets: int = T
         StopWordsRemover(inputCol="words", outputCol="filtered_words", stopWords=ENGLISH_STOP_WORDS),
         HashingTF(inputCol="filtered_words", outputCol=output, numFeatures=buckets),
     ]
+
+
+def staged_term_vectors(df: DataFrame, text: str, output: str = "raw_features", buckets: int = TERM_BUCKETS) -> DataFrame:
+    """``df`` staged for a fit with, in place of its text, the vector that ``term_vector_stages`` make of it.
+
+    Each of those stages takes a row's words into objects and back. Here Spark lower-cases the text, and numpy cuts,
+    hashes and counts the words of many rows at once (``functions/hashing.py``), in the tasks that read them.
+    """
+    others = [c for c in df.columns if c != text]
+    lowered = df.select(*[f"`{c}`" for c in others], F.lower(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias(text))
+    kept = [df.schema[c] for c in others]
+    rows = lowered.mapInArrow(hashing.vector_batches(text, output, buckets), StructType([*kept, StructField(output, VectorUDT.sqlType())]))
+    return stage_for_fit(rows, "term-vectors", schema=StructType([*kept, StructField(output, VectorUDT())]), least=ONE_STAGE)

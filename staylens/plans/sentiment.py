@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import IDF
 from pyspark.sql import DataFrame
@@ -11,10 +10,9 @@ from pyspark.sql import functions as F
 from staylens.functions.keys import hash_bucket
 from staylens.functions.ratings import sentiment_label
 from staylens.operators.sampling import Bucket, hash_split
-from staylens.operators.text_features import TERM_BUCKETS, term_vector_stages
+from staylens.operators.text_features import TERM_BUCKETS, staged_term_vectors, term_vector_stages
 from staylens.plans.experiments import JobResult, run_experiments, sentiment_score
 from staylens.sources.registry import RunRegistry
-from staylens.workspace import stage_for_fit
 
 TASK_NAME = "Task C - Sentiment Analysis"
 
@@ -44,12 +42,11 @@ def compare_sentiment_models(
     """
     labelled = reviews.select(
         F.col(key).alias("id"),
-        F.coalesce(F.col(text), F.lit("")).alias("text"),
+        F.col(text).alias("text"),
         sentiment_label(F.col(overall), null_is_negative=null_is_negative).alias("label"),
     ).where(F.col("label").isNotNull())
     terms = term_vector_stages("text", buckets=buckets)
-    vectors = PipelineModel(terms).transform(labelled).select("id", "label", "raw_features")
-    train, test = hash_split(stage_for_fit(vectors, "term-vectors"), "id", bucket=bucket)
+    train, test = hash_split(staged_term_vectors(labelled, "text", buckets=buckets), "id", bucket=bucket)
     idf = IDF(inputCol="raw_features", outputCol="features").fit(train)
     return run_experiments(
         "task_c",

@@ -11,6 +11,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _local_base: list[str] = []
 
@@ -42,26 +43,27 @@ def release(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, schema: StructType | None = None) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
     Used where several passes follow (iterative fits, two branches of one plan).
     It cuts lineage, survives the loss of executors, keeps column pruning, and
-    gives the planner a true size for its broadcast decisions.
+    gives the planner a true size for its broadcast decisions. ``schema`` names other types
+    with the same stored form, as a vector has that of a struct.
     """
     spark = df.sparkSession
     path = new_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)
 
 
-def stage_for_fit(df: DataFrame, name: str, rows_per_task: int = 50_000) -> DataFrame:
+def stage_for_fit(df: DataFrame, name: str, rows_per_task: int = 50_000, schema: StructType | None = None, least: int = 1) -> DataFrame:
     """``stage`` for a frame that a fit reads many times.
 
     Each iteration merges one gradient or histogram per task, so many tasks with few
     rows each cost more than they save: small tables are read by fewer tasks, without a
-    shuffle. Large ones keep the partitions their files give them.
+    shuffle, but by ``least`` if they have as many partitions. Large ones keep the partitions their files give them.
     """
-    staged = stage(df, name)
-    tasks = max(1, -(-staged.count() // rows_per_task))
+    staged = stage(df, name, schema)
+    tasks = max(least, -(-staged.count() // rows_per_task))
     return staged.coalesce(tasks) if tasks < staged.rdd.getNumPartitions() else staged

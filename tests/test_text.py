@@ -138,3 +138,28 @@ def test_long_runs_of_blanks_take_linear_time(spark):
     start = time.monotonic()
     assert frame.select(F.size(tokens(F.col("text")))).first()[0] == 100_001
     assert time.monotonic() - start < 5
+
+
+def test_staged_term_vectors_equal_the_stages(spark, texts, monkeypatch):
+    """Vectors of the stages, bit by bit, for null, empty, blank, long and accented texts and every stop word; rows may repeat."""
+    import random
+
+    from staylens.functions import hashing
+    from staylens.functions.stopwords import ENGLISH_STOP_WORDS
+
+    rng = random.Random(8)
+    pieces = [*ENGLISH_STOP_WORDS, "The", "YOURSELVES", "themselvesx", "yourselve", "a\x00", "\x00", "İx", "ΑΣ", "ß", "中文", "🙂", "K", "é", "x" * 1_001, "Word", "\u00a0", "\u2003"]
+    odd = [None, "", " ", " \t\n\x0b\f\r", "  a  b ", "the", "x", " ".join(ENGLISH_STOP_WORDS), "\x1c x\x1dy"]
+    odd += ["".join(rng.choice(pieces) + rng.choice([" ", "  ", "\n", "\t", "", "\r"]) for _ in range(rng.randint(1, 40))) for _ in range(300)]
+    rows = spark.createDataFrame([(None if i % 9 == 0 else i % 50, t) for i, t in enumerate(odd)], "id long, text string").union(texts.select("id", "text"))
+    expected = rows
+    for stage in text_features.term_vector_stages("text", buckets=500):
+        expected = stage.transform(expected)
+    monkeypatch.setattr(hashing, "SLICE_BYTES", 200)
+    found = text_features.staged_term_vectors(rows, "text", buckets=500)
+    assert found.schema["raw_features"].dataType == expected.schema["raw_features"].dataType
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.select("id", "raw_features").collect()))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "UDF" not in plan
+    none = text_features.staged_term_vectors(rows.limit(0), "text")
+    assert none.count() == 0
